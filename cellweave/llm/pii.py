@@ -196,3 +196,25 @@ def find(df: DataFrame, model: Tagger | None = None, id_col: str = "doc_id", tex
         run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string, redacted string"
     )
 
+
+def redact(df: DataFrame, model: Tagger | None = None, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """df with each span of its texts, base or added, replaced by its kind, and length_col, if there, by the new length.
+    Null texts stay null."""
+    model = model or default_tagger()
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1000):
+                some = batch.slice(k, 1000)
+                given = some[text_col].to_pylist()
+                texts = [t or "" for t in given]
+                base = [base_spans(t) for t in texts]
+                new = [redacted(t, b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model), base, strict=True)]
+                columns = {name: some[name] for name in some.schema.names}
+                columns[text_col] = pa.array([n if g is not None else None for n, g in zip(new, given, strict=True)], some[text_col].type)
+                if length_col in columns:
+                    changed = [len(n) if n != t else old for n, t, old in zip(new, texts, some[length_col].to_pylist(), strict=True)]
+                    columns[length_col] = pa.array(changed, some[length_col].type)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return df.mapInArrow(run, df.schema)

@@ -85,17 +85,23 @@ def table_of_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, x array<double>")
 
 
-def score(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_pooled: float = 0.3, to_sphere: float = 0.01, threshold: float = 0.7,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """Per row: doc_id, held_out, score (how likely label 1 is), predicted (1 if score >= threshold).
+class Model:
+    """scores(x): how likely label 1 is for each row of statistics."""
 
-    Statistics of whole texts (null: empty) are made once and written to the shared folder. Moments of the classes come
-    from all labelled rows that are not held out, summed by Spark; the driver gets one number for each class and pair of
-    statistics. A score is the logistic of the classes' difference in log density and prior. Ids with both labels or a
-    null label teach nothing; with fewer than two classes each score is the share of label 1 (0.5 without labels).
-    Repeated rows get equal scores, the empty table no rows.
-    """
-    kept = durable(table_of_statistics(df, id_col, text_col).withColumn("held_out", held_out("doc_id", of, at)))
+    def __init__(self, classes: dict[int, Gauss], constant: float):
+        self.classes, self.constant = classes, constant
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        if len(self.classes) < 2 or not len(x):
+            return np.full(len(x), self.constant)
+        gap = self.classes[1].log_density(x) - self.classes[0].log_density(x)
+        return 1 / (1 + np.exp(-np.clip(gap, -500, 500)))
+
+
+def fit_model(kept: DataFrame, labels: DataFrame, to_pooled: float, to_sphere: float, id_col: str, label_col: str) -> Model:
+    """Moments of the classes come from all labelled rows that are not held out, summed by Spark; the driver gets one
+    number for each class and pair of statistics. Ids with both labels or a null label teach nothing; with fewer than
+    two classes the model is constant: the share of label 1, 0.5 without labels."""
     known = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").drop("z")
     rows = kept.where("not held_out").join(known, "doc_id").select("y", F.concat("x", F.array(F.lit(1.0))).alias("x"))
@@ -117,15 +123,41 @@ def score(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_pooled:
     for y, i, j, s in summed.collect():  # 2 * 19 * 19 rows
         grid.setdefault(y, np.zeros((d + 1, d + 1)))[i, j] = float(s)
     moments = {y: (g[d, d], g[d, :d], g[:d, :d]) for y, g in grid.items()}
-    model = fit(moments, to_pooled, to_sphere) if len(moments) == 2 else None
-    prior = 0.5 if not moments else float(1 in moments)
+    classes = fit(moments, to_pooled, to_sphere) if len(moments) == 2 else {}
+    return Model(classes, 0.5 if not moments else float(1 in moments))
+
+
+def score(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_pooled: float = 0.3, to_sphere: float = 0.01, threshold: float = 0.7,
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """Per row: doc_id, held_out, score (how likely label 1 is), predicted (1 if score >= threshold).
+
+    Statistics of whole texts (null: empty) are made once and written to the shared folder. A score is the logistic of
+    the classes' difference in log density and prior. Repeated rows get equal scores, the empty table no rows; see
+    fit_model for missing labels.
+    """
+    kept = durable(table_of_statistics(df, id_col, text_col).withColumn("held_out", held_out("doc_id", of, at)))
+    model = fit_model(kept, labels, to_pooled, to_sphere, id_col, label_col)
 
     def run(batches):
         for batch in batches:
-            n = batch.num_rows
-            x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, d))
-            gap = model[1].log_density(x) - model[0].log_density(x) if model else np.full(n, 0.0)
-            p = 1 / (1 + np.exp(-np.clip(gap, -500, 500))) if model else np.full(n, prior)
+            p = model.scores(batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(NAMES)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     return kept.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_good(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_pooled: float = 0.3, to_sphere: float = 0.01, threshold: float = 0.7,
+              id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """The rows of df, with all its columns, whose score is at least the threshold. Their statistics are made again
+    rather than joined, so no text is shuffled."""
+    kept = durable(table_of_statistics(df, id_col, text_col).withColumn("held_out", held_out("doc_id", of, at)))
+    model = fit_model(kept, labels, to_pooled, to_sphere, id_col, label_col)
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1000):
+                some = batch.slice(k, 1000)
+                x = np.array([statistics(t or "") for t in some[text_col].to_pylist()])
+                yield some.filter(pa.array(model.scores(x) >= threshold))
+
+    return df.mapInArrow(run, df.schema)

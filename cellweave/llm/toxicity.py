@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
-from .trees import boost, isotonic
+from .trees import Boosted, boost, isotonic
 
 #: Words that address a reader, in four languages.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos usted ustedes tú ti tus vosotros".split())
@@ -83,16 +83,27 @@ def learn_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int) ->
     return dict(sorted(out.items(), key=lambda kv: (-kv[1], kv[0]))[:ENTRIES])
 
 
-def score(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, threshold: float = 0.5, bound: int = BOUND,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """Per row: doc_id, held_out, score (how likely label 1 is), predicted (1 if score >= threshold).
+class Model:
+    """scores(texts): how likely label 1 is for each."""
+
+    def __init__(self, lexicon: dict[str, float], trees: Boosted | None, knots: tuple[np.ndarray, np.ndarray] | None, constant: float):
+        self.lexicon, self.trees, self.knots, self.constant = lexicon, trees, knots, constant
+
+    def features(self) -> Features:
+        return Features(self.lexicon)
+
+    def scores(self, texts: list[str | None], features: Features) -> np.ndarray:
+        if self.trees is None or not texts:
+            return np.full(len(texts), self.constant)
+        return np.interp(self.trees.raw(np.array([features.of(t or "") for t in texts])), *self.knots)
+
 
-    Lexicon, trees and calibration are fitted on labelled rows that are not held out: all of them, or about bound rows
-    chosen by a hash of the id where there are more. The lexicon comes from document counts that Spark sums. Trees see
-    features made with the lexicon of the other half of those rows, and the calibration raw scores of trees fitted on
-    the other half. Then each whole text (null: empty) is scored in one pass. Ids with both labels or a null label teach
-    nothing; with fewer than two classes, or under four rows of one, each score is 1 for a share of label 1 of a half or
-    more, else 0 (0 without labels). Repeated rows get equal scores, the empty table no rows.
+def fit(df: DataFrame, labels: DataFrame, of: int, at: int, bound: int, id_col: str, text_col: str, label_col: str) -> Model:
+    """Lexicon, trees and calibration from labelled rows that are not held out: all of them, or about bound rows chosen
+    by a hash of the id where there are more. The lexicon comes from document counts that Spark sums. Trees see features
+    made with the lexicon of the other half of those rows, and the calibration raw scores of trees fitted on the other
+    half. Ids with both labels or a null label teach nothing; with fewer than four rows of a class the model is constant:
+    1 where at least half of the labels are 1, else 0.
     """
     known = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").drop("z").where(~held_out("doc_id", of, at))
@@ -119,39 +130,58 @@ def score(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, threshold:
     toxic, clean = (sum(n for (y, _), n in size.items() if y == k) for k in (1, 0))
     often = 2.5 * toxic / max(clean, 1)
     sums = sums.where(f"t0 + t1 >= 4 and t0 + t1 >= {often} * (c0 + c1)").orderBy(F.desc(F.expr("(t0 + t1) / (c0 + c1 + 1)")), "key").limit(4 * ENTRIES)
-    model = None
-    if min(toxic, clean) >= 4:
-        rows = sums.collect()
-        whole = learn_lexicon([(k, a + c, b + d) for k, a, b, c, d in rows], toxic, clean)
-        halves = [learn_lexicon([(r[0], r[1 + 2 * h], r[2 + 2 * h]) for r in rows if r[1 + 2 * h] >= 2], size.get((1, h), 0), size.get((0, h), 0)) for h in (0, 1)]
-
-        def featured(batches):
-            by_half = [Features(halves[1]), Features(halves[0])]
-            for batch in batches:
-                made = [by_half[h].of(t or "") for t, h in zip(batch["text"].to_pylist(), batch["half"].to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], batch["half"], pa.array(made, pa.list_(pa.float64()))], ["doc_id", "y", "half", "x"])
-
-        got = train.mapInArrow(featured, "doc_id long, y int, half int, x array<double>").orderBy("doc_id").toPandas()  # about bound rows
-        x, y, half = np.array(got["x"].tolist()), got["y"].to_numpy(float), got["half"].to_numpy()
-        raw = np.zeros(len(y))
-        for h in (0, 1):
-            if (half == h).any() and (half != h).any():
-                raw[half == h] = boost(x[half != h], y[half != h]).raw(x[half == h])
-        model = whole, boost(x, y), isotonic(raw, y)
-    constant = float(toxic >= clean and toxic > 0)
+    if min(toxic, clean) < 4:
+        return Model({}, None, None, float(toxic >= clean and toxic > 0))
+    rows = sums.collect()
+    whole = learn_lexicon([(k, a + c, b + d) for k, a, b, c, d in rows], toxic, clean)
+    halves = [learn_lexicon([(r[0], r[1 + 2 * h], r[2 + 2 * h]) for r in rows if r[1 + 2 * h] >= 2], size.get((1, h), 0), size.get((0, h), 0)) for h in (0, 1)]
+
+    def featured(batches):
+        by_half = [Features(halves[1]), Features(halves[0])]
+        for batch in batches:
+            made = [by_half[h].of(t or "") for t, h in zip(batch["text"].to_pylist(), batch["half"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], batch["half"], pa.array(made, pa.list_(pa.float64()))], ["doc_id", "y", "half", "x"])
+
+    got = train.mapInArrow(featured, "doc_id long, y int, half int, x array<double>").orderBy("doc_id").toPandas()  # about bound rows
+    x, y, half = np.array(got["x"].tolist()), got["y"].to_numpy(float), got["half"].to_numpy()
+    raw = np.zeros(len(y))
+    for h in (0, 1):
+        if (half == h).any() and (half != h).any():
+            raw[half == h] = boost(x[half != h], y[half != h]).raw(x[half == h])
+    return Model(whole, boost(x, y), isotonic(raw, y), 0.0)
+
+
+def score(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, threshold: float = 0.5, bound: int = BOUND,
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """Per row: doc_id, held_out, score (how likely label 1 is), predicted (1 if score >= threshold).
+
+    Each whole text (null: empty) is scored in one pass by the fitted model. Repeated rows get equal scores, the empty
+    table no rows; see fit for missing labels.
+    """
+    model = fit(df, labels, of, at, bound, id_col, text_col, label_col)
 
     def run(batches):
-        features = Features(model[0]) if model else None
+        features = model.features()
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 some = batch.slice(k, 1000)
-                if model:
-                    raw = model[1].raw(np.array([features.of(t or "") for t in some["text"].to_pylist()]))
-                    p = np.interp(raw, *model[2])
-                else:
-                    p = np.full(some.num_rows, constant)
+                p = model.scores(some["text"].to_pylist(), features)
                 yield pa.RecordBatch.from_arrays([some["doc_id"], some["held_out"], pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.withColumn("held_out", held_out("doc_id", of, at)).select("doc_id", "held_out", "text").mapInArrow(
-        run, "doc_id long, held_out boolean, score double, predicted int"
-    )
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return docs.select("doc_id", held_out("doc_id", of, at).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_clean(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, threshold: float = 0.5, bound: int = BOUND,
+               id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """The rows of df, with all its columns, whose score is under the threshold. Nothing is shuffled but what fit needs."""
+    model = fit(df, labels, of, at, bound, id_col, text_col, label_col)
+
+    def run(batches):
+        features = model.features()
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1000):
+                some = batch.slice(k, 1000)
+                yield some.filter(pa.array(model.scores(some[text_col].to_pylist(), features) < threshold))
+
+    return df.mapInArrow(run, df.schema)
