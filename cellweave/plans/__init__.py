@@ -1 +1,10 @@
+"""Registered queries; load() fills the registry."""
 
+import importlib
+
+MODULES = ("cell_queries",)
+
+
+def load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"{__name__}.{name}")
