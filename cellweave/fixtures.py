@@ -64,6 +64,8 @@ def with_tables(body: str, names: list[str], spark: bool = False) -> str:
     if not order:
         return body
     ctes = ",\n".join(f"{n} AS ({TABLES[n]})" for n in order).replace("{div}", "div" if spark else "//")
+    if body.lstrip()[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body.lstrip()[14:]}"
     if body.lstrip()[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body.lstrip()[4:]}"
     return f"WITH {ctes}\n{body}"
