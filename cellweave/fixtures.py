@@ -76,6 +76,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # days and hours are those of the oracle
         self.base = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("nation", "supplier", "part", "orders", "lineitem", "events")}
 
     def __call__(self, name: str) -> DataFrame:
