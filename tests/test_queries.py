@@ -27,7 +27,7 @@ def plain(v):
     if v is None or isinstance(v, float) and math.isnan(v):
         return None
     if isinstance(v, datetime.datetime):
-        return v.isoformat()
+        return v.replace(tzinfo=None).isoformat()  # sessions are in UTC
     if isinstance(v, datetime.date):
         return f"{v.isoformat()}T00:00:00"
     return round(v, 9) if isinstance(v, float) else v.isoformat() if hasattr(v, "isoformat") else v
