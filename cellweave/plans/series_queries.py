@@ -63,7 +63,7 @@ def days(t):
 
 @query("w05_daily_interpolation", f"WITH {DAILY} SELECT tile, r, c, d, snow FROM days WHERE tile = 1", "obs")
 def _(t):
-    return ts.daily(t("obs").where("tile = 1"), "1995-10-01", "1996-09-30")
+    return days(t)
 
 
 @query("w06_season", f"""WITH {DAILY}, k AS (SELECT *, row_number() OVER (PARTITION BY tile, r, c ORDER BY d) AS k FROM days), i AS (SELECT *, k - row_number() OVER (PARTITION BY tile, r, c ORDER BY d) AS island FROM k WHERE snow = 1),
