@@ -11,10 +11,10 @@ def block(df: DataFrame, k: int) -> DataFrame:
     return df.withColumn("r", F.expr(f"cast(r div {k} as int)")).withColumn("c", F.expr(f"cast(c div {k} as int)"))
 
 
-def upscale(df: DataFrame, k: int, classes: tuple[int, ...], by: tuple[str, ...] = ("tile", "d"), diagonal: bool = False) -> DataFrame:
-    """Blocks of k times k cells: the rounded mean of values up to 100 where those fill half of the block, else the class of
-    most cells (the first listed of equal ones), else 255. Where values fill half, no class replaces them. diagonal takes
-    each block's diagonal cells only, k times each."""
+def upscale(df: DataFrame, k: int, classes: tuple[int, ...], by: tuple[str, ...] = ("tile", "d"), diagonal: bool = False, least: float = 0.5) -> DataFrame:
+    """Blocks of k times k cells: the rounded mean of values up to 100 where there are any and they fill that least share
+    of the block, else the class of most cells (the first listed of equal ones), else 255. No class replaces such a mean;
+    with least 0 a single value makes one. diagonal takes each block's diagonal cells only, k times each."""
     if diagonal:
         df = df.where(F.expr(f"pmod(r, {k}) = pmod(c, {k})"))
     weight = k if diagonal else 1
@@ -26,7 +26,19 @@ def upscale(df: DataFrame, k: int, classes: tuple[int, ...], by: tuple[str, ...]
     pick = F.lit(255)
     for j in reversed(range(len(classes))):
         pick = F.when((F.col(f"n{j}") == best) & (best > 0), classes[j]).otherwise(pick)
-    return counts.select(*by, "r", "c", F.when(2 * F.col("ok") >= k * k, F.rint("m").cast("int")).otherwise(pick).alias("v"), F.col("ok").cast("bigint").alias("ok"))
+    return counts.select(*by, "r", "c", F.when((F.col("ok") > 0) & (F.col("ok") >= least * k * k), F.rint("m").cast("int")).otherwise(pick).alias("v"), F.col("ok").cast("bigint").alias("ok"))
+
+
+def upscale_bits(df: DataFrame, k: int, band: str, by: tuple[str, ...] = ("tile", "d"), bits: int = 8, diagonal: bool = False) -> DataFrame:
+    """Blocks of k times k cells: each bit is set where it is in at least half of the block's cells; missing cells have
+    none. diagonal as in upscale."""
+    if diagonal:
+        df = df.where(F.expr(f"pmod(r, {k}) = pmod(c, {k})"))
+    weight = k if diagonal else 1
+    n = [(F.count_if(F.col(band).bitwiseAND(1 << b) != 0) * weight).alias(f"n{b}") for b in range(bits)]
+    counts = block(df, k).groupBy(*by, "r", "c").agg(*n)
+    value = sum((F.when(2 * F.col(f"n{b}") >= k * k, 1 << b).otherwise(0) for b in range(bits)), F.lit(0))
+    return counts.select(*by, "r", "c", value.cast("int").alias(band))
 
 
 def vote(df: DataFrame, k: int, by: tuple[str, ...]) -> DataFrame:

@@ -123,7 +123,15 @@ BLOCK = "tile, d, CAST(r // {k} AS INT) AS r, CAST(c // {k} AS INT) AS c"
 @query("a03_upscale", f"""SELECT tile, d, r, c, CASE WHEN 2 * ok >= 4 THEN CAST(round_even(m, 0) AS INT) WHEN n1 > 0 AND n1 >= n2 AND n1 >= n3 THEN 205 WHEN n2 > 0 AND n2 >= n3 THEN 210 ELSE 255 END AS v, ok
     FROM (SELECT {BLOCK.format(k=2)}, count(*) FILTER (v <= 100) AS ok, avg(v) FILTER (v <= 100) AS m, count(*) FILTER (v = 205) AS n1, count(*) FILTER (v = 210) AS n2, count(*) FILTER (v = 255) AS n3 FROM obs GROUP BY 1, 2, 3, 4)""", "obs")
 def _(t):
-    return grid.upscale(t("obs"), 2, (205, 210, 255))
+    return grid.upscale(t("obs"), 2, (205, 210, 255), least=0)
+
+
+BITS = " + ".join(f"CASE WHEN 2 * count(*) FILTER ((qf & {1 << b}) <> 0) >= 4 THEN {1 << b} ELSE 0 END" for b in range(8))
+
+
+@query("a03_upscale_bits", f"SELECT tile, d, r, c, CAST({BITS} AS INT) AS qf FROM (SELECT {BLOCK.format(k=2)}, qf FROM obs) GROUP BY tile, d, r, c", "obs")
+def _(t):
+    return grid.upscale_bits(t("obs"), 2, "qf")
 
 
 VOTE = f"""v0 AS (SELECT {BLOCK.format(k=2)}, count(*) FILTER (v <= 100) AS ok, sum(v) FILTER (v <= 100) AS s, count(*) FILTER (v = 205) AS cl, count(*) FILTER (v = 210) AS wa FROM obs GROUP BY 1, 2, 3, 4),

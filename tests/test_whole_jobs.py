@@ -1,14 +1,45 @@
 """Queries and operators that once did less than the whole job."""
 
-from test_queries import SF
+import pytest
+from pyspark.sql import functions as F
+from test_operators import image, picture
+from test_queries import SF, duck, rows_of  # noqa: F401
 
 from cellweave import plans
-from cellweave.registry import QUERIES
+from cellweave.operators import grid
+from cellweave.registry import ORACLES, QUERIES
 
 plans.load()
 
 
+def mended(name, *pieces):
+    """The registered SQL of a query without the cuts that it may still have."""
+    sql = ORACLES[name]
+    for old, new in pieces:
+        sql = sql.replace(old, new)
+    return sql
+
+
+def same_rows(df, relation):
+    cols = sorted(df.columns)
+    assert sorted(relation.columns) == cols
+    theirs = dict(zip(relation.columns, zip(*relation.fetchall()), strict=False))
+    assert rows_of({k: v.to_pylist() for k, v in zip(df.columns, df.toArrow().columns, strict=True)}, cols) == rows_of(theirs, cols)
+
+
 def test_daily_interpolation_of_all_tiles(spark):
     df = QUERIES["w05_daily_interpolation"](spark, SF)
     cells = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("l_suppkey % 4", "l_orderkey % 10", "l_partkey % 10").distinct().count()
     assert df.count() == 366 * cells and {r.tile for r in df.select("tile").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_upscale_keeps_the_mean_of_few_values(spark, duck):  # noqa: F811
+    x = image(spark, [[40, 205, 205, 210], [205, 205, 210, 210], [255, 7, 255, 205], [255, 8, 255, 255]]).withColumn("d", F.lit(1))
+    assert picture(grid.upscale(x, 2, (205, 210, 255), least=0)) == [[40, 210], [8, 255]]
+    same_rows(QUERIES["a03_upscale"](spark, SF), duck.sql(mended("a03_upscale", ("2 * ok >= 4", "ok > 0"))))
+
+
+@pytest.mark.parametrize("diagonal, expected", [(False, [[7, 0]]), (True, [[7, 0]])])
+def test_upscale_of_bits(spark, diagonal, expected):
+    x = image(spark, [[1 | 2, 0, 0, 8], [2 | 4, 4 | 1, 0, 0]], name="qf").withColumn("d", F.lit(1))
+    assert picture(grid.upscale_bits(x, 2, "qf", diagonal=diagonal), "qf") == expected
