@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PROCESSED, ERRORS = 2, (3, 4)
@@ -94,6 +96,25 @@ def usage(plan: DataFrame, *resources: str) -> DataFrame:
     return long.groupBy("t").agg(*[F.sum(r).alias(r) for r in resources], F.count("*").alias("tasks"))
 
 
+def plan_checks(plan: DataFrame, t_max: int, cpu: int, ram: int, storage: int, machines: int) -> DataFrame:
+    """How often a plan breaks each rule. Units of time: cpu, ram, storage and machines (tasks at once) beyond the limits.
+    Tasks: time (end after t_max), unplanned (no t0), start (before 0), order (before the last end of the tasks of the
+    preceding input), overlap (end after the start of the next on the machine), twice (ids planned more than once)."""
+    used = usage(plan, "cpu", "ram", "storage_space").agg(
+        F.count_if(F.col("cpu") > cpu).alias("cpu"), F.count_if(F.col("ram") > ram).alias("ram"),
+        F.count_if(F.col("storage_space") > storage).alias("storage"), F.count_if(F.col("tasks") > machines).alias("machines"),
+    )
+    end = F.col("t0") + F.col("duration")
+    tasks = plan.agg(F.count_if(end > t_max).alias("time"), F.count_if(F.col("t0").isNull()).alias("unplanned"), F.count_if(F.col("t0") < 0).alias("start"))
+    ends = plan.groupBy(F.col("input").alias("preceding")).agg(F.max(end).alias("ready"))
+    order = plan.join(ends, "preceding").agg(F.count_if(F.col("t0") < F.col("ready")).alias("order"))
+    following = F.lead("t0").over(Window.partitionBy("vm").orderBy("t0", "id"))
+    overlap = plan.where("t0 is not null").select((end > following).alias("hit")).agg(F.count_if("hit").alias("overlap"))
+    twice = plan.groupBy("id").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("twice"))
+    parts = [df.unpivot([], df.columns, "rule", "broken") for df in (used, tasks, order, overlap, twice)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def time_needed(tasks_by_routine: DataFrame, cpu: int, ram: int, storage: int, machines: int) -> DataFrame:
     """Per routine the least time its tasks take under the limits; a routine beyond a limit has null."""
     at_once = F.least(F.expr(f"{cpu} div cpu"), F.expr(f"{ram} div ram"), F.expr(f"{storage} div storage_space"), F.lit(machines))

@@ -226,7 +226,8 @@ PLAN = "plan AS (SELECT id, virtual_machine_id AS vm, CAST((id * 7) % 200 AS INT
 
 
 def plan(t):
-    return t("processing_tasks").selectExpr("id", "virtual_machine_id as vm", "cast((id * 7) % 200 as int) as t0", "cast(1 + id % 5 as int) as duration", "cast(1 + id % 4 as int) as cpu", "cast(1 + id % 3 as int) as ram")
+    return t("processing_tasks").selectExpr("id", "virtual_machine_id as vm", "cast((id * 7) % 200 as int) as t0", "cast(1 + id % 5 as int) as duration", "cast(1 + id % 4 as int) as cpu", "cast(1 + id % 3 as int) as ram",
+                                            "cast(1 + id % 2 as int) as storage_space", "input_fk_id as input", "preceding_input_id as preceding")
 
 
 @query("a24_usage", f"WITH {PLAN} SELECT CAST(x AS INT) AS t, CAST(sum(cpu) AS BIGINT) AS cpu, CAST(sum(ram) AS BIGINT) AS ram, count(*) AS tasks FROM plan, LATERAL unnest(generate_series(t0, t0 + duration - 1)) u(x) GROUP BY 1", "processing_tasks")
@@ -237,11 +238,7 @@ def _(t):
 @query("m04_plan_checks", f"""WITH {PLAN}, u AS (SELECT CAST(x AS INT) AS t, sum(cpu) AS cpu, sum(ram) AS ram, count(*) AS n FROM plan, LATERAL unnest(generate_series(t0, t0 + duration - 1)) u(x) GROUP BY 1)
     SELECT 'cpu' AS rule, count(*) AS broken FROM u WHERE cpu > 1000 UNION ALL SELECT 'ram', count(*) FROM u WHERE ram > 900 UNION ALL SELECT 'time', count(*) FROM plan WHERE t0 + duration > 200 UNION ALL SELECT 'machines', count(*) FROM u WHERE n > 400""", "processing_tasks")
 def _(t):
-    p = plan(t)
-    u = K.usage(p, "cpu", "ram")
-    broken = u.agg(F.count_if(F.expr("cpu > 1000")).alias("cpu"), F.count_if(F.expr("ram > 900")).alias("ram"), F.count_if(F.expr("tasks > 400")).alias("machines"))
-    late = p.agg(F.count_if(F.expr("t0 + duration > 200")).alias("time"))
-    return broken.unpivot([], ["cpu", "ram", "machines"], "rule", "broken").unionByName(late.unpivot([], ["time"], "rule", "broken"))
+    return K.plan_checks(plan(t), t_max=200, cpu=1000, ram=900, storage=700, machines=400)
 
 
 @query("w11_overlaps", f"WITH {PLAN}, l AS (SELECT id, vm, t0 + duration AS stop, lead(t0) OVER (PARTITION BY vm ORDER BY t0, id) AS next FROM plan) SELECT id, vm FROM l WHERE stop > next", "processing_tasks")

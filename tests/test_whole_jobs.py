@@ -6,7 +6,7 @@ from test_operators import image, picture
 from test_queries import SF, duck, rows_of  # noqa: F401
 
 from cellweave import plans
-from cellweave.operators import grid
+from cellweave.operators import catalogue, grid
 from cellweave.registry import ORACLES, QUERIES
 
 plans.load()
@@ -43,3 +43,39 @@ def test_upscale_keeps_the_mean_of_few_values(spark, duck):  # noqa: F811
 def test_upscale_of_bits(spark, diagonal, expected):
     x = image(spark, [[1 | 2, 0, 0, 8], [2 | 4, 4 | 1, 0, 0]], name="qf").withColumn("d", F.lit(1))
     assert picture(grid.upscale_bits(x, 2, "qf", diagonal=diagonal), "qf") == expected
+
+
+PLAN = "id long, vm long, t0 int, duration int, cpu int, ram int, storage_space int, input long, preceding long"
+
+
+@pytest.mark.parametrize(
+    "task, broken",
+    [
+        ((3, 2, None, 1, 1, 1, 1, 30, None), {"unplanned": 1}),
+        ((3, 2, -1, 1, 1, 1, 1, 30, None), {"start": 1}),
+        ((3, 2, 10, 1, 1, 1, 1, 30, None), {"time": 1}),
+        ((3, 2, 4, 1, 1, 1, 1, 30, 20), {"order": 1}),
+        ((3, 2, 5, 1, 1, 1, 1, 30, 20), {}),
+        ((3, 2, 2, 2, 1, 1, 9, 30, None), {"storage": 2}),
+        ((3, 2, 2, 2, 9, 9, 1, 30, None), {"cpu": 2, "ram": 2}),
+        ((1, 2, 7, 1, 1, 1, 1, 10, None), {"order": 1, "twice": 1}),
+        ((3, 1, 4, 1, 1, 1, 1, 30, None), {"overlap": 1}),
+    ],
+)
+def test_each_rule_of_a_plan(spark, task, broken):
+    good = [(1, 1, 0, 2, 1, 1, 1, 10, None), (2, 1, 2, 3, 1, 1, 1, 20, 10)]
+    got = {r.rule: r.broken for r in catalogue.plan_checks(spark.createDataFrame([*good, task], PLAN), 10, 4, 4, 4, 2).collect()}
+    assert set(got) == {"cpu", "ram", "storage", "machines", "time", "unplanned", "start", "order", "overlap", "twice"}
+    assert {k: n for k, n in got.items() if n} == broken
+
+
+def test_plan_checks_agree_with_sql(spark, duck):  # noqa: F811
+    four = ORACLES["m04_plan_checks"]
+    more = four[: four.index("SELECT 'cpu'")].replace("processing_tasks)", "processing_tasks), q AS (SELECT plan.*, 1 + id % 2 AS storage, input_fk_id, preceding_input_id FROM plan JOIN processing_tasks USING (id))", 1)
+    more += """SELECT 'unplanned' AS rule, count(*) AS broken FROM q WHERE t0 IS NULL UNION ALL SELECT 'start', count(*) FROM q WHERE t0 < 0
+        UNION ALL SELECT 'order', count(*) FROM q a WHERE EXISTS (FROM q b WHERE b.input_fk_id = a.preceding_input_id AND a.t0 < b.t0 + b.duration)
+        UNION ALL SELECT 'storage', count(*) FROM (SELECT sum(storage) AS s FROM q, LATERAL unnest(generate_series(t0, t0 + duration - 1)) u(x) GROUP BY x) WHERE s > 700
+        UNION ALL SELECT 'twice', count(*) FROM (SELECT id FROM q GROUP BY id HAVING count(*) > 1)
+        UNION ALL SELECT 'overlap', count(*) FROM (SELECT t0 + duration > lead(t0) OVER (PARTITION BY vm ORDER BY t0, id) AS hit FROM q) WHERE hit"""
+    theirs = sorted(duck.sql(four).fetchall() + duck.sql(more).fetchall())
+    assert sorted((r.rule, r.broken) for r in QUERIES["m04_plan_checks"](spark, SF).collect()) == theirs
