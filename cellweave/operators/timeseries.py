@@ -39,12 +39,14 @@ def merge_by_priority(obs: DataFrame, priority: Column, by: list[str]) -> DataFr
     return obs.groupBy(*by).agg(F.coalesce(F.min_by(F.when(good, F.col("v")), F.when(good, p)), F.max_by("v", p)).alias("v"))
 
 
-def daily(obs: DataFrame, start: str, end: str) -> DataFrame:
+def daily(obs: DataFrame, start: str, end: str, margin: int = 0) -> DataFrame:
     """A row for each cell and day with the latest clear day up to it and the first clear day from it on, and the value
-    between them: linear, the nearest at either end, 0 without a clear day. x is that value doubled and cut at 100."""
-    days = F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("d")
+    between them: linear, the nearest at either end, 0 without a clear day. x is that value doubled and cut at 100. Clear
+    days up to margin days before the start and after the end count too; they give no rows."""
+    first, last = F.date_sub(F.to_date(F.lit(start)), margin), F.date_add(F.to_date(F.lit(end)), margin)
+    days = F.explode(F.sequence(first, last)).alias("d")
     calendar = obs.select(*CELL).distinct().select(*CELL, days)
-    clear = obs.where(F.col("v") <= 100).where(F.col("d").between(start, end)).select(*CELL, "d", F.when(F.col("v") > 0, 100).otherwise(0).alias("v"))
+    clear = obs.where(F.col("v") <= 100).where(F.col("d").between(first, last)).select(*CELL, "d", F.when(F.col("v") > 0, 100).otherwise(0).alias("v"))
     joined = calendar.join(clear, [*CELL, "d"], "left").withColumn("at", F.when(F.col("v").isNotNull(), F.struct("d", "v")))
     w = Window.partitionBy(*CELL).orderBy("d")
     both = joined.select(
@@ -55,7 +57,7 @@ def daily(obs: DataFrame, start: str, end: str) -> DataFrame:
     snow = F.when(F.col("a").isNull() & F.col("b").isNull(), 0).when(F.col("a").isNull(), F.when(F.col("b.v") >= 50, 1).otherwise(0)).when(
         F.col("b").isNull() | (width == 0), F.when(F.col("a.v") >= 50, 1).otherwise(0)
     ).otherwise(F.when(F.col("a.v") * right + F.col("b.v") * left >= 50 * width, 1).otherwise(0))
-    return both.select(*CELL, "d", snow.alias("snow"))
+    return both.where(F.col("d").between(start, end)).select(*CELL, "d", snow.alias("snow"))
 
 
 def season(days: DataFrame, least: int = 10) -> DataFrame:

@@ -58,7 +58,7 @@ DAILY = """cal AS (SELECT g.tile, g.r, g.c, CAST(x AS DATE) AS d FROM (SELECT DI
 
 
 def days(t):
-    return ts.daily(t("obs"), "1995-10-01", "1996-09-30")
+    return ts.daily(t("obs"), "1995-10-01", "1996-09-30", margin=15)
 
 
 @query("w05_daily_interpolation", f"WITH {DAILY} SELECT tile, r, c, d, snow FROM days WHERE tile = 1", "obs")

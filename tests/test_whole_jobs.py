@@ -2,11 +2,12 @@
 
 import pytest
 from pyspark.sql import functions as F
-from test_operators import image, picture
+from test_operators import image, picture, series
 from test_queries import SF, duck, rows_of  # noqa: F401
 
 from cellweave import plans
 from cellweave.operators import catalogue, grid
+from cellweave.operators import timeseries as ts
 from cellweave.registry import ORACLES, QUERIES
 
 plans.load()
@@ -79,3 +80,23 @@ def test_plan_checks_agree_with_sql(spark, duck):  # noqa: F811
         UNION ALL SELECT 'overlap', count(*) FROM (SELECT t0 + duration > lead(t0) OVER (PARTITION BY vm ORDER BY t0, id) AS hit FROM q) WHERE hit"""
     theirs = sorted(duck.sql(four).fetchall() + duck.sql(more).fetchall())
     assert sorted((r.rule, r.broken) for r in QUERIES["m04_plan_checks"](spark, SF).collect()) == theirs
+
+
+@pytest.mark.parametrize("margin, snow", [(0, [0, 0, 0, 0]), (1, [1, 0, 0, 1]), (3, [1, 0, 0, 1])])
+def test_daily_margin(spark, margin, snow):
+    """Clear on day 2 (none), 4 (snow), 6 (none), 9 (snow) and 10 (none); the calendar is 5 to 8."""
+    obs = series(spark, [205, 0, 205, 100, 205, 0, 205, 205, 100, 0])
+    got = ts.daily(obs, "1996-01-05", "1996-01-08", margin).orderBy("d").collect()
+    assert [r.d.day for r in got] == [5, 6, 7, 8] and [r.snow for r in got] == snow
+
+
+MARGIN = [
+    (" WHERE tile = 1", ""),
+    ("generate_series(DATE '1995-10-01', DATE '1996-09-30'", "generate_series(DATE '1995-09-16', DATE '1996-10-15'"),
+    ("AS snow FROM n)", "AS snow FROM n WHERE d BETWEEN DATE '1995-10-01' AND DATE '1996-09-30')"),
+]
+
+
+@pytest.mark.parametrize("name", ["w05_daily_interpolation", "w06_season", "w07_periods"])
+def test_series_queries_use_the_margin(spark, duck, name):  # noqa: F811
+    same_rows(QUERIES[name](spark, SF), duck.sql(mended(name, *MARGIN)))
