@@ -108,10 +108,11 @@ def near_duplicates(df: DataFrame, least: float = 0.98, plan: Lsh = Lsh(), id_co
 
     def check(batches):
         for batch in batches:
-            if batch.num_rows:
-                cos = np.einsum("ij,ij->i", rows_of(batch["va"]), rows_of(batch["vb"])) / (batch["na"].to_numpy() * batch["nb"].to_numpy())
-                part = batch.filter(pa.array(cos >= least))
-                yield part.select(["a", "b", "ca", "cb"])
+            size = np.array([len(v) for v in batch["va"]])
+            for d in np.unique(size).tolist():
+                part = batch.filter(pa.array(size == d))
+                cos = np.einsum("ij,ij->i", rows_of(part["va"]), rows_of(part["vb"])) / (part["na"].to_numpy() * part["nb"].to_numpy())
+                yield part.filter(pa.array(cos >= least)).select(["a", "b", "ca", "cb"])
 
     links = durable(pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb", "va", "vb", "na", "nb").mapInArrow(check, "a long, b long, ca long, cb long"))
     ends = links.select(F.col("a").alias("p"), F.col("cb").alias("n")).unionByName(links.select(F.col("b").alias("p"), F.col("ca").alias("n")))
