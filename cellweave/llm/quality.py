@@ -91,6 +91,10 @@ class Model:
     def __init__(self, classes: dict[int, Gauss], constant: float):
         self.classes, self.constant = classes, constant
 
+    @property
+    def learned(self) -> bool:
+        return bool(self.classes) or self.constant != 0.5
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         if len(self.classes) < 2 or not len(x):
             return np.full(len(x), self.constant)
@@ -149,9 +153,12 @@ def score(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_pooled:
 def keep_good(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_pooled: float = 0.3, to_sphere: float = 0.01, threshold: float = 0.7,
               id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """The rows of df, with all its columns, whose score is at least the threshold. Their statistics are made again
-    rather than joined, so no text is shuffled."""
+    rather than joined, so no text is shuffled. All rows where nothing could be learned: without labels, or with none
+    left that is not held out."""
     kept = durable(table_of_statistics(df, id_col, text_col).withColumn("held_out", held_out("doc_id", of, at)))
     model = fit_model(kept, labels, to_pooled, to_sphere, id_col, label_col)
+    if not model.learned:
+        return df
 
     def run(batches):
         for batch in batches:

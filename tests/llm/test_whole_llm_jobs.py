@@ -1,9 +1,9 @@
 """Numbered operators and stages that once did less than the whole job."""
 
 import numpy as np
-from test_numbered_operators import SCHEMA
+from test_numbered_operators import SCHEMA, docs
 
-from cellweave.llm import vectors
+from cellweave.llm import quality, vectors
 
 
 def test_vectors_of_two_lengths_both_link(spark):
@@ -15,3 +15,13 @@ def test_vectors_of_two_lengths_both_link(spark):
             rows += [(len(rows) + k, (v + k * 1e-4).astype(np.float32).tolist(), 1, "x") for k in range(3)]
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {i: (2, i - i % 3) for i in range(120)}
+
+
+def test_quality_stage_keeps_all_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    elsewhere = spark.createDataFrame([(-5, 1), (-6, 0)], "doc_id long, quality int")
+    for labels in (none, elsewhere):
+        assert sorted(r.doc_id for r in quality.keep_good(docs(spark), labels).collect()) == list(range(13))
+    good = spark.createDataFrame([(i, 1) for i in range(13)], "doc_id long, quality int")
+    bad = good.selectExpr("doc_id", "0 as quality")
+    assert quality.keep_good(docs(spark), good).count() == 13 and quality.keep_good(docs(spark), bad).count() == 0
