@@ -3,7 +3,7 @@
 import numpy as np
 from test_numbered_operators import SCHEMA, docs
 
-from cellweave.llm import quality, vectors
+from cellweave.llm import jaccard, quality, vectors
 
 
 def test_vectors_of_two_lengths_both_link(spark):
@@ -25,3 +25,11 @@ def test_quality_stage_keeps_all_without_labels(spark):
     good = spark.createDataFrame([(i, 1) for i in range(13)], "doc_id long, quality int")
     bad = good.selectExpr("doc_id", "0 as quality")
     assert quality.keep_good(docs(spark), good).count() == 13 and quality.keep_good(docs(spark), bad).count() == 0
+
+
+def test_texts_that_share_an_id_are_decided_one_by_one(spark):
+    a, b, c, d = ("a b c d e f g", "q w e r t y u", "z x c v b n m", "one two three four five six")
+    rows = [(1, a), (4, a), (4, b), (4, b), (5, c), (5, d), (6, d), (7, b), (8, None), (8, "")]
+    kept = jaccard.keep_first(docs(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    key = lambda r: (r[0], r[1] or "", r[1] is None)
+    assert sorted([(r.doc_id, r.text) for r in kept], key=key) == sorted([(1, a), (4, b), (5, c), (5, d), (8, None), (8, "")], key=key)
