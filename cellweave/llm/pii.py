@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +21,13 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-#: What any number of the kinds stands in, and signs of an e-mail in other spellings.
+#: What any number of the base kinds stands in, and signs of an e-mail in other spellings.
 NUMBERS = re.compile(r"[+(0-9][+0-9 ().-]{6,}+")
-SPELT = re.compile(r"[\[({] ?at ?[\])}]| @ ")
-WIDTH, MARGIN = 96, 32
+SPELT = re.compile(r"[\[({] ?at ?[\])}]| @ | at ")
+SECRET = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
+WEIGHTS = Path(__file__).with_name("tagger.npz")
+WIDTH, OVERLAP = 512, 96  # of the tagger's windows: each character but a text's first and last has 48 more around it
+BATCH, CHARS = 512, 1_000_000  # windows decoded at once; characters of texts handled at once, unless one text has more
 
 
 def digits_of(s: str) -> str:
@@ -64,59 +70,43 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + found["ip"] + found["card"] + found["phone"]
 
 
-def windows(text: str) -> list[tuple[int, int]]:
-    """Overlapping windows over all places where a number or an e-mail may stand, with margins."""
-    marks = [(m.start(), m.end()) for m in NUMBERS.finditer(text) if sum(map(m[0].count, "0123456789")) >= 7]
-    at = text.find("@")
-    while at >= 0:
-        marks.append((at, at + 1))
-        at = text.find("@", at + 1)
-    if "at" in text and ("(" in text or "[" in text or "{" in text):
-        marks += [(m.start(), m.end()) for m in SPELT.finditer(text)]
-    zones: list[list[int]] = []
-    for a, b in sorted(marks):
-        a, b = max(0, a - MARGIN), min(len(text), b + MARGIN)
-        if zones and a <= zones[-1][1]:
-            zones[-1][1] = max(zones[-1][1], b)
-        else:
-            zones.append([a, b])
-    out = []
-    for a, b in zones:
-        while b - a > WIDTH:
-            out.append((a, a + WIDTH))
-            a += WIDTH - MARGIN
-        out.append((a, b))
+def windows(n: int) -> list[tuple[int, int, int, int]]:
+    """Overlapping windows over a whole text of n characters: start and end, and the part that is kept of each, which is
+    where no other window has the character further from its edge."""
+    out, start = [], 0
+    while n:
+        last = start + WIDTH >= n
+        end = n if last else start + WIDTH
+        out.append((start, end, start + OVERLAP // 2 if start else 0, n if last else end - OVERLAP // 2))
+        if last:
+            break
+        start += WIDTH - OVERLAP
+    return out
+
+
+def tags_of(texts: list[str], model: Tagger) -> list[np.ndarray]:
+    """The tag of each character of each text. Windows of all texts are decoded together, those of a length side by side."""
+    codes = [np.concatenate([classes(t[k : k + CHARS]) for k in range(0, len(t), CHARS)]) if t else np.zeros(0, np.uint8) for t in texts]
+    out = [np.zeros(len(c), np.uint8) for c in codes]
+    places = sorted(((k, *w) for k, c in enumerate(codes) for w in windows(len(c))), key=lambda p: p[2] - p[1])
+    for at in range(0, len(places), BATCH):
+        some = places[at : at + BATCH]
+        x = np.full((max(b - a for _, a, b, _, _ in some), len(some)), PAD, np.uint8)
+        for j, (k, a, b, _, _) in enumerate(some):
+            x[: b - a, j] = codes[k][a:b]
+        decoded = np.ascontiguousarray(model.decode(x).T)
+        for j, (k, a, _, low, high) in enumerate(some):
+            out[k][low:high] = decoded[j, low - a : high - a]
     return out
 
 
 def tagged_spans(texts: list[str], model: Tagger) -> list[list[tuple[str, int, int]]]:
-    """Spans of the tagger in each text. All windows of the texts are decoded together; where windows of a text overlap,
-    each character has the tag of the window in which it lies further from the edge."""
-    places = [(k, a, b) for k, t in enumerate(texts) for a, b in windows(t)]
-    tags: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
-    places.sort(key=lambda p: p[2] - p[1])
-    for at in range(0, len(places), 512):
-        some = places[at : at + 512]
-        x = np.full((max(b - a for _, a, b in some), len(some)), PAD)
-        for j, (k, a, b) in enumerate(some):
-            x[: b - a, j] = classes(texts[k][a:b])
-        decoded = model.decode(x)
-        for j, (k, a, b) in enumerate(some):
-            known = tags[k]
-            for i, tag in enumerate(decoded[: b - a, j].tolist()):
-                depth = min(i, b - a - 1 - i)
-                if tag or a + i in known:
-                    if (old := known.get(a + i)) is None or depth > old[0]:
-                        known[a + i] = (depth, tag)
-                else:
-                    known[a + i] = (depth, 0)
+    """Spans of the tagger in each whole text, across windows: a span goes on while tags stay inside its kind."""
     out = []
-    for known in tags:
+    for tags in tags_of(texts, model):
         spans: list[list] = []
-        for i in sorted(known):
-            tag = known[i][1]
-            if not tag:
-                continue
+        for i in np.flatnonzero(tags).tolist():
+            tag = int(tags[i])
             kind = KINDS[(tag - 1) // 2]
             if tag % 2 or not spans or spans[-1][0] != kind or spans[-1][2] != i:
                 spans.append([kind, i, i + 1])
@@ -126,18 +116,32 @@ def tagged_spans(texts: list[str], model: Tagger) -> list[list[tuple[str, int, i
     return out
 
 
+def portions(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, so many at a time as have about CHARS bytes of text, one at least."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = size[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(size, before + CHARS, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def added_spans(text: str, tagged: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """The tagger's spans that are sound and touch no base span: numbers pass their kind's check, telephone numbers have
-    separators, e-mails a sign and a host."""
+    separators, e-mails a sign and a host, secrets letters and digits and no part of a word beside them."""
     out, taken = [], sorted((a, b) for _, a, b in base)
     for kind, a, b in tagged:
-        while a < b and text[a] in " .,;:\n":
+        while a < b and text[a] in " .,;:\n\"'":
             a += 1
-        while a < b and text[b - 1] in " .,;:\n(-":
+        while a < b and text[b - 1] in " .,;:\n(-\"'":
             b -= 1
         s = text[a:b]
         if kind == "email":
             sound = ("@" in s or SPELT.search(s)) and len(s) >= 6 and "\n" not in s and re.search(r"(\.|\bdot\b)\W*[A-Za-z]{2,}\Z", s)
+        elif kind == "secret":
+            sound = SECRET.fullmatch(s) and not (b < len(text) and text[b].isalnum()) and not (a and text[a - 1].isalnum())
         else:
             sound = valid(kind, s) and not re.search(r"[^0-9 ().+-]", s) and (kind != "phone" or len(re.findall(r"[ ().-]+", s)) >= 2) and not (b < len(text) and text[b].isdigit()) and not (a and text[a - 1].isdigit())
         if sound and not any(x < b and a < y for x, y in taken):
@@ -147,8 +151,9 @@ def added_spans(text: str, tagged: list[tuple[str, int, int]], base: list[tuple[
 
 @functools.lru_cache(1)
 def default_tagger() -> Tagger:
-    """Trained on 1500 made-up lines, a fixed number."""
-    return train(labelled_lines(1500))
+    """Trained by this module's tagger on made-up lines alone; `python -m cellweave.llm.pii` trains it again."""
+    with np.load(WEIGHTS) as f:
+        return Tagger({k: f[k] for k in f.files})
 
 
 def ordered(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -170,27 +175,26 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def find(df: DataFrame, model: Tagger | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, base and spans as text lists, base and all counts by kind, and the redacted text.
+    """Per row: the id, base and spans as text lists, base counts by kind, and the redacted text.
 
-    Texts are handled whole (null: empty, redacted null), a batch at a time; offsets count code points. Base spans stay
-    as the patterns give them; the tagger adds spans that touch none of them. Repeated rows give equal results, the empty
-    table no rows.
+    Patterns and tagger both read every character of every text (null: empty, redacted null), some texts at a time, so
+    memory is bounded by the longest text; offsets count code points. Base spans stay as the patterns give them; the
+    tagger adds spans, of a fifth kind too, that touch none of them. Repeated rows give equal results, a null id stays
+    null, other columns are left out, the empty table gives no rows.
     """
     model = model or default_tagger()
 
     def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                some = batch.slice(k, 1000)
-                given = some["text"].to_pylist()
-                texts = [t or "" for t in given]
-                base = [base_spans(t) for t in texts]
-                all_ = [ordered(b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model), base, strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    some["doc_id"], *[pa.array([sum(s[0] == kind for s in b) for b in base], pa.int64()) for kind in KINDS],
-                    pa.array([listed(b) for b in base]), pa.array([listed(s) for s in all_]),
-                    pa.array([None if g is None else redacted(t, s) for g, t, s in zip(given, texts, all_, strict=True)], pa.string()),
-                ], ["doc_id", *[f"n_{kind}" for kind in KINDS], "base", "spans", "redacted"])
+        for some in portions(batches, "text"):
+            given = some["text"].to_pylist()
+            texts = [t or "" for t in given]
+            base = [base_spans(t) for t in texts]
+            all_ = [ordered(b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model), base, strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                some["doc_id"], *[pa.array([sum(s[0] == kind for s in b) for b in base], pa.int64()) for kind in KINDS[:4]],
+                pa.array([listed(b) for b in base]), pa.array([listed(s) for s in all_]),
+                pa.array([None if g is None else redacted(t, s) for g, t, s in zip(given, texts, all_, strict=True)], pa.string()),
+            ], ["doc_id", *[f"n_{kind}" for kind in KINDS[:4]], "base", "spans", "redacted"])
 
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string, redacted string"
@@ -199,22 +203,29 @@ def find(df: DataFrame, model: Tagger | None = None, id_col: str = "doc_id", tex
 
 def redact(df: DataFrame, model: Tagger | None = None, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """df with each span of its texts, base or added, replaced by its kind, and length_col, if there, by the new length.
-    Null texts stay null."""
+    Null texts stay null, all other columns and repeated rows as they are; the empty table gives no rows."""
     model = model or default_tagger()
 
     def run(batches):
-        for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                some = batch.slice(k, 1000)
-                given = some[text_col].to_pylist()
-                texts = [t or "" for t in given]
-                base = [base_spans(t) for t in texts]
-                new = [redacted(t, b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model), base, strict=True)]
-                columns = {name: some[name] for name in some.schema.names}
-                columns[text_col] = pa.array([n if g is not None else None for n, g in zip(new, given, strict=True)], some[text_col].type)
-                if length_col in columns:
-                    changed = [len(n) if n != t else old for n, t, old in zip(new, texts, some[length_col].to_pylist(), strict=True)]
-                    columns[length_col] = pa.array(changed, some[length_col].type)
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        for some in portions(batches, text_col):
+            given = some[text_col].to_pylist()
+            texts = [t or "" for t in given]
+            base = [base_spans(t) for t in texts]
+            new = [redacted(t, b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model), base, strict=True)]
+            columns = {name: some[name] for name in some.schema.names}
+            columns[text_col] = pa.array([n if g is not None else None for n, g in zip(new, given, strict=True)], some[text_col].type)
+            if length_col in columns:
+                changed = [len(n) if n != t else old for n, t, old in zip(new, texts, some[length_col].to_pylist(), strict=True)]
+                columns[length_col] = pa.array(changed, some[length_col].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return df.mapInArrow(run, df.schema)
+
+
+def train_default() -> None:
+    """Writes the weights that default_tagger reads."""
+    np.savez_compressed(WEIGHTS, **train(labelled_lines(12_000), steps=3000).p)
+
+
+if __name__ == "__main__":
+    train_default()

@@ -3,141 +3,220 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
-PAD = 0
-CLASSES = {c: k for k, c in enumerate("@.-+() _%[]{},:;/\n", 4)}  # after padding, digits and letters
-OTHER = 4 + len(CLASSES)
-LETTERS = np.full(0x250, OTHER, np.int64)
-for _c in range(0x250):
-    LETTERS[_c] = CLASSES.get(chr(_c), 1 if 48 <= _c < 58 else 2 if chr(_c).islower() else 3 if chr(_c).isupper() else OTHER)
+PAD, DIGIT, LOWER, UPPER, OTHER = 0, 1, 2, 3, 4  # letters here are those beyond ASCII
+NEVER = np.float32(-40.0)  # the score of a forbidden transition
+
+Example = tuple[str, list[tuple[str, int, int]]]
+
+
+def class_table() -> np.ndarray:
+    """Character classes of code points below 0x250: each ASCII sign of its own, digits alike."""
+    table = np.full(0x250, OTHER, np.uint8)
+    for c in range(0x250):
+        s = chr(c)
+        if c < 128:
+            table[c] = DIGIT if s.isdigit() else 5 + c
+        else:
+            table[c] = LOWER if s.islower() else UPPER if s.isupper() else OTHER
+    return table
+
+
+TABLE = class_table()
+CLASSES = 5 + 128
 
 
 def classes(text: str) -> np.ndarray:
+    """One class for each code point."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-    return LETTERS[np.minimum(codes, 0x24F)]
+    return np.where(codes < 0x250, TABLE[np.minimum(codes, 0x24F)], np.uint8(OTHER))
+
+
+def allowed() -> np.ndarray:
+    """0 where a tag may follow another, NEVER where not: an inside tag follows its own kind only."""
+    out = np.zeros((TAGS, TAGS), np.float32)
+    for k in range(2, TAGS, 2):
+        out[:, k] = NEVER
+        out[k - 1 : k + 1, k] = 0
+    return out
+
+
+ALLOWED = allowed()
+FIRST = np.where((np.arange(TAGS) > 0) & (np.arange(TAGS) % 2 == 0), NEVER, np.float32(0))
+ENTRY = np.array([0, *range(1, TAGS, 2)])  # tags that may follow any tag
+INNER = np.arange(2, TAGS, 2)
+
+
+def steps_of(wx: np.ndarray, wh: np.ndarray, x: np.ndarray, keep: list | None = None) -> Iterator[np.ndarray]:
+    """Hidden states (ways, hidden, batch) of each time over classes x (time, ways, batch). Padding closes all gates, so
+    states are zero there. The states yielded are overwritten unless keep holds what training needs."""
+    ways, _, n = wh.shape
+    batch = x.shape[2]
+    h, c = np.zeros((2, ways, n, batch), np.float32)
+    a, z = np.empty((2, ways, 4 * n, batch), np.float32)
+    i, f, o, g = (a[:, k * n : (k + 1) * n] for k in range(4))
+    gates, half = a[:, : 3 * n], np.float32(0.5)
+    for t in range(len(x)):
+        for way in range(ways):
+            a[way] = wx[way].take(x[t, way], axis=0).T
+        a += np.matmul(wh, h, out=z)
+        np.tanh(a, out=a)
+        gates *= half
+        gates += half
+        before, last = c, h
+        c = f * c
+        c += i * g
+        tc = np.tanh(c)
+        h = o * tc
+        if keep is not None:
+            keep.append((last, before, i.copy(), f.copy(), o.copy(), g.copy(), tc))
+        yield h
 
 
 @dataclass
 class Tagger:
-    """Weights: of each direction the input rows by character class, the recurrent matrix and bias; then the output layer
-    and the scores of tag transitions and of first tags."""
+    """Weights: wx are the gate inputs of both directions by class (way, class, 4 hidden), wh the recurrent ones (way, 4
+    hidden, hidden); o (way, tags, hidden) and oc the output layer; t and t0 the scores of tag transitions and of first
+    tags."""
 
     p: dict[str, np.ndarray]
 
     @staticmethod
     def fresh(hidden: int, seed: int) -> Tagger:
         rng = np.random.default_rng(seed)
-        p = {}
-        for way in "fb":
-            p["x" + way] = rng.normal(0, 0.3, (OTHER + 1, 4 * hidden))
-            p["h" + way] = rng.normal(0, 1 / np.sqrt(hidden), (hidden, 4 * hidden))
-            p["c" + way] = np.concatenate([np.zeros(hidden), np.ones(hidden), np.zeros(2 * hidden)])
-        p["o"], p["oc"] = rng.normal(0, 0.2, (2 * hidden, TAGS)), np.zeros(TAGS)
-        p["t"], p["t0"] = np.zeros((TAGS, TAGS)), np.zeros(TAGS)
+        wx = rng.normal(0, 0.3, (2, CLASSES, 4 * hidden))
+        wx[:, :, hidden : 2 * hidden] += 0.5
+        p = {"wx": wx, "wh": rng.normal(0, 0.5 / np.sqrt(hidden), (2, 4 * hidden, hidden)), "o": rng.normal(0, 0.3, (2, TAGS, hidden)), "oc": np.zeros(TAGS), "t": np.zeros((TAGS, TAGS)), "t0": np.zeros(TAGS)}
+        p = {k: v.astype(np.float32) for k, v in p.items()}
+        close(p)
         return Tagger(p)
 
-    def run(self, x: np.ndarray, way: str, keep: list | None = None) -> np.ndarray:
-        """Hidden states (time, batch, hidden) of one direction over x (time, batch)."""
-        wx, wh, c0 = self.p["x" + way], self.p["h" + way], self.p["c" + way]
-        n = wh.shape[0]
-        h = c = np.zeros((x.shape[1], n))
-        out = np.zeros((*x.shape, n))
-        for t in range(len(x)) if way == "f" else range(len(x) - 1, -1, -1):
-            z = wx[x[t]] + h @ wh + c0
-            gates = 1 / (1 + np.exp(-z[:, : 3 * n]))
-            i, f, o, g = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :], np.tanh(z[:, 3 * n :])
-            before = c
-            c = f * c + i * g
-            live = (x[t] != PAD)[:, None]
-            c = np.where(live, c, before)
-            tc = np.tanh(c)
-            last, h = h, np.where(live, o * tc, h)
-            out[t] = h
-            if keep is not None:
-                keep.append((t, last, before, i, f, o, g, tc, live))
-        return out
-
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.run(x, "f"), self.run(x, "b")], 2) @ self.p["o"] + self.p["oc"]
+    def scores(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """(time, tags, batch): what the network says of each tag of each character."""
+        out, last = np.empty((len(x), 2, TAGS, x.shape[1]), np.float32), len(x) - 1
+        for t, h in enumerate(steps_of(self.p["wx"], self.p["wh"], np.stack([x, x[::-1]], 1), keep)):
+            np.matmul(self.p["o"][0], h[0], out=out[t, 0])
+            np.matmul(self.p["o"][1], h[1], out=out[last - t, 1])
+        e = out.sum(1)
+        e += self.p["oc"][:, None]
+        return e
 
     def decode(self, x: np.ndarray) -> np.ndarray:
-        """The best tag sequence (time, batch) by transitions and scores; padding keeps the tag before it."""
-        e, t = self.scores(x), self.p["t"]
-        best, back = e[0] + self.p["t0"], []
+        """The best tag sequence (time, batch) by network and transitions; columns end with padding, whose tags mean
+        nothing."""
+        e, t = self.scores(x), self.p["t"] + ALLOWED
+        entry = np.ascontiguousarray(t[:, ENTRY].T)[:, :, None]
+        begin, inside = t[INNER - 1, INNER][:, None], t[INNER, INNER][:, None]
+        best = np.empty(e.shape, np.float32)
+        best[0] = e[0] + (self.p["t0"] + FIRST)[:, None]
+        live = x != PAD
+        whole = live.all(1)
         for k in range(1, len(x)):
-            all_ = best[:, :, None] + t
-            way = all_.argmax(1)
-            live = (x[k] != PAD)[:, None]
-            back.append(np.where(live, way, np.arange(TAGS)))
-            best = np.where(live, all_.max(1) + e[k], best)
-        tag = best.argmax(1)
-        out = [tag]
-        for way in reversed(back):
-            tag = way[np.arange(len(tag)), tag]
-            out.append(tag)
-        return np.stack(out[::-1])
+            b, now = best[k - 1], best[k]
+            now[ENTRY] = (b + entry).max(1)
+            now[INNER] = np.maximum(b[INNER - 1] + begin, b[INNER] + inside)
+            now += e[k]
+            if not whole[k]:
+                np.copyto(now, b, where=~live[k])
+        out = np.empty(x.shape, np.uint8)
+        tag = best[-1].argmax(0)
+        out[-1] = tag
+        back = np.ascontiguousarray(t.T)
+        for k in range(len(x) - 1, 0, -1):
+            before = (best[k - 1] + back[tag].T).argmax(0)
+            tag = before if whole[k] else np.where(live[k], before, tag)
+            out[k - 1] = tag
+        return out
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Negative log likelihood of tags y a character, and its gradients, by forward-backward and back-propagation."""
-        p, keep = self.p, {"f": [], "b": []}
-        n, (steps, batch) = p["hf"].shape[0], x.shape
-        hidden = np.concatenate([self.run(x, w, keep[w]) for w in "fb"], 2)
-        e, live = hidden @ p["o"] + p["oc"], x != PAD
-        a, b = np.zeros((steps, batch, TAGS)), np.zeros((steps, batch, TAGS))
-        a[0] = e[0] + p["t0"]
+        p, keep = self.p, []
+        e, live = self.scores(x, keep).transpose(0, 2, 1), x != PAD
+        hidden = np.stack([o * tc for _, _, _, _, o, _, tc in keep])
+        top = e.max(2, keepdims=True)
+        ee, et = np.exp(e - top), np.exp(p["t"] + ALLOWED)
+        steps, batch = x.shape
+        a, b, norm = np.zeros_like(ee), np.ones_like(ee), np.ones((steps, batch, 1), np.float32)
+        a[0] = ee[0] * np.exp(p["t0"] + FIRST)
+        norm[0] = a[0].sum(1, keepdims=True)
+        a[0] /= norm[0]
         for k in range(1, steps):
-            a[k] = np.where(live[k][:, None], np.logaddexp.reduce(a[k - 1][:, :, None] + p["t"], 1) + e[k], a[k - 1])
+            a[k] = a[k - 1] @ et * ee[k]
+            norm[k] = a[k].sum(1, keepdims=True)
+            a[k] /= norm[k]
+            if not live[k].all():
+                off = ~live[k]
+                a[k][off], norm[k][off] = a[k - 1][off], 1
         for k in range(steps - 2, -1, -1):
-            b[k] = np.where(live[k + 1][:, None], np.logaddexp.reduce(p["t"] + (e[k + 1] + b[k + 1])[:, None, :], 2), b[k + 1])
-        total = np.logaddexp.reduce(a[-1], 1)
+            b[k] = (b[k + 1] * ee[k + 1] / norm[k + 1]) @ et.T
+            if not live[k + 1].all():
+                off = ~live[k + 1]
+                b[k][off] = b[k + 1][off]
         seen, row = max(int(live.sum()), 1), np.arange(batch)
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        gold = np.where(live, np.take_along_axis(e, y[:, :, None], 2)[:, :, 0], 0).sum() + p["t0"][y[0]].sum()
-        de = np.exp(a + b - total[None, :, None])
+        loss = np.log(norm[:, :, 0]).sum() + top[:, :, 0][live].sum() - np.take_along_axis(e, y[:, :, None], 2)[:, :, 0][live].sum() - (p["t0"] + FIRST)[y[0]].sum()
+        de = a * b
+        de /= de.sum(2, keepdims=True)
         g["t0"] = de[0].sum(0) - np.bincount(y[0], minlength=TAGS)
-        for k in range(1, steps):
-            on = live[k]
-            pair = np.exp(a[k - 1][on][:, :, None] + p["t"] + (e[k] + b[k])[on][:, None, :] - total[on][:, None, None])
-            g["t"] += pair.sum(0)
-            np.add.at(g["t"], (y[k - 1][on], y[k][on]), -1.0)
-            gold += p["t"][y[k - 1][on], y[k][on]].sum()
+        both = live[1:]
+        left, right = a[:-1][both], (b[1:] * ee[1:] / norm[1:])[both]
+        g["t"] = (left.T @ right) * et
+        moves = np.zeros((TAGS, TAGS))
+        np.add.at(moves, (y[:-1][both], y[1:][both]), 1.0)
+        loss -= float((moves * (p["t"] + ALLOWED)).sum())
+        g["t"] = (g["t"] - moves).astype(np.float32)
         de[np.arange(steps)[:, None], row, y] -= 1
         de *= live[:, :, None]
-        g["o"], g["oc"] = np.tensordot(hidden, de, ([0, 1], [0, 1])), de.sum((0, 1))
-        dh_all = de @ p["o"].T
-        for w, part in (("f", slice(0, n)), ("b", slice(n, 2 * n))):
-            dh, dc = np.zeros((batch, n)), np.zeros((batch, n))
-            for t, last, before, i, f, o, gg, tc, on in reversed(keep[w]):
-                dh = dh + dh_all[t][:, part]
-                dhl, rest = dh * on, dh * ~on
-                dcl = dc * on + dhl * o * (1 - tc**2)
-                dz = np.concatenate([dcl * gg * i * (1 - i), dcl * before * f * (1 - f), dhl * tc * o * (1 - o), dcl * i * (1 - gg**2)], 1)
-                np.add.at(g["x" + w], x[t], dz)
-                g["h" + w] += last.T @ dz
-                g["c" + w] += dz.sum(0)
-                dh, dc = dz @ p["h" + w].T + rest, dcl * f + dc * ~on
-        return float((total.sum() - gold) / seen), {k: v / seen for k, v in g.items()}
-
-
-def arrays(examples: list[tuple[str, list[tuple[str, int, int]]]], width: int) -> tuple[np.ndarray, np.ndarray]:
+        g["oc"] = de.sum((0, 1))
+        de = np.stack([de, de[::-1]], 1)
+        g["o"] = np.einsum("twbk,twhb->wkh", de, hidden, optimize=True)
+        n = p["wh"].shape[2]
+        dh_all = (de @ p["o"]).transpose(0, 1, 3, 2)
+        dh, dc = np.zeros((2, 2, n, batch), np.float32)
+        dz_all = np.empty((steps, 2, 4 * n, batch), np.float32)
+        back = p["wh"].transpose(0, 2, 1)
+        for t in range(steps - 1, -1, -1):
+            last, before, i, f, o, gg, tc = keep[t]
+            dh = dh + dh_all[t]
+            dc = dc + dh * o * (1 - tc**2)
+            dz = dz_all[t]
+            dz[:, :n], dz[:, n : 2 * n] = dc * gg * i * (1 - i) * 2, dc * before * f * (1 - f) * 2
+            dz[:, 2 * n : 3 * n], dz[:, 3 * n :] = dh * tc * o * (1 - o) * 2, dc * i * (1 - gg**2)
+            g["wh"] += dz @ last.transpose(0, 2, 1)
+            dh, dc = back @ dz, dc * f
+        for way, xs in enumerate((x, x[::-1])):
+            order = np.argsort(xs.ravel(), kind="stable")
+            found, starts = np.unique(xs.ravel()[order], return_index=True)
+            g["wx"][way][found] = np.add.reduceat(dz_all[:, way].transpose(0, 2, 1).reshape(-1, 4 * n)[order], starts)
+        g["wx"][:, PAD] = 0
+        return float(loss / seen), {k: v / seen for k, v in g.items()}
+
+
+def close(p: dict[str, np.ndarray]) -> None:
+    """Padding shuts the gates of input, memory and output. (Gate inputs are halves of a logistic function's argument.)"""
+    n = p["wh"].shape[2]
+    p["wx"][:, PAD, : 3 * n], p["wx"][:, PAD, 3 * n :] = -30, 0
+
+
+def arrays(examples: list[Example], width: int) -> tuple[np.ndarray, np.ndarray]:
     """(time, examples) classes and tags of labelled texts, cut or padded to width."""
     x, y = np.zeros((width, len(examples)), np.int64), np.zeros((width, len(examples)), np.int64)
     for k, (text, spans) in enumerate(examples):
         code = classes(text)[:width]
         x[: len(code), k] = code
         for kind, start, end in spans:
-            if end <= width:
-                tag = 1 + 2 * KINDS.index(kind)
-                y[start, k], y[start + 1 : end, k] = tag, tag + 1
+            tag = 1 + 2 * KINDS.index(kind)
+            y[start : start + 1, k], y[start + 1 : end, k] = tag, tag + 1
     return x, y
 
 
-def train(examples: list[tuple[str, list[tuple[str, int, int]]]], width: int = 72, hidden: int = 20, steps: int = 260, batch: int = 48, rate: float = 0.02, seed: int = 4) -> Tagger:
+def train(examples: list[Example], width: int = 96, hidden: int = 12, steps: int = 800, batch: int = 64, rate: float = 0.02, seed: int = 4) -> Tagger:
     """Adam on minibatches of labelled spans; the same examples and seed give the same weights."""
     model, rng = Tagger.fresh(hidden, seed), np.random.default_rng(seed)
     x, y = arrays(examples, width)
@@ -146,50 +225,94 @@ def train(examples: list[tuple[str, list[tuple[str, int, int]]]], width: int = 7
     for step in range(1, steps + 1):
         some = rng.choice(len(examples), batch)
         _, g = model.gradients(x[:, some], y[:, some])
+        now = rate * min(1.0, step / 20) * (1 - step / (steps + 20))
         for k in model.p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
             v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
-            now = rate * (1 - step / (steps + 20))
-            model.p[k] -= now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
+            model.p[k] -= (now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        close(model.p)
     return model
 
 
-def labelled_lines(n: int, seed: int = 9) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """Made-up lines with labelled personal data in many spellings, and numbers that are none."""
-    r = random.Random(seed)
-    word = lambda: "".join(r.choice("abcdefghiklmnoprstuvwäéñ") for _ in range(r.randint(2, 8)))
-    digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
-    name = lambda: "".join(r.choice("abcdeghiklmnoprstu") for _ in range(r.randint(3, 8)))
-
-    def email() -> str:
-        user, host, top = name() + r.choice(["", ".", "_", "-"]) + r.choice([name(), digits(2), ""]), name(), r.choice(["com", "org", "net", "de", "fr", "example.com"])
-        user = user.strip("._-")
-        at, dot = r.choice([("@", "."), ("@", "."), ("(at)", "."), (" (at) ", "."), ("[at]", "."), (" [at] ", " [dot] "), ("{at}", "(dot)"), (" @ ", ".")])
-        return user + at + host + dot + top.split(".")[-1]
-
-    def phone() -> str:
-        a, b, c = digits(3), digits(3), digits(4)
-        return r.choice([f"+1 ({a}) {b}-{c}", f"+{digits(2)} {a} {b}{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+1-{a}-{b}-{c}", f"1-{a}-{b}-{c}", f"({a}) {b} {c}", f"00{digits(2)} {a} {b} {c}"])
-
-    make = {
-        "email": email, "phone": phone, "ip": lambda: ".".join(str(r.randint(0, 255)) for _ in range(4)),
-        "card": lambda: r.choice(["", " ", "-"]).join(digits(4) for _ in range(4)),
-    }
-    none = (
-        lambda: f"{r.randint(1900, 2030)}-{digits(2)}-{digits(2)}", lambda: f"{digits(1)}.{digits(2)}.{digits(1)}", lambda: digits(r.randint(2, 11)), lambda: f"{digits(2)}/{digits(2)}/{digits(4)}",
-        lambda: f"{digits(1)},{digits(3)},{digits(3)}.{digits(2)}", lambda: f"{digits(2)}:{digits(2)}:{digits(2)}", lambda: f"@{name()}", lambda: f"{digits(4)}-{digits(4)}", lambda: f"({digits(4)})", lambda: f"{digits(20)}",
-        lambda: "(at)", lambda: f"{digits(6)} {digits(6)}",
-    )
-    out = []
-    for _ in range(n):
-        text, spans = "", []
-        for _ in range(r.randint(1, 7)):
-            if r.random() < 0.25:
+class Lines:
+    """Made-up lines with labelled personal data and secrets in many spellings, and numbers and signs that are none."""
+
+    def __init__(self, seed: int):
+        self.r = random.Random(seed)
+
+    def some(self, letters: str, low: int, high: int) -> str:
+        return "".join(self.r.choices(letters, k=self.r.randint(low, high)))
+
+    def digits(self, n: int) -> str:
+        return "".join(self.r.choices("0123456789", k=n))
+
+    def name(self) -> str:
+        return self.some("abcdefghijklmnopqrstuvwxyz", 3, 8)
+
+    def email(self) -> str:
+        r = self.r
+        user = (self.name() + r.choice(["", ".", "_", "-", "+"]) + r.choice([self.name(), self.digits(2), ""])).strip("._-+")
+        host, top = r.choice([self.name(), self.name() + self.digits(1)]), r.choice(["com", "org", "net", "de", "fr", "es", "io", "co"])
+        at, dot = r.choice([("@", "."), ("@", "."), ("(at)", "."), (" (at) ", "."), ("[at]", "."), (" [at] ", " [dot] "), ("{at}", "(dot)"), (" @ ", "."), (" at ", " dot ")])
+        return user + at + host + dot + (self.name() + dot if r.random() < 0.3 else "") + top
+
+    def phone(self) -> str:
+        a, b, c = self.digits(3), self.digits(3), self.digits(4)
+        return self.r.choice([
+            f"+1 ({a}) {b}-{c}", f"+{self.digits(2)} {a} {b}{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+1-{a}-{b}-{c}", f"1-{a}-{b}-{c}", f"({a}) {b} {c}", f"00{self.digits(2)} {a} {b} {c}",
+        ])
+
+    def ip(self) -> str:
+        return ".".join(str(self.r.randint(0, 255)) for _ in range(4))
+
+    def card(self) -> str:
+        """Sixteen digits, the last of which makes the check sum right (a wrong one is none, which only the check tells)."""
+        return self.r.choice(["", " ", "-"]).join(self.digits(4) for _ in range(4))
+
+    def secret(self) -> str:
+        hexes, all_ = self.r.choice(["0123456789abcdef", "0123456789ABCDEF"]), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+        return self.r.choice([self.some(hexes, 32, 40), self.some(hexes, 40, 40), self.some(all_, 24, 40), "AKIA" + self.some(all_[:26] + all_[52:], 16, 16), "ghp_" + self.some(all_, 36, 36)])
+
+    def keyed(self) -> tuple[str, str]:
+        """What stands before a secret and after it."""
+        key = self.r.choice(["token", "api_key", "apikey", "secret", "password", "access_key", "auth_token", "key"])
+        if self.r.random() < 0.3:
+            key = key.upper()
+        quote = self.r.choice(['"', '"', "'", ""])
+        return key + self.r.choice([" = ", "=", ": ", " : ", " := "]) + quote, quote
+
+    def none(self) -> str:
+        d, r = self.digits, self.r
+        return r.choice([
+            f"{r.randint(1900, 2030)}-{d(2)}-{d(2)}", f"{d(1)}.{d(2)}.{d(1)}", d(r.randint(2, 11)), f"{d(2)}/{d(2)}/{d(4)}", f"{d(1)},{d(3)},{d(3)}.{d(2)}", f"{d(2)}:{d(2)}:{d(2)}", f"@{self.name()}",
+            f"{d(4)}-{d(4)}", f"({d(4)})", d(r.randint(20, 26)), "(at)", f"{d(6)} {d(6)}", f"v{d(1)}.{d(1)}.{d(2)}", f"https://{self.name()}.com/{self.name()}/{d(4)}", f"commit {self.some('0123456789abcdef', 40, 40)}",
+            f"sha256:{self.some('0123456789abcdef', 64, 64)}", f"{self.name()}_{d(3)}", f"x{d(1)} = {d(2)}.{d(3)}", f"{self.name()}({self.name()})", f"{d(3)} | {d(3)} | {d(3)}", f"key = {self.name()}", f"token {self.name()}",
+            f"{self.name()} at {self.name()}", f"{self.name()} dot {self.name()}", f"{d(1)}) {self.name()}", "#" * r.randint(1, 6), "..." , f"{d(2)}%", f"${d(3)}.{d(2)}", f"[{d(2)}]", "!!", "== " + self.name() + " ==",
+        ])
+
+    def word(self) -> str:
+        w = self.some(self.r.choice(["abcdefghiklmnoprstuvwy", "abcdefghiklmnoprstuvwxyzäéñöüßçèêóí"]), 1, 10)
+        return self.r.choice([w, w, w, w.capitalize(), w.upper()])
+
+    def line(self, width: int) -> Example:
+        r, text, spans = self.r, "", []
+        often = r.choice([0.0, 0.1, 0.3, 0.6])
+        odd = r.choice([0.02, 0.15, 0.4])
+        while len(text) < width:
+            after = ""
+            if r.random() < often:
                 kind = r.choice(KINDS)
-                piece = make[kind]()
+                if kind == "secret":
+                    before, after = self.keyed()
+                    text += before
+                piece = getattr(self, kind)()
                 spans.append((kind, len(text), len(text) + len(piece)))
             else:
-                piece = r.choice(none)() if r.random() < 0.3 else word()
-            text += piece + r.choice([" ", " ", " ", ". ", ", ", "\n"])
-        out.append((text, spans))
-    return out
+                piece = self.none() if r.random() < odd else self.word()
+            text += piece + after + r.choice([" ", " ", " ", " ", ". ", ", ", "\n", " | ", "; "])
+        return text, spans
+
+
+def labelled_lines(n: int, seed: int = 9, width: int = 96) -> list[Example]:
+    lines = Lines(seed)
+    return [lines.line(width) for _ in range(n)]

@@ -356,24 +356,6 @@ def test_base_spans_are_those_of_the_patterns():
 def test_long_texts_take_linear_time():
     for t in ("a" * 300_000 + "@", "1" * 300_000, "+1" * 150_000, "a@" * 150_000, "1." * 150_000):
         pii.base_spans(t)
-        pii.windows(t)
-
-
-def test_tagger_gradients_and_accuracy():
-    small = tagger.Tagger.fresh(3, 1)
-    x, y = tagger.arrays(tagger.labelled_lines(5, 3), 20)
-    _, g = small.gradients(x, y)
-    for k, w in small.p.items():
-        at = np.unravel_index(np.abs(g[k]).argmax(), w.shape)
-        w[at] += 1e-5
-        up = small.gradients(x, y)[0]
-        w[at] -= 2e-5
-        down = small.gradients(x, y)[0]
-        w[at] += 1e-5
-        assert abs((up - down) / 2e-5 - g[k][at]) < 1e-4
-    model = pii.default_tagger()
-    x, y = tagger.arrays(tagger.labelled_lines(300, 77), 72)
-    assert (model.decode(x) == y)[x != tagger.PAD].mean() > 0.9
 
 
 def test_pii_rows_and_redaction(spark):
@@ -381,7 +363,7 @@ def test_pii_rows_and_redaction(spark):
     rows = {r.doc_id: r for r in pii.find(docs(spark, texts)).collect()}
     for i, t in enumerate(texts):
         base = base_by_regex(t or "")
-        assert [rows[i].n_email, rows[i].n_ip, rows[i].n_card, rows[i].n_phone] == [sum(b[0] == k for b in base) for k in tagger.KINDS]
+        assert [rows[i].n_email, rows[i].n_ip, rows[i].n_card, rows[i].n_phone] == [sum(b[0] == k for b in base) for k in tagger.KINDS[:4]]
         assert rows[i].base == ",".join(f"{k}:{a}:{b}" for k, a, b in base)
         assert {x for x in rows[i].base.split(",") if x} <= set(rows[i].spans.split(","))
     assert rows[len(TEXTS)].spans == "phone:5:19" and rows[len(TEXTS) + 3].spans == ""
