@@ -308,7 +308,7 @@ def test_nearest_recall_scores_and_ties(spark):
     rows = [(k, v.tolist(), 0, "x") for k, v in enumerate(rng.normal(size=(1500, 16)).astype(np.float32).astype(float))]
     rows += [(1500 + k, rows[7][1], 0, "x") for k in range(30)] + vector_rows(n=0)
     df = spark.createDataFrame(rows, SCHEMA)
-    plan = vectors.Aq(block=300, queries=40, rerank=60)
+    plan = vectors.Aq(block=300, queries=40)
     got = vectors.nearest(df, df.where("vec_id % 20 = 0"), plan=plan).toPandas()
     good = [(i, np.array(v, np.float32).astype(float)) for i, v, *_ in rows if v and len(v) == 16]
     ids, x = np.array([i for i, _ in good]), np.stack([v for _, v in good])
