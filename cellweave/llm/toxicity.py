@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import durable
 from .quality import held_out
 from .trees import Boosted, boost, isotonic
 
@@ -27,7 +28,8 @@ NAMES = (
     "capitals", "bangs", "questions", "punctuation", "repeats", "words",
 )
 BOUND = 20_000  # labelled rows that the trees and the lexicon are fitted on, at most
-ENTRIES = 4_000  # of the lexicon, at most
+LEAST = 4  # toxic documents of those rows that hold a key of the lexicon, at least
+SURE = 3.0  # standard deviations by which they outnumber what chance would give, at least
 
 
 def keys_of(word: str) -> list[str]:
@@ -74,13 +76,15 @@ class Features:
 
 
 def learn_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Weights of keys found in enough toxic documents, and far more often there."""
+    """Weights of all keys that are far more frequent in toxic documents than chance would make them. Nothing is ranked
+    or cut off: the rows that counts come from bound the keys."""
     out = {}
     for key, t, c in counts:
         w = math.log((t + 0.3) / (toxic + 1)) - math.log((c + 0.3) / (clean + 1))
-        if w >= 1.0:
+        chance = (t + c) * toxic / max(toxic + clean, 1)
+        if w >= 1.0 and t - chance >= SURE * math.sqrt(max(chance * clean / max(toxic + clean, 1), 0.25)):
             out[key] = min(w, 6.0)
-    return dict(sorted(out.items(), key=lambda kv: (-kv[1], kv[0]))[:ENTRIES])
+    return out
 
 
 class Model:
@@ -111,7 +115,7 @@ def fit(df: DataFrame, labels: DataFrame, of: int, at: int, bound: int, id_col:
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(part * 1_000_000))
     chosen = chosen.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(2)).cast("int"))
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    train = docs.join(F.broadcast(chosen), "doc_id")  # about bound rows of three numbers
+    train = durable(docs.join(F.broadcast(chosen), "doc_id"))  # about bound rows of three numbers meet all documents once
 
     def count_keys(batches):
         counts: dict[str, list[int]] = {}
@@ -129,10 +133,10 @@ def fit(df: DataFrame, labels: DataFrame, of: int, at: int, bound: int, id_col:
     size = {(y, h): n for y, h, n in train.groupBy("y", "half").count().collect()}
     toxic, clean = (sum(n for (y, _), n in size.items() if y == k) for k in (1, 0))
     often = 2.5 * toxic / max(clean, 1)
-    sums = sums.where(f"t0 + t1 >= 4 and t0 + t1 >= {often} * (c0 + c1)").orderBy(F.desc(F.expr("(t0 + t1) / (c0 + c1 + 1)")), "key").limit(4 * ENTRIES)
+    sums = sums.where(f"t0 + t1 >= {LEAST} and t0 + t1 >= {often} * (c0 + c1)")
     if min(toxic, clean) < 4:
         return Model({}, None, None, float(toxic >= clean and toxic > 0))
-    rows = sums.collect()
+    rows = sums.orderBy("key").collect()  # keys of about bound rows, each in several of them
     whole = learn_lexicon([(k, a + c, b + d) for k, a, b, c, d in rows], toxic, clean)
     halves = [learn_lexicon([(r[0], r[1 + 2 * h], r[2 + 2 * h]) for r in rows if r[1 + 2 * h] >= 2], size.get((1, h), 0), size.get((0, h), 0)) for h in (0, 1)]
 
@@ -174,7 +178,8 @@ def score(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, threshold:
 
 def keep_clean(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, threshold: float = 0.5, bound: int = BOUND,
                id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """The rows of df, with all its columns, whose score is under the threshold. Nothing is shuffled but what fit needs."""
+    """The rows of df, with all its columns, whose score is under the threshold. Nothing is shuffled but what fit needs.
+    Null texts are scored as empty ones, repeated rows stay or go together, the empty table gives no rows."""
     model = fit(df, labels, of, at, bound, id_col, text_col, label_col)
 
     def run(batches):
