@@ -246,9 +246,11 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, plan: Aq = Aq(), id_
                 factor = np.linalg.norm(x, axis=1) / np.maximum(np.linalg.norm(made, axis=1), 1e-30)
                 yield pa.RecordBatch.from_arrays([some["id"], some["h"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor.astype(np.float32))], ["id", "h", "code", "factor"])
 
-    # As many pairs of blocks as Spark has tasks for a shuffle, or more where blocks would grow beyond the plan's sizes.
-    mb = -(-nq // plan.queries)
-    nb = max(-(-n // plan.block), -(-shuffle_width(spark) // mb))
+    # As many pairs of blocks as Spark has tasks for a shuffle, but no blocks so small that their best rows are most of
+    # their rows, nor any beyond the plan's sizes.
+    width = shuffle_width(spark)
+    nb = max(-(-n // plan.block), min(width, n // (16 * plan.rerank)), 1)
+    mb = max(-(-nq // plan.queries), min(-(-width // nb), nq // 256), 1)
     coded = durable(rows.select("id", "v", F.xxhash64("v").alias("h")).mapInArrow(encoded, "id long, h long, code binary, factor float"))
     left = coded.select("*", F.expr(f"cast(pmod(xxhash64(id, 1), {nb}) as int)").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(mb - 1))).alias("q"))
     right = asked.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("b"), F.expr(f"cast(pmod(xxhash64(id, 2), {mb}) as int)").alias("q"))
