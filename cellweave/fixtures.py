@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 #: In order of dependence; {div} is integer division.
+#: The image's width grows with the part table, so all tables of cells grow with the scale factor.
 TABLES = {
-    "obs_raw": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, CAST(l_suppkey % 4 AS INT) AS tile, CAST(l_orderkey % 10 AS INT) AS r,
-        CAST(l_partkey % 10 AS INT) AS c, CAST(l_shipdate AS DATE) AS d, CASE WHEN l_returnflag = 'A' THEN 'S1' ELSE 'S2' END AS mission,
+    "side": "SELECT CAST(FLOOR(SQRT(COUNT(*))) AS INT) AS w FROM part",
+    "tiles": "SELECT DISTINCT CAST(s_suppkey % 4 AS INT) AS tile FROM supplier",
+    "obs_raw": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, CAST(l_suppkey % 4 AS INT) AS tile, CAST(l_partkey {div} (SELECT w FROM side ) AS INT) AS r,
+        CAST(l_partkey % (SELECT w FROM side ) AS INT) AS c, CAST(l_shipdate AS DATE) AS d, CASE WHEN l_returnflag = 'A' THEN 'S1' ELSE 'S2' END AS mission,
         CAST(CASE WHEN (l_orderkey*31 + l_partkey*17 + l_linenumber*7) % 20 < 9 THEN (l_partkey*3 + l_orderkey) % 101
                   WHEN (l_orderkey*31 + l_partkey*17 + l_linenumber*7) % 20 < 11 THEN 0
                   WHEN (l_orderkey*31 + l_partkey*17 + l_linenumber*7) % 20 < 16 THEN 205
                   WHEN (l_orderkey*31 + l_partkey*17 + l_linenumber*7) % 20 < 18 THEN 255 ELSE 210 END AS INT) AS v,
         CAST((l_orderkey + l_partkey) % 4 AS INT) AS qc, CAST((l_orderkey*5 + l_partkey) % 256 AS INT) AS qf FROM lineitem""",
     "obs": "SELECT tile, r, c, d, MIN(v) AS v, MIN(qc) AS qc, MIN(qf) AS qf, CAST(COUNT(*) AS BIGINT) AS n FROM obs_raw x GROUP BY tile, r, c, d",
-    "grid": """SELECT DISTINCT CAST(a.p_partkey % 4 AS INT) AS tile, CAST(b.p_partkey % 10 AS INT) AS r, CAST(c.p_partkey % 10 AS INT) AS c
-        FROM part a, part b, part c WHERE a.p_partkey < 4 AND b.p_partkey < 10 AND c.p_partkey < 10""",
-    "dem": """SELECT CAST(p_partkey % 10 AS INT) AS r, CAST((p_partkey {div} 10) % 10 AS INT) AS c, CAST(MIN(p_size)*50 + MAX(p_partkey % 97) AS INT) AS z
-        FROM part WHERE p_partkey < 100 GROUP BY 1, 2""",
+    "grid": """SELECT tile, CAST(p_partkey {div} (SELECT w FROM side ) AS INT) AS r, CAST(p_partkey % (SELECT w FROM side ) AS INT) AS c FROM part CROSS JOIN tiles""",
+    "dem": """SELECT tile, CAST(p_partkey {div} (SELECT w FROM side ) AS INT) AS r, CAST(p_partkey % (SELECT w FROM side ) AS INT) AS c,
+        CAST(p_size*50 + p_partkey % 97 + 13*tile AS INT) AS z FROM part CROSS JOIN tiles""",
     "water": "SELECT tile, r, c, CASE (tile*7 + r*3 + c*5) % 9 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 253 WHEN 3 THEN 255 ELSE 0 END AS wl FROM grid g",
-    "tcd": "SELECT DISTINCT r, c, (r*13 + c*7) % 105 AS tcd FROM grid g",
-    "bands": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, CAST(l_suppkey % 4 AS INT) AS tile, CAST(l_orderkey % 10 AS INT) AS r,
-        CAST(l_partkey % 10 AS INT) AS c, CAST(l_shipdate AS DATE) AS d, CAST(100 + (l_orderkey*7) % 900 AS INT) AS green, CAST(50 + (l_partkey*11) % 800 AS INT) AS red,
+    "tcd": "SELECT tile, r, c, (tile*31 + r*13 + c*7) % 105 AS tcd FROM grid g",
+    "bands": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, CAST(l_suppkey % 4 AS INT) AS tile, CAST(l_partkey {div} (SELECT w FROM side ) AS INT) AS r,
+        CAST(l_partkey % (SELECT w FROM side ) AS INT) AS c, CAST(l_shipdate AS DATE) AS d, CAST(100 + (l_orderkey*7) % 900 AS INT) AS green, CAST(50 + (l_partkey*11) % 800 AS INT) AS red,
         CAST(20 + (l_orderkey*3 + l_partkey) % 500 AS INT) AS swir, CAST(100 + (l_partkey*5) % 900 AS INT) AS blue,
         CAST(50 + (l_suppkey*13 + l_orderkey) % 700 AS INT) AS nir, CAST((l_orderkey + l_partkey*3) % 256 AS INT) AS cloud_bits FROM lineitem""",
-    "feature_cells": """SELECT n_nationkey AS fid, g.tile, g.r, g.c FROM nation, grid g WHERE g.tile = n_nationkey % 4
-        AND g.r BETWEEN n_nationkey % 7 AND n_nationkey % 7 + 3 AND g.c BETWEEN n_nationkey % 5 AND n_nationkey % 5 + 4""",
+    "feature_cells": """SELECT n_nationkey AS fid, g.tile, g.r, g.c FROM nation JOIN grid g ON g.tile = n_nationkey % 4 CROSS JOIN side
+        WHERE g.r BETWEEN n_nationkey % 7 * w {div} 10 AND (n_nationkey % 7 + 3) * w {div} 10 AND g.c BETWEEN n_nationkey % 5 * w {div} 10 AND (n_nationkey % 5 + 4) * w {div} 10""",
     "input": """SELECT o_orderkey AS id, CONCAT('R', CAST(o_custkey % 25 AS STRING), '_PC') AS processing_condition_name, o_orderdate AS date,
         CONCAT('T', CAST(10 + o_custkey % 40 AS STRING)) AS tile, CAST(YEAR(o_orderdate)*10000 + MONTH(o_orderdate)*100 + DAY(o_orderdate) AS BIGINT) AS measurement_day,
         CONCAT('/in/', CAST(o_orderkey AS STRING)) AS input_path, CASE WHEN o_custkey % 3 = 0 THEN 'S1' ELSE 'S2' END AS mission FROM orders""",
@@ -72,18 +76,22 @@ def with_tables(body: str, names: list[str], spark: bool = False) -> str:
 
 
 class Tables:
-    """Tables of a folder by name: base tables as they are, derived ones through their SQL."""
+    """Tables of a folder by name: base tables as they are, derived ones through their SQL. Nothing of the session
+    changes: no view is made and no setting; days and hours are those of a session in UTC."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        spark.conf.set("spark.sql.session.timeZone", "UTC")  # days and hours are those of the oracle
-        self.base = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("nation", "supplier", "part", "orders", "lineitem", "events")}
+        self.read: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.base.get(name) or self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            if name not in self.read:
+                self.read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return self.read[name]
         if name not in TABLES:
             raise KeyError(name)
-        for n, df in self.base.items():
-            df.createOrReplaceTempView(n)
-        return self.spark.sql(with_tables(f"SELECT * FROM {name}", [name], spark=True))
+        text = with_tables(f"SELECT * FROM {name}", [name], spark=True)
+        used = [n for n in BASE if re.search(rf"\b(?:FROM|JOIN) {n}\b", text)]
+        for n in used:
+            text = re.sub(rf"\b(FROM|JOIN) {n}\b(?! AS \()", rf"\1 {{{n}}}", text)
+        return self.spark.sql(text, **{n: self(n) for n in used})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 KEY = ["tile", "r", "c"]
 FOUR = ((-1, 0), (1, 0), (0, -1), (0, 1))
 EIGHT = tuple((i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0))
@@ -48,13 +50,14 @@ def contour(cells: DataFrame) -> DataFrame:
 
 
 def box_deviation(cells: DataFrame, band: str, half: int) -> DataFrame:
-    """Local standard deviation in a square window cut at the border: sums along rows, then along columns."""
-    x = F.col(band).cast("double")
-    row, column = Window.partitionBy("tile", "r").orderBy("c").rangeBetween(-half, half), Window.partitionBy("tile", "c").orderBy("r").rangeBetween(-half, half)
-    s = cells.select(*KEY, F.count("*").over(row).alias("n"), F.sum(x).over(row).alias("s"), F.sum(x * x).over(row).alias("q"))
-    t = s.select(*KEY, F.sum("n").over(column).alias("n"), F.sum("s").over(column).alias("s"), F.sum("q").over(column).alias("q"))
+    """Local standard deviation in a square window cut at the border and at missing cells: each cell is sent to the rows
+    that see it, then sums go along those rows. One shuffle, of as many rows a cell as the window is high."""
+    row = Window.partitionBy("tile", "r").orderBy("c").rangeBetween(-half, half)
+    sent = cells.select(*KEY, F.col(band).cast("double").alias("x"), F.explode(F.sequence(F.lit(-half), F.lit(half))).alias("i"))
+    sent = sent.select("tile", (F.col("r") + F.col("i")).cast("int").alias("r"), "c", "x", (F.col("i") == 0).alias("own"))
+    s = sent.select(*KEY, "own", F.count("*").over(row).alias("n"), F.sum("x").over(row).alias("s"), F.sum(F.col("x") * F.col("x")).over(row).alias("q")).where("own")
     m = F.col("s") / F.col("n")
-    return t.select(*KEY, F.round(F.sqrt(F.greatest(F.col("q") / F.col("n") - m * m, F.lit(0.0))), 6).alias("deviation"))
+    return s.select(*KEY, F.round(F.sqrt(F.greatest(F.col("q") / F.col("n") - m * m, F.lit(0.0))), 6).alias("deviation"))
 
 
 def gradient_magnitude(cells: DataFrame, band: str) -> DataFrame:
@@ -85,21 +88,18 @@ def smooth(cells: DataFrame, band: str, k: int) -> DataFrame:
 
 
 def label(cells: DataFrame, value: Column, checkpoint=None) -> DataFrame:
-    """Four-connected areas of cells with the value: each cell's label is the smallest cell number of its area.
+    """Four-connected areas of cells with the value: each cell's label is the first cell (r, c) of its area in its tile.
 
-    Minima spread to neighbours, and by jumps from a label to its own label, until nothing changes; checkpoint cuts the
-    lineage of each round (a reliable checkpoint where the session has a folder for it).
+    Minima spread to neighbours, and by jumps from a label to its own label, until nothing changes. checkpoint cuts the
+    lineage of each round; by default rounds are written to the shared folder.
     """
-    spark = cells.sparkSession
-    if checkpoint is None:
-        checkpoint = (lambda df: df.checkpoint()) if spark.sparkContext.getCheckpointDir() else (lambda df: df.persist())
-    number = (F.col("tile") * F.lit(10**12) + F.col("r") * F.lit(10**6) + F.col("c")).cast("bigint")
-    x = checkpoint(cells.where(value).select(*KEY, number.alias("id"), number.alias("label")))
+    checkpoint = checkpoint or durable
+    x = checkpoint(cells.where(value).select(*KEY, F.struct("r", "c").alias("id"), F.struct("r", "c").alias("label")))
     while True:
         near = around(x, FOUR, "label").groupBy(*KEY).agg(F.min("n_label").alias("n"))
         y = x.join(near, KEY, "left").select(*KEY, "id", "label", F.least("label", "n").alias("new"))
-        jump = x.select(F.col("id").alias("new"), F.col("label").alias("j"))
-        y = checkpoint(y.join(jump, "new", "left").select(*KEY, "id", F.col("label").alias("old"), F.least("new", "j").alias("label")))
+        jump = x.select("tile", F.col("id").alias("new"), F.col("label").alias("j"))
+        y = checkpoint(y.join(jump, ["tile", "new"], "left").select(*KEY, "id", F.col("label").alias("old"), F.least("new", "j").alias("label")))
         changed = y.where("label <> old").limit(1).count()
         x = y.select(*KEY, "id", "label")
         if not changed:
@@ -108,9 +108,9 @@ def label(cells: DataFrame, value: Column, checkpoint=None) -> DataFrame:
 
 def drop_islands(cells: DataFrame, labels: DataFrame, least_cloud: float, least_size: int) -> DataFrame:
     """Snow areas over a size whose ring of neighbours is mostly cloud become cloud."""
-    size = labels.groupBy("label").agg(F.count("*").alias("size"))
+    size = labels.groupBy("tile", "label").agg(F.count("*").alias("size"))
     ring = around(labels, EIGHT, "label").select(*KEY, F.col("n_label").alias("label")).distinct().join(labels.select(*KEY, F.col("label").alias("own")), KEY, "left").where("own is null or own <> label")
-    cloudy = ring.join(cells, KEY).groupBy("label").agg(F.avg((F.col("v") == 205).cast("double")).alias("share"))
-    bad = size.join(cloudy, "label").where((F.col("share") > least_cloud) & (F.col("size") > least_size)).select("label")
-    hit = labels.join(bad, "label", "left_semi").select(*KEY, F.lit(1).alias("hit"))
+    cloudy = ring.join(cells, KEY).groupBy("tile", "label").agg(F.avg((F.col("v") == 205).cast("double")).alias("share"))
+    bad = size.join(cloudy, ["tile", "label"]).where((F.col("share") > least_cloud) & (F.col("size") > least_size)).select("tile", "label")
+    hit = labels.join(bad, ["tile", "label"], "left_semi").select(*KEY, F.lit(1).alias("hit"))
     return cells.join(hit, KEY, "left").select(*KEY, F.when(F.col("hit") == 1, 205).otherwise(F.col("v")).alias("v"))

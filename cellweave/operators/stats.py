@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LOWEST_LAND = -413  # metres
+#: Codes of the ice layer.
+ICE_LAYER = {"water": 1, "ice": 100, "cloud": 205, "other": 254}
+
 
 def altitude_histogram(cells: DataFrame, dz: int, by: list[str]) -> DataFrame:
     """Counts of all, cloud, snow and bare cells by altitude bin of dz from the lowest cell on."""
@@ -17,26 +21,28 @@ def altitude_histogram(cells: DataFrame, dz: int, by: list[str]) -> DataFrame:
 
 def snow_line(histogram: DataFrame, dz: int, least_clear: float, least_snow: float, by: list[str], reverse: bool = False, offset: int = -2) -> DataFrame:
     """Altitude of the lowest (reverse: highest) bin with enough clear cells and snow among them, moved by offset bins and
-    half a bin down; -1000 where there is none."""
+    half a bin down; -1000 where there is none. Bins whose centre lies below all land do not count."""
     clear = F.col("total") - F.col("clouds")
-    good = (clear > least_clear * F.col("total")) & (F.col("snows") > least_snow * clear)
+    land = F.col("low") + F.col("bin") * dz + dz / 2.0 >= LOWEST_LAND
+    good = land & (clear > least_clear * F.col("total")) & (F.col("snows") > least_snow * clear)
     at = F.max(F.when(good, F.col("bin"))) if reverse else F.min(F.when(good, F.col("bin")))
     g = histogram.groupBy(*by).agg(at.alias("bin"), F.min("low").alias("low"))
     center = F.col("low") + F.greatest(F.col("bin") + offset, F.lit(0)) * dz + dz / 2.0
     return g.select(*by, F.when(F.col("bin").isNull(), -1000).otherwise(F.floor(center - dz / 2.0)).cast("int").alias("line"))
 
 
-def zonal(cells: DataFrame, members: DataFrame, by: list[str]) -> DataFrame:
-    """Per feature: percent of water, ice, cloud and other among its cells, each rounded half to even, what is left over,
-    and the rounded mean quality; features without data are left out."""
+def zonal(cells: DataFrame, members: DataFrame, by: list[str], classes: dict[str, int] = ICE_LAYER) -> DataFrame:
+    """Per feature: percent of each class among all cells of the feature's mask, observed or not, each rounded half to
+    even, what is left over, and the rounded mean quality: codes 0 to 3 of all its observed cells, whatever their class,
+    with 205 as 0; 255 without any. Features with nothing but left-over are left out."""
+    size = members.groupBy("fid").agg(F.count("*").alias("cells"))
     x = members.join(cells, ["tile", "r", "c"])
-    n = F.count("*")
-    share = lambda c: F.bround(100.0 * F.count_if(c) / n, 0).cast("int")
-    v = F.col("v")
-    g = x.groupBy("fid", *by).agg(
-        share(v == 0).alias("water"), share(v.between(1, 100)).alias("ice"), share(v == 205).alias("cloud"), share(v == 210).alias("other"), F.bround(F.avg(F.when(v <= 100, F.col("qc"))), 0).cast("int").alias("quality")
-    )
-    return g.withColumn("left_over", 100 - F.col("water") - F.col("ice") - F.col("cloud") - F.col("other")).where("left_over <> 100")
+    v, qc = F.col("v"), F.col("qc")
+    quality = F.avg(F.when(qc.between(0, 3), qc).when(qc == 205, 0))
+    n = [F.count_if(v == code).alias(name) for name, code in classes.items()]
+    g = x.groupBy("fid", *by).agg(*n, F.coalesce(F.bround(quality, 0), F.lit(255)).cast("int").alias("quality")).join(size, "fid")
+    g = g.select("fid", *by, *[F.bround(100.0 * F.col(name) / F.col("cells"), 0).cast("int").alias(name) for name in classes], "quality")
+    return g.withColumn("left_over", 100 - sum((F.col(name) for name in classes), F.lit(0))).where("left_over <> 100")
 
 
 def percent(df: DataFrame, value: Column, valid: Column, by: list[str]) -> DataFrame:

@@ -39,48 +39,67 @@ def merge_by_priority(obs: DataFrame, priority: Column, by: list[str]) -> DataFr
     return obs.groupBy(*by).agg(F.coalesce(F.min_by(F.when(good, F.col("v")), F.when(good, p)), F.max_by("v", p)).alias("v"))
 
 
+def snow_runs(obs: DataFrame, start: str, end: str, margin: int = 0) -> DataFrame:
+    """Runs of equal days of each cell from start to end: snow, and the first and last day a and b, counted from 0.
+
+    A day is snow where the value between its latest clear observation and the next one, linear in time, is at least half;
+    beyond either end the nearest counts, and a cell without a clear observation has no snow. So a run ends half-way
+    between two clear observations that differ, and no row a day is made. Clear days up to margin days before start and
+    after end count too.
+    """
+    first, last = (F.unix_date(F.to_date(F.lit(x))) for x in (start, end))
+    day = F.unix_date("d")
+    clear = obs.where(F.col("v") <= 100).where(day.between(first - margin, last + margin)).select(*CELL, day.alias("d"), (F.col("v") > 0).cast("int").alias("snow"))
+    w = Window.partitionBy(*CELL).orderBy("d")
+    half = (F.col("d") + F.lead("d").over(w)) / 2
+    owned = clear.withColumn("b", F.coalesce(F.when(F.col("snow") == 1, F.floor(half)).otherwise(F.ceil(half) - 1), last).cast("int"))
+    owned = owned.withColumn("a", F.coalesce(F.lag("b").over(w) + 1, first))
+    inside = owned.select(*CELL, "d", "snow", F.greatest("a", first).alias("a"), F.least("b", last).alias("b")).where("a <= b")
+    run = F.sum(F.when(F.col("snow") == F.col("was"), 0).otherwise(1)).over(w)
+    numbered = inside.withColumn("was", F.lag("snow").over(w)).withColumn("run", run)
+    runs = numbered.groupBy(*CELL, "run", "snow").agg((F.min("a") - first).cast("int").alias("a"), (F.max("b") - first).cast("int").alias("b"))
+    cells = obs.select(*CELL).distinct().join(runs, CELL, "left")
+    return cells.select(*CELL, F.coalesce("snow", F.lit(0)).alias("snow"), F.coalesce("a", F.lit(0)).alias("a"), F.coalesce("b", last - first).alias("b"))
+
+
 def daily(obs: DataFrame, start: str, end: str, margin: int = 0) -> DataFrame:
-    """A row for each cell and day with the latest clear day up to it and the first clear day from it on, and the value
-    between them: linear, the nearest at either end, 0 without a clear day. x is that value doubled and cut at 100. Clear
-    days up to margin days before the start and after the end count too; they give no rows."""
-    first, last = F.date_sub(F.to_date(F.lit(start)), margin), F.date_add(F.to_date(F.lit(end)), margin)
-    days = F.explode(F.sequence(first, last)).alias("d")
-    calendar = obs.select(*CELL).distinct().select(*CELL, days)
-    clear = obs.where(F.col("v") <= 100).where(F.col("d").between(first, last)).select(*CELL, "d", F.when(F.col("v") > 0, 100).otherwise(0).alias("v"))
-    joined = calendar.join(clear, [*CELL, "d"], "left").withColumn("at", F.when(F.col("v").isNotNull(), F.struct("d", "v")))
+    """A row for each cell and day from start to end with snow as in snow_runs."""
+    day = F.explode(F.sequence(F.date_add(F.lit(start).cast("date"), F.col("a")), F.date_add(F.lit(start).cast("date"), F.col("b"))))
+    return snow_runs(obs, start, end, margin).select(*CELL, day.alias("d"), "snow")
+
+
+def runs_of_days(days: DataFrame) -> DataFrame:
+    """Runs of equal days as in snow_runs, of rows that give each day of a cell."""
     w = Window.partitionBy(*CELL).orderBy("d")
-    both = joined.select(
-        *CELL, "d", F.last("at", True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("a"),
-        F.first("at", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("b"),
-    )
-    left, right, width = F.datediff("d", "a.d"), F.datediff("b.d", "d"), F.datediff("b.d", "a.d")
-    snow = F.when(F.col("a").isNull() & F.col("b").isNull(), 0).when(F.col("a").isNull(), F.when(F.col("b.v") >= 50, 1).otherwise(0)).when(
-        F.col("b").isNull() | (width == 0), F.when(F.col("a.v") >= 50, 1).otherwise(0)
-    ).otherwise(F.when(F.col("a.v") * right + F.col("b.v") * left >= 50 * width, 1).otherwise(0))
-    return both.where(F.col("d").between(start, end)).select(*CELL, "d", snow.alias("snow"))
+    x = days.withColumn("k", F.row_number().over(w) - 1).withColumn("was", F.lag("snow").over(w))
+    x = x.withColumn("run", F.sum(F.when(F.col("snow") == F.col("was"), 0).otherwise(1)).over(w))
+    return x.groupBy(*CELL, "run", "snow").agg(F.min("k").alias("a"), F.max("k").alias("b")).drop("run")
 
 
-def season(days: DataFrame, least: int = 10) -> DataFrame:
+def season_of_runs(runs: DataFrame, least: int = 10) -> DataFrame:
     """Onset and end day index of the longest run of snow days (the first of equal ones) in cells of more than least snow
     days, else 0 with has_season false."""
-    w = Window.partitionBy(*CELL).orderBy("d")
-    first = days.groupBy(*CELL).agg(F.min("d").alias("first"), F.sum("snow").alias("total"))
-    snow = days.withColumn("k", F.row_number().over(w)).where("snow = 1")
-    island = snow.withColumn("island", F.col("k") - F.row_number().over(w))
-    runs = island.groupBy(*CELL, "island").agg(F.count("*").alias("n"), F.min("k").alias("a"), F.max("k").alias("b"))
-    best = runs.groupBy(*CELL).agg(F.max(F.struct("n", (-F.col("a")).alias("na"), "b")).alias("x"))
-    return first.join(best, CELL, "left").select(
-        *CELL, F.col("total").alias("snow_days"), F.when(F.col("total") > least, -F.col("x.na") - 1).otherwise(0).alias("onset"),
-        F.when(F.col("total") > least, F.col("x.b") - 1).otherwise(0).alias("melt"), (F.col("total") > least).alias("has_season"),
-    )
+    on, n = F.col("snow") == 1, F.col("b") - F.col("a") + 1
+    best = F.max(F.when(on, F.struct(n.alias("n"), (-F.col("a")).alias("na"), "b")))
+    g = runs.groupBy(*CELL).agg(F.coalesce(F.sum(F.when(on, n)), F.lit(0)).cast("bigint").alias("snow_days"), best.alias("x"))
+    enough = F.col("snow_days") > least
+    return g.select(*CELL, "snow_days", F.when(enough, -F.col("x.na")).otherwise(0).alias("onset"), F.when(enough, F.col("x.b")).otherwise(0).alias("melt"), enough.alias("has_season"))
+
+
+def periods_of_runs(runs: DataFrame) -> DataFrame:
+    """Numbers of rises from no snow to snow, and of rises and falls."""
+    later = F.col("a") > 0
+    return runs.groupBy(*CELL).agg(F.count_if(later & (F.col("snow") == 1)).alias("periods"), F.count_if(later).alias("both_ways"))
+
+
+def season(days: DataFrame, least: int = 10) -> DataFrame:
+    """season_of_runs for rows that give each day of a cell."""
+    return season_of_runs(runs_of_days(days), least)
 
 
 def periods(days: DataFrame, count_falling: bool = False) -> DataFrame:
     """Number of rises from no snow to snow; with count_falling the falls too."""
-    w = Window.partitionBy(*CELL).orderBy("d")
-    step = F.col("snow") - F.lag("snow").over(w)
-    hit = step != 0 if count_falling else step > 0
-    return days.withColumn("hit", hit.cast("int")).groupBy(*CELL).agg(F.coalesce(F.sum("hit"), F.lit(0)).alias("periods"))
+    return periods_of_runs(runs_of_days(days)).select(*CELL, F.col("both_ways" if count_falling else "periods").alias("periods"))
 
 
 def temporal_cloud_filter(obs: DataFrame) -> DataFrame:

@@ -235,8 +235,13 @@ def _(t):
     return K.usage(plan(t), "cpu", "ram")
 
 
-@query("m04_plan_checks", f"""WITH {PLAN}, u AS (SELECT CAST(x AS INT) AS t, sum(cpu) AS cpu, sum(ram) AS ram, count(*) AS n FROM plan, LATERAL unnest(generate_series(t0, t0 + duration - 1)) u(x) GROUP BY 1)
-    SELECT 'cpu' AS rule, count(*) AS broken FROM u WHERE cpu > 1000 UNION ALL SELECT 'ram', count(*) FROM u WHERE ram > 900 UNION ALL SELECT 'time', count(*) FROM plan WHERE t0 + duration > 200 UNION ALL SELECT 'machines', count(*) FROM u WHERE n > 400""", "processing_tasks")
+@query("m04_plan_checks", f"""WITH {PLAN}, q AS (SELECT plan.*, 1 + id % 2 AS storage, input_fk_id, preceding_input_id FROM plan JOIN processing_tasks USING (id)),
+    u AS (SELECT CAST(x AS INT) AS t, sum(cpu) AS cpu, sum(ram) AS ram, sum(storage) AS storage, count(*) AS n FROM q, LATERAL unnest(generate_series(t0, t0 + duration - 1)) u(x) GROUP BY 1)
+    SELECT 'cpu' AS rule, count(*) AS broken FROM u WHERE cpu > 1000 UNION ALL SELECT 'ram', count(*) FROM u WHERE ram > 900 UNION ALL SELECT 'storage', count(*) FROM u WHERE storage > 700 UNION ALL SELECT 'machines', count(*) FROM u WHERE n > 400
+    UNION ALL SELECT 'time', count(*) FROM q WHERE t0 + duration > 200 UNION ALL SELECT 'unplanned', count(*) FROM q WHERE t0 IS NULL UNION ALL SELECT 'start', count(*) FROM q WHERE t0 < 0
+    UNION ALL SELECT 'order', count(*) FROM q a WHERE EXISTS (FROM q b WHERE b.input_fk_id = a.preceding_input_id AND a.t0 < b.t0 + b.duration)
+    UNION ALL SELECT 'overlap', count(*) FROM (SELECT t0 + duration > lead(t0) OVER (PARTITION BY vm ORDER BY t0, id) AS hit FROM q) WHERE hit
+    UNION ALL SELECT 'twice', count(*) FROM (SELECT id FROM q GROUP BY id HAVING count(*) > 1)""", "processing_tasks")
 def _(t):
     return K.plan_checks(plan(t), t_max=200, cpu=1000, ram=900, storage=700, machines=400)
 

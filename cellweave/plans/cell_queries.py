@@ -12,8 +12,9 @@ KS = ", ".join(K)
 col = F.col
 
 
-def on_bands(name: str, oracle: str, extra: str = ""):
-    """A query of bands with the given SQL columns; the function gives Spark's by name."""
+def on_bands(name: str, oracle: str, extra: str = "", before=None):
+    """A query of bands with the given SQL columns; the function gives Spark's by name, from columns that before gives
+    first."""
 
     def put(f):
         @query(name, f"SELECT {KS}, {oracle} FROM bands {extra}", "bands " + " ".join(w for w in ("water", "tcd", "dem") if w in extra))
@@ -21,7 +22,9 @@ def on_bands(name: str, oracle: str, extra: str = ""):
             b = t("bands")
             for w in ("water", "tcd", "dem"):
                 if w in extra:
-                    b = b.join(F.broadcast(t(w)), ["tile", "r", "c"] if w == "water" else ["r", "c"])  # one cell each of a fixed grid
+                    b = b.join(t(w), ["tile", "r", "c"])
+            for n, x in (before() if before else {}).items():
+                b = b.withColumn(n, x)
             return b.select(*K, *[x.alias(n) for n, x in f().items()])
 
         return f
@@ -36,7 +39,7 @@ def on_obs(name: str, oracle: str, extra: str = ""):
             b = t("obs")
             for w in ("water", "tcd", "dem"):
                 if w in extra:
-                    b = b.join(F.broadcast(t(w)), ["tile", "r", "c"] if w == "water" else ["r", "c"])
+                    b = b.join(t(w), ["tile", "r", "c"])
             return b.select("tile", "r", "c", "d", *[x.alias(n) for n, x in f().items()])
 
         return f
@@ -44,7 +47,7 @@ def on_obs(name: str, oracle: str, extra: str = ""):
     return put
 
 
-W, T, D = "JOIN water USING (tile, r, c)", "JOIN tcd USING (r, c)", "JOIN dem USING (r, c)"
+W, T, D = (f"JOIN {x} USING (tile, r, c)" for x in ("water", "tcd", "dem"))
 
 
 @query("p01_map_algebra", f"""SELECT {KS}, CAST(((green - red) % 7) * 2 | (CASE WHEN red > 400 THEN 1 ELSE 0 END) | (CASE WHEN nir > 300 THEN 16 ELSE 0 END) AS INT) AS b
@@ -214,10 +217,9 @@ Q0 = f"((({FLAGS} >> 1) & 1) + ({FLAGS} & 1) + (({FLAGS} >> 6) & 1))"
 
 
 @on_bands("p28_radar_quality", f"""CAST(CASE WHEN {ICE} = 255 THEN 255 WHEN (({FLAGS} >> 3) & 1) = 1 THEN 0 WHEN {ICE} = 200 THEN 200 WHEN (({FLAGS} >> 8) & 1) = 1 OR (({FLAGS} >> 4) & 1) = 1 THEN 3
-    ELSE {Q0} + CASE WHEN {Q0} <= 3 THEN (({FLAGS} >> 5) & 1) ELSE 0 END END AS INT) AS q""", W + " " + T)
+    ELSE {Q0} + CASE WHEN {Q0} <= 3 THEN (({FLAGS} >> 5) & 1) ELSE 0 END END AS INT) AS q""", W + " " + T, before=lambda: dict(zip(("ice", "flags"), radar_inputs(), strict=True)))
 def _():
-    ice, flags = radar_inputs()
-    return {"q": C.radar_quality(flags, ice)}
+    return {"q": C.radar_quality(col("flags"), col("ice"))}
 
 
 CODE = "(CASE red % 4 WHEN 0 THEN 254 WHEN 1 THEN 100 WHEN 2 THEN 1 ELSE 255 END)"

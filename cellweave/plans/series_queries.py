@@ -33,7 +33,7 @@ def _(t):
     """The gap-filled composite of each tile's last 60 days, with water."""
     from ..functions.cells import water_fill
 
-    out = ts.fill_window(t("obs"), 60).join(F.broadcast(t("water")), ["tile", "r", "c"])
+    out = ts.fill_window(t("obs"), 60).join(t("water"), ["tile", "r", "c"])
     return out.select("tile", "r", "c", water_fill(col("v"), col("wl")).alias("v"), water_fill(col("qc"), col("wl")).alias("qc"), "qf", "d")
 
 
@@ -49,21 +49,21 @@ def _(t):
     return ts.merge_by_priority(t("obs").where("d >= date'1996-01-01'"), -F.unix_date("d"), ["tile", "r", "c"])
 
 
-DAILY = """cal AS (SELECT g.tile, g.r, g.c, CAST(x AS DATE) AS d FROM (SELECT DISTINCT tile, r, c FROM obs) g, generate_series(DATE '1995-10-01', DATE '1996-09-30', INTERVAL 1 DAY) s(x)),
+DAILY = """cal AS (SELECT g.tile, g.r, g.c, CAST(x AS DATE) AS d FROM (SELECT DISTINCT tile, r, c FROM obs) g, generate_series(DATE '1995-09-16', DATE '1996-10-15', INTERVAL 1 DAY) s(x)),
     j AS (SELECT cal.*, CASE WHEN o.v > 0 THEN 100 WHEN o.v = 0 THEN 0 END AS v, CASE WHEN o.v IS NOT NULL THEN cal.d END AS od FROM cal LEFT JOIN (SELECT * FROM obs WHERE v <= 100) o ON (cal.tile, cal.r, cal.c, cal.d) = (o.tile, o.r, o.c, o.d)),
     n AS (SELECT tile, r, c, d, last_value(v IGNORE NULLS) OVER b AS av, last_value(od IGNORE NULLS) OVER b AS ad, first_value(v IGNORE NULLS) OVER f AS bv, first_value(od IGNORE NULLS) OVER f AS bd FROM j
           WINDOW b AS (PARTITION BY tile, r, c ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), f AS (PARTITION BY tile, r, c ORDER BY d ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     days AS (SELECT tile, r, c, d, CAST(CASE WHEN av IS NULL AND bv IS NULL THEN 0 WHEN av IS NULL THEN bv >= 50 WHEN bv IS NULL OR ad = bd THEN av >= 50
-          ELSE av * (bd - d) + bv * (d - ad) >= 50 * (bd - ad) END AS INT) AS snow FROM n)"""
+          ELSE av * (bd - d) + bv * (d - ad) >= 50 * (bd - ad) END AS INT) AS snow FROM n WHERE d BETWEEN DATE '1995-10-01' AND DATE '1996-09-30')"""
 
 
-def days(t):
-    return ts.daily(t("obs"), "1995-10-01", "1996-09-30", margin=15)
+SEASON = ("1995-10-01", "1996-09-30")
+MARGIN = 15
 
 
-@query("w05_daily_interpolation", f"WITH {DAILY} SELECT tile, r, c, d, snow FROM days WHERE tile = 1", "obs")
+@query("w05_daily_interpolation", f"WITH {DAILY} SELECT tile, r, c, d, snow FROM days", "obs")
 def _(t):
-    return days(t)
+    return ts.daily(t("obs"), *SEASON, MARGIN)
 
 
 @query("w06_season", f"""WITH {DAILY}, k AS (SELECT *, row_number() OVER (PARTITION BY tile, r, c ORDER BY d) AS k FROM days), i AS (SELECT *, k - row_number() OVER (PARTITION BY tile, r, c ORDER BY d) AS island FROM k WHERE snow = 1),
@@ -72,14 +72,13 @@ def _(t):
     SELECT tot.tile, tot.r, tot.c, snow_days, CAST(CASE WHEN snow_days > 10 THEN a - 1 ELSE 0 END AS INT) AS onset, CAST(CASE WHEN snow_days > 10 THEN b - 1 ELSE 0 END AS INT) AS melt, snow_days > 10 AS has_season
     FROM tot LEFT JOIN (SELECT * FROM best WHERE rn = 1) x USING (tile, r, c)""", "obs")
 def _(t):
-    return ts.season(days(t))
+    return ts.season_of_runs(ts.snow_runs(t("obs"), *SEASON, MARGIN))
 
 
 @query("w07_periods", f"""WITH {DAILY}, l AS (SELECT tile, r, c, snow - lag(snow) OVER (PARTITION BY tile, r, c ORDER BY d) AS s FROM days)
     SELECT tile, r, c, count(*) FILTER (s > 0) AS periods, count(*) FILTER (s <> 0) AS both_ways FROM l GROUP BY tile, r, c""", "obs")
 def _(t):
-    x = days(t)
-    return BIG(ts.periods(x), "periods").join(BIG(ts.periods(x, True), "periods").withColumnRenamed("periods", "both_ways"), ts.CELL)
+    return ts.periods_of_runs(ts.snow_runs(t("obs"), *SEASON, MARGIN))
 
 
 PASS = "SELECT tile, r, c, d, CASE WHEN v = 205 AND lag(v, {a}) OVER w = lead(v, {b}) OVER w AND lag(v, {a}) OVER w IN (0, 100) THEN lag(v, {a}) OVER w ELSE v END AS v FROM {t} WINDOW w AS (PARTITION BY tile, r, c ORDER BY d)"
@@ -120,7 +119,7 @@ def _(t):
 BLOCK = "tile, d, CAST(r // {k} AS INT) AS r, CAST(c // {k} AS INT) AS c"
 
 
-@query("a03_upscale", f"""SELECT tile, d, r, c, CASE WHEN 2 * ok >= 4 THEN CAST(round_even(m, 0) AS INT) WHEN n1 > 0 AND n1 >= n2 AND n1 >= n3 THEN 205 WHEN n2 > 0 AND n2 >= n3 THEN 210 ELSE 255 END AS v, ok
+@query("a03_upscale", f"""SELECT tile, d, r, c, CASE WHEN ok > 0 THEN CAST(round_even(m, 0) AS INT) WHEN n1 > 0 AND n1 >= n2 AND n1 >= n3 THEN 205 WHEN n2 > 0 AND n2 >= n3 THEN 210 ELSE 255 END AS v, ok
     FROM (SELECT {BLOCK.format(k=2)}, count(*) FILTER (v <= 100) AS ok, avg(v) FILTER (v <= 100) AS m, count(*) FILTER (v = 205) AS n1, count(*) FILTER (v = 210) AS n2, count(*) FILTER (v = 255) AS n3 FROM obs GROUP BY 1, 2, 3, 4)""", "obs")
 def _(t):
     return grid.upscale(t("obs"), 2, (205, 210, 255), least=0)

@@ -15,7 +15,7 @@ col = F.col
 
 @query("s01_blocks", "SELECT tile, r, c, wl FROM water", "water")
 def _(t):
-    return S.blocks_to_cells(S.cells_to_blocks(t("water"), 5, 5, "wl"), "wl")
+    return S.blocks_to_cells(S.cells_to_blocks(t("water"), 5, 5, "wl"), "wl").where("wl is not null")
 
 
 @query("s02_s04_band_stack", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, swir, red, green, blue, nir FROM bands", "bands")

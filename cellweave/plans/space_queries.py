@@ -10,14 +10,14 @@ from ..registry import query
 
 col = F.col
 #: One value a cell: the newest of each cell, with snow as 100.
-LATEST = """x AS (SELECT o.tile, o.r, o.c, max_by(CASE WHEN v BETWEEN 1 AND 100 THEN 100 WHEN v = 0 THEN 0 WHEN v = 205 THEN 205 ELSE 255 END, d) AS v, max_by(qc, d) AS qc, any_value(z) AS z FROM obs o JOIN dem USING (r, c) GROUP BY o.tile, o.r, o.c)"""
+LATEST = """x AS (SELECT o.tile, o.r, o.c, max_by(CASE WHEN v BETWEEN 1 AND 100 THEN 100 WHEN v = 0 THEN 0 WHEN v = 205 THEN 205 ELSE 255 END, d) AS v, max_by(qc, d) AS qc, any_value(z) AS z FROM obs o JOIN dem USING (tile, r, c) GROUP BY o.tile, o.r, o.c)"""
 USES = "obs dem"
 
 
 def latest(t):
     code = F.when(col("v").between(1, 100), 100).when(col("v") == 0, 0).when(col("v") == 205, 205).otherwise(255)
     x = t("obs").groupBy("tile", "r", "c").agg(F.max_by(code, "d").alias("v"), F.max_by("qc", "d").alias("qc"))
-    return x.join(F.broadcast(t("dem")), ["r", "c"]).select("tile", "r", "c", "v", "qc", "z")
+    return x.join(t("dem"), ["tile", "r", "c"]).select("tile", "r", "c", "v", "qc", "z")
 
 
 NEAR = "n AS (SELECT a.tile, a.r, a.c, a.v, a.z, b.v AS nv, b.z AS nz, b.r - a.r AS i, b.c - a.c AS j FROM x a LEFT JOIN x b ON b.tile = a.tile AND abs(b.r - a.r) <= 1 AND abs(b.c - a.c) <= 1)"
@@ -71,38 +71,39 @@ def _(t):
     return N.smooth(latest(t), "z", 5)
 
 
-LABEL = """snow AS (SELECT tile, r, c, tile * 1000000000000 + r * 1000000 + c AS id FROM x WHERE v = 100), reach AS (SELECT id, tile, r, c, id AS label FROM snow UNION SELECT s.id, s.tile, s.r, s.c, reach.label FROM reach JOIN snow s
-    ON s.tile = reach.tile AND abs(s.r - reach.r) + abs(s.c - reach.c) = 1), labels AS (SELECT tile, r, c, CAST(min(label) AS BIGINT) AS label FROM reach GROUP BY tile, r, c)"""
+LABEL = """snow AS (SELECT tile, r, c, r * 1000000 + c AS id FROM x WHERE v = 100), reach AS (SELECT id, tile, r, c, id AS label FROM snow UNION SELECT s.id, s.tile, s.r, s.c, reach.label FROM reach JOIN snow s
+    ON s.tile = reach.tile AND abs(s.r - reach.r) + abs(s.c - reach.c) = 1), labels AS (SELECT tile, r, c, min(label) AS label FROM reach GROUP BY tile, r, c)"""
 
 
 def recursive(body: str) -> str:
     return f"WITH RECURSIVE {LATEST}, {LABEL} {body}"
 
 
-@query("n05_label", recursive("SELECT * FROM labels"), USES)
+@query("n05_label", recursive("SELECT tile, r, c, CAST(label // 1000000 AS INT) AS label_r, CAST(label % 1000000 AS INT) AS label_c FROM labels"), USES)
 def _(t):
-    return N.label(latest(t), col("v") == 100)
+    return N.label(latest(t), col("v") == 100).select("tile", "r", "c", col("label.r").alias("label_r"), col("label.c").alias("label_c"))
 
 
-@query("a27_area_sizes", recursive("SELECT label, count(*) AS size FROM labels GROUP BY label"), USES)
+@query("a27_area_sizes", recursive("SELECT tile, CAST(label // 1000000 AS INT) AS label_r, CAST(label % 1000000 AS INT) AS label_c, count(*) AS size FROM labels GROUP BY ALL"), USES)
 def _(t):
-    return N.label(latest(t), col("v") == 100).groupBy("label").agg(F.count("*").alias("size"))
+    return N.label(latest(t), col("v") == 100).groupBy("tile", col("label.r").alias("label_r"), col("label.c").alias("label_c")).agg(F.count("*").alias("size"))
 
 
-@query("n04_drop_islands", recursive("""SELECT x.tile, x.r, x.c, CASE WHEN l.label IN (SELECT label FROM (SELECT a.label, avg(CASE WHEN o.v = 205 THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT DISTINCT l.label, o.tile, o.r, o.c, o.v FROM labels l
-    JOIN x o ON o.tile = l.tile AND abs(o.r - l.r) <= 1 AND abs(o.c - l.c) <= 1 LEFT JOIN labels m ON (m.tile, m.r, m.c) = (o.tile, o.r, o.c) WHERE m.label IS NULL OR m.label <> l.label) a JOIN x o ON (o.tile, o.r, o.c) = (a.tile, a.r, a.c) GROUP BY a.label) WHERE share > 0.3)
+@query("n04_drop_islands", recursive("""SELECT x.tile, x.r, x.c, CASE WHEN (l.tile, l.label) IN (SELECT (tile, label) FROM (SELECT a.tile, a.label, avg(CASE WHEN o.v = 205 THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT DISTINCT l.label, o.tile, o.r, o.c, o.v FROM labels l
+    JOIN x o ON o.tile = l.tile AND abs(o.r - l.r) <= 1 AND abs(o.c - l.c) <= 1 LEFT JOIN labels m ON (m.tile, m.r, m.c) = (o.tile, o.r, o.c) WHERE m.label IS NULL OR m.label <> l.label) a JOIN x o ON (o.tile, o.r, o.c) = (a.tile, a.r, a.c) GROUP BY a.tile, a.label) WHERE share > 0.3)
     THEN 205 ELSE x.v END AS v FROM x LEFT JOIN labels l ON (l.tile, l.r, l.c) = (x.tile, x.r, x.c)"""), USES)
 def _(t):
     x = latest(t)
     return N.drop_islands(x, N.label(x, col("v") == 100), 0.3, 0)
 
 
-@query("n13_clip_and_pad", f"""WITH {LATEST} SELECT g.tile, g.r, g.c, coalesce(x.v, 255) AS v FROM (SELECT CAST(a AS INT) AS tile, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM generate_series(0, 3) t(a), generate_series(7, 11) p(i), generate_series(-1, 3) q(j)) g
+@query("n13_clip_and_pad", f"""WITH {LATEST} SELECT g.tile, g.r, g.c, coalesce(x.v, 255) AS v FROM (SELECT tile, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM (SELECT DISTINCT tile FROM x), generate_series(7, 11) p(i), generate_series(-1, 3) q(j)) g
     LEFT JOIN x ON (x.tile, x.r, x.c) = (g.tile, g.r, g.c)""", USES)
 def _(t):
     s = lambda a, b: F.explode(F.sequence(F.lit(a), F.lit(b)))
-    frame = t.spark.range(4).select(col("id").cast("int").alias("tile"), s(7, 11).alias("r")).select("*", s(-1, 3).alias("c"))
-    return frame.join(latest(t), ["tile", "r", "c"], "left").select("tile", "r", "c", F.coalesce("v", F.lit(255)).alias("v"))
+    cells = latest(t)
+    frame = cells.select("tile").distinct().select("tile", s(7, 11).alias("r")).select("*", s(-1, 3).alias("c"))
+    return frame.join(cells, ["tile", "r", "c"], "left").select("tile", "r", "c", F.coalesce("v", F.lit(255)).alias("v"))
 
 
 HISTOGRAM = """h0 AS (SELECT *, min(z) OVER (PARTITION BY tile) AS low FROM x), h AS (SELECT tile, low, CAST((z - low) // 200 AS INT) AS bin, count(*) AS total, count(*) FILTER (v >= 205) AS clouds, count(*) FILTER (v = 100) AS snows, count(*) FILTER (v = 0) AS bare FROM h0 GROUP BY 1, 2, 3)"""
@@ -118,7 +119,7 @@ def _(t):
 
 
 @query("a07_snow_line", f"""WITH {LATEST}, {HISTOGRAM} SELECT tile, CAST(CASE WHEN a IS NULL THEN -1000 ELSE floor(low + greatest(a - 2, 0) * 200) END AS INT) AS line, CAST(CASE WHEN b IS NULL THEN -1000 ELSE floor(low + greatest(b - 2, 0) * 200) END AS INT) AS top_line
-    FROM (SELECT tile, low, min(bin) FILTER (total - clouds > 0.2 * total AND snows > 0.3 * (total - clouds)) AS a, max(bin) FILTER (total - clouds > 0.2 * total AND snows > 0.3 * (total - clouds)) AS b FROM h GROUP BY tile, low)""", USES)
+    FROM (SELECT tile, low, min(bin) FILTER (low + bin * 200 + 100 >= -413 AND total - clouds > 0.2 * total AND snows > 0.3 * (total - clouds)) AS a, max(bin) FILTER (low + bin * 200 + 100 >= -413 AND total - clouds > 0.2 * total AND snows > 0.3 * (total - clouds)) AS b FROM h GROUP BY tile, low)""", USES)
 def _(t):
     h = histogram(t)
     return S.snow_line(h, 200, 0.2, 0.3, ["tile"]).join(S.snow_line(h, 200, 0.2, 0.3, ["tile"], reverse=True).withColumnRenamed("line", "top_line"), "tile")
@@ -134,11 +135,14 @@ def _(t):
     return S.percent(t("obs"), col("v") == 205, col("v") != 255, ["tile"])
 
 
-@query("j12_a17_zonal", """SELECT * FROM (SELECT *, 100 - water - ice - cloud - other AS left_over FROM (SELECT fid, d, CAST(round_even(100.0 * count(*) FILTER (v = 0) / count(*), 0) AS INT) AS water, CAST(round_even(100.0 * count(*) FILTER (v BETWEEN 1 AND 100) / count(*), 0) AS INT) AS ice,
-    CAST(round_even(100.0 * count(*) FILTER (v = 205) / count(*), 0) AS INT) AS cloud, CAST(round_even(100.0 * count(*) FILTER (v = 210) / count(*), 0) AS INT) AS other, CAST(round_even(avg(qc) FILTER (v <= 100), 0) AS INT) AS quality
-    FROM feature_cells f JOIN obs o ON (o.tile, o.r, o.c) = (f.tile, f.r, f.c) GROUP BY fid, d)) WHERE left_over <> 100""", "feature_cells obs")
+@query("j12_a17_zonal", """WITH z AS (SELECT tile, r, c, d, CASE WHEN v = 0 THEN 1 WHEN v BETWEEN 1 AND 100 THEN 100 WHEN v = 210 THEN 254 ELSE v END AS v, CASE WHEN v = 205 THEN 205 ELSE qc END AS qc FROM obs),
+    m AS (SELECT fid, count(*) AS cells FROM feature_cells GROUP BY fid), p AS (SELECT fid, d, CAST(round_even(100.0 * count(*) FILTER (v = 1) / any_value(cells), 0) AS INT) AS water, CAST(round_even(100.0 * count(*) FILTER (v = 100) / any_value(cells), 0) AS INT) AS ice,
+    CAST(round_even(100.0 * count(*) FILTER (v = 205) / any_value(cells), 0) AS INT) AS cloud, CAST(round_even(100.0 * count(*) FILTER (v = 254) / any_value(cells), 0) AS INT) AS other,
+    CAST(coalesce(round_even(avg(CASE WHEN qc = 205 THEN 0 ELSE qc END) FILTER (qc IN (0, 1, 2, 3, 205)), 0), 255) AS INT) AS quality
+    FROM feature_cells f JOIN z o ON (o.tile, o.r, o.c) = (f.tile, f.r, f.c) JOIN m USING (fid) GROUP BY fid, d) SELECT *, 100 - water - ice - cloud - other AS left_over FROM p WHERE 100 - water - ice - cloud - other <> 100""", "feature_cells obs")
 def _(t):
-    return S.zonal(t("obs"), t("feature_cells"), ["d"])
+    layer = F.when(col("v") == 0, 1).when(col("v").between(1, 100), 100).when(col("v") == 210, 254).otherwise(col("v"))
+    return S.zonal(t("obs").select("tile", "r", "c", "d", layer.alias("v"), F.when(col("v") == 205, 205).otherwise(col("qc")).alias("qc")), t("feature_cells"), ["d"])
 
 
 PAIRS = "pr AS (SELECT *, CAST(v > 0 AS INT) AS ref, CAST((v + qc) % 5 > 1 AS INT) AS est FROM obs WHERE v <= 100)"
@@ -153,10 +157,10 @@ def _(t):
 
 
 @query("a19_altitude_bands", """SELECT band, count(*) AS n, min(v) AS low, max(v) AS high, CAST(quantile_disc(v, 0.5) AS INT) AS median FROM (SELECT v, CASE WHEN z < 500 THEN 0 WHEN z < 1000 THEN 500 WHEN z < 1500 THEN 1000 WHEN z < 2000 THEN 1500 ELSE 2000 END AS band
-    FROM obs JOIN dem USING (r, c) WHERE v <= 100) GROUP BY band""", "obs dem")
+    FROM obs JOIN dem USING (tile, r, c) WHERE v <= 100) GROUP BY band""", "obs dem")
 def _(t):
     band = F.when(col("z") < 500, 0).when(col("z") < 1000, 500).when(col("z") < 1500, 1000).when(col("z") < 2000, 1500).otherwise(2000)
-    x = t("obs").where("v <= 100").join(F.broadcast(t("dem")), ["r", "c"]).withColumn("band", band)
+    x = t("obs").where("v <= 100").join(t("dem"), ["tile", "r", "c"]).withColumn("band", band)
     return x.groupBy("band").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.expr("cast(percentile_disc(0.5) within group (order by v) as int)").alias("median"))
 
 
@@ -215,11 +219,11 @@ def _(t):
     return near.groupBy("pid").agg(F.max_by("v", -lag * 100000 - F.dayofyear("d")).alias("v"), F.min(lag).cast("bigint").alias("lag"))
 
 
-@query("j13_coarse_lookup", "SELECT w.tile, w.r, w.c, m.z FROM water w JOIN dem m ON m.r = CAST(round_even(w.r / 3.0, 0) AS INT) AND m.c = CAST(round_even(w.c / 3.0, 0) AS INT)", "water dem")
+@query("j13_coarse_lookup", "SELECT w.tile, w.r, w.c, m.z FROM water w JOIN dem m ON m.tile = w.tile AND m.r = CAST(round_even(w.r / 3.0, 0) AS INT) AND m.c = CAST(round_even(w.c / 3.0, 0) AS INT)", "water dem")
 def _(t):
     m = t("dem").withColumnRenamed("r", "mr").withColumnRenamed("c", "mc")
     w = t("water").withColumn("mr", F.bround(col("r") / 3.0, 0).cast("int")).withColumn("mc", F.bround(col("c") / 3.0, 0).cast("int"))
-    return w.join(F.broadcast(m), ["mr", "mc"]).select("tile", "r", "c", "z")
+    return w.join(m, ["tile", "mr", "mc"]).select("tile", "r", "c", "z")
 
 
 @query("j16_overlapping_boxes", """WITH f AS (SELECT fid, tile, min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM feature_cells GROUP BY 1, 2) SELECT a.fid AS a, b.fid AS b, (b.r0 >= a.r0 AND b.r1 <= a.r1 AND b.c0 >= a.c0 AND b.c1 <= a.c1) AS inside

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,9 +18,19 @@ def session(name: str = "cellweave", **settings: str) -> SparkSession:
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
-    """A new folder under the cluster's spark.checkpoint.dir; where that is unset (tests), under a temporary one."""
+    """A new folder under the cluster's spark.checkpoint.dir. Where that is unset, a temporary folder serves a local
+    session, and any other is an error: its executors would not see such a folder."""
     top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("cellweave.shared", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="cellweave-")
         spark.conf.set("cellweave.shared", top)
     return f"{top.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read again, so that its lineage ends there."""
+    path = shared_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -117,8 +117,10 @@ def blocks_to_cells(blocks: DataFrame, *bands: str) -> DataFrame:
 
 
 def cells_to_blocks(cells: DataFrame, h: int, w: int, *bands: str) -> DataFrame:
-    """The reverse, for whole blocks."""
-    at = F.expr(f"(r % {h}) * {w} + c % {w}")
+    """The reverse; cells that a block lacks are null there."""
+    at = F.expr(f"cast((r % {h}) * {w} + c % {w} as int)")
     g = cells.groupBy("tile", F.expr(f"cast(r div {h} as int)").alias("brow"), F.expr(f"cast(c div {w} as int)").alias("bcol"))
-    s = g.agg(F.array_sort(F.collect_list(F.struct(at.alias("at"), *bands))).alias("x"))
-    return s.select("tile", "brow", "bcol", F.lit(h).alias("h"), F.lit(w).alias("w"), *[F.col(f"x.{b}").alias(b) for b in bands])
+    s = g.agg(F.map_from_entries(F.collect_list(F.struct(at, F.struct(*bands)))).alias("x"))  # h * w entries at most
+    places = F.sequence(F.lit(0), F.lit(h * w - 1))
+    all_ = s.select("tile", "brow", "bcol", F.transform(places, lambda i: F.try_element_at("x", i)).alias("x"))
+    return all_.select("tile", "brow", "bcol", F.lit(h).alias("h"), F.lit(w).alias("w"), *[F.col(f"x.{b}").alias(b) for b in bands])
