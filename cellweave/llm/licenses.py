@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import LOWER, UPPER
 
 #: Fixed value: what stands between words, after lower-casing.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -49,80 +49,89 @@ TEMPLATES = (
     Template("epl", "eclipse public license", "made available under the terms of the eclipse public license"),
     Template("boost", "boost software license", "distributed under the boost software license version 1 0"),
     Template("cc-by", "creative commons attribution", "licensed under a creative commons attribution license"),
+    Template("cc0", "cc0 1 0 universal", "cc0 1 0 universal public domain dedication"),
     Template("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
+    Template("zlib", "without any express or implied warranty", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    Template("artistic", "artistic license", "licensed under the terms of the artistic license 2 0"),
+    Template("cddl", "common development and distribution license", "subject to the terms of the common development and distribution license"),
+    Template("eupl", "european union public licence", "licensed under the european union public licence"),
+    Template("ofl", "sil open font license", "this font software is licensed under the sil open font license version 1 1"),
+    Template("wtfpl", "do what the fuck you want to public license", "do what the fuck you want to public license"),
+    Template("python", "python software foundation license", "python software foundation license version 2"),
+    Template("postgresql", "permission to use copy modify and distribute this software and its documentation", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
 )
 
 
+def index_of(templates: tuple[Template, ...], weight: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
+    """The rare-token index: of each template's key phrase the word of the highest weight, with (template, place in the
+    key phrase)."""
+    out: dict[str, list[tuple[int, int]]] = {}
+    for k, t in enumerate(templates):
+        place, word = max(enumerate(t.key.split()), key=lambda p: (weight[p[1]], -p[0]))
+        out.setdefault(word, []).append((k, place))
+    return out
+
+
 def scan(df: DataFrame, templates: tuple[Template, ...] = TEMPLATES, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Words are what remains between BETWEEN in the lower-cased text (null text: none), counted from 0. One pass over the
-    texts keeps, for rows that hold a word without which no key phrase can stand there, the positions of all template
-    words; document frequencies of those words over all rows give their weight. For each template the rows' postings of
-    its rarest word come first; postings of its other key words, moved by their relative position, are intersected with
-    them, so what is left are the starts at which the whole key phrase stands. The score of a template is the share, by
-    weight, of its notice's words that stand at the right distance from such a start; it needs least for its label. Base
-    templates are their own key phrase. score is the best share, 0 without a label.
+    Words are what remains between BETWEEN in the text, whose letters A-Z are lower-cased (null text: none), counted from
+    0. A first pass counts in how many rows each template word stands, which gives its weight; the counts, one a template
+    word, go to the driver. The index then holds each template's key phrase by its rarest word. A second pass looks the
+    words of each row up there: a posting moved by its place in the phrase is a possible start, which stays where the
+    whole key phrase stands. The score of a start is the share, by weight, of the notice's words that stand at the right
+    distance from it; a label needs least at one of its starts. Base templates are their own key phrase. score is the
+    best share, 0 without a label.
 
     Every row gives one row, repeated ones too; rows with empty or null text have 0 words, null positions, empty labels
-    and score 0; an empty table gives no rows. Memory is bounded by a row's own words.
+    and score 0; other columns are left out; an empty table gives no rows. Memory is bounded by a row's own words; nothing
+    is shuffled but the counts.
     """
     vocabulary = sorted({w for t in templates for w in t.words})
-    gates = sorted({max(t.key.split(), key=len) for t in templates})
-    # Letters outside A-Z may change too, but none of them becomes a letter of a template alone.
-    low = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    gate = F.lit(False)
-    for g in gates:
-        gate = gate | F.contains(F.col("_low"), F.lit(g))
-    parts = df.select(F.col(id_col).alias("doc_id"), low.alias("_low")).select(
-        "doc_id", gate.alias("_gate"), F.split("_low", BETWEEN).alias("_parts")
-    )
-    lead = F.when(F.get("_parts", F.lit(0)) == "", 1).otherwise(0)
-    trail = F.when((F.size("_parts") > 1) & (F.element_at("_parts", -1) == ""), 1).otherwise(0)
-    posting = F.transform("_parts", lambda w, i: F.when(w.isin(vocabulary), F.struct(w.alias("w"), (i - F.col("_lead")).alias("i"))))
-    found = durable(
-        parts.withColumn("_lead", lead).select(
-            "doc_id",
-            (F.size("_parts") - F.col("_lead") - trail).cast("bigint").alias("n_words"),
-            F.array_intersect("_parts", F.array(*map(F.lit, vocabulary))).alias("present"),
-            F.when(F.col("_gate"), F.filter(posting, lambda p: p.isNotNull())).alias("postings"),
-        )
-    )
-    n = found.count()
-    counts = dict(found.select(F.explode("present").alias("w")).groupBy("w").count().collect())  # a row for each template word at most
+    low = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
+    # Only the first and the last part can be empty.
+    words = df.select(F.col(id_col).alias("doc_id"), F.array_remove(F.split(low, BETWEEN), "").alias("words"))
+    counted = words.select(F.explode(F.array_append(F.array_intersect("words", F.array(*map(F.lit, vocabulary))), "")).alias("w")).groupBy("w").count().collect()
+    counts = {r["w"]: r["count"] for r in counted}  # a row for each template word at most, and one for all rows
+    n = counts.pop("", 0)
     weight = {w: math.log((n + 1) / (counts.get(w, 0) + 1)) + 1 for w in vocabulary}
-
-    def starts(t: Template) -> Column:
-        """Starts of t's notice at which its whole key phrase stands, from its rarest word on."""
-        key = sorted(enumerate(t.key.split(), t.key_at), key=lambda p: (-weight[p[1]], p[0]))
-        at = shifted(*key[0])
-        for p, w in key[1:]:
-            at = F.array_intersect(at, shifted(p, w))
-        return at
-
-    def shifted(position: int, word: str) -> Column:
-        return F.transform(F.filter("postings", lambda x: x["w"] == word), lambda x: x["i"] - position)
-
-    def share(t: Template, at: Column) -> Column:
-        total = sum(weight[w] for w in t.words)
-        inside = set(range(t.key_at, t.key_at + len(t.key.split())))
-        got = F.lit(sum(weight[t.words[p]] for p in sorted(inside)))
-        for p, w in enumerate(t.words):
-            if p not in inside:
-                got = got + F.when(F.arrays_overlap(at, shifted(p, w)), weight[w]).otherwise(0.0)
-        return F.when(F.size(at) > 0, F.least(F.lit(1.0), F.round(got / total, 6))).otherwise(0.0)
-
-    with_starts = found.select("doc_id", "n_words", "postings", *[F.when(F.size("postings") > 0, starts(t)).otherwise(F.array().cast("array<int>")).alias(f"s{k}") for k, t in enumerate(templates)])
-    shares = with_starts.select("*", *[(F.when(F.size(f"s{k}") > 0, 1.0).otherwise(0.0) if t.base else share(t, F.col(f"s{k}"))).alias(f"c{k}") for k, t in enumerate(templates)])
-    base = [k for k, t in enumerate(templates) if t.base]
-    all_base = F.flatten(F.array(*[F.col(f"s{k}") for k in base]))
-
-    def named(ks) -> Column:
-        return F.concat_ws(",", F.array_compact(F.array_sort(F.array_distinct(F.array(*[F.when(F.col(f"c{k}") >= least, templates[k].label) for k in ks])))))
-
-    return shares.select(
-        "doc_id", "n_words", F.size(all_base).cast("bigint").alias("n_base"),
-        F.array_min(all_base).cast("bigint").alias("first_word"), F.array_max(all_base).cast("bigint").alias("last_word"),
-        named(base).alias("base_labels"), named(range(len(templates))).alias("labels"),
-        F.greatest(*[F.when(F.col(f"c{k}") >= least, F.col(f"c{k}")).otherwise(0.0) for k in range(len(templates))]).alias("score"),
+    index = index_of(templates, weight)
+
+    def table(rows: list[list[Column]]) -> Column:
+        return F.array(*[F.array(*r) for r in rows])
+
+    keys = table([[F.lit(w) for w in t.key.split()] for t in templates])
+    notices = table([[F.lit(w) for w in t.words] for t in templates])
+    weights = table([[F.lit(weight[w]) for w in t.words] for t in templates])
+    key_at = F.array(*[F.lit(t.key_at) for t in templates])
+    totals = F.array(*[F.lit(sum(weight[w] for w in t.words)) for t in templates])
+    labels = F.array(*[F.lit(t.label) for t in templates])
+    is_base = F.array(*[F.lit(t.base) for t in templates])
+    entries = F.create_map(*[x for w, found in index.items() for x in (F.lit(w), F.array(*[F.struct(F.lit(k).alias("k"), F.lit(o).alias("o")) for k, o in found]))])
+
+    rare = F.filter(F.transform("words", lambda w, i: F.when(w.isin(list(index)), F.struct(w.alias("w"), i.alias("i")))), lambda p: p.isNotNull())
+    possible = F.flatten(F.transform(rare, lambda p: F.transform(F.try_element_at(entries, p["w"]), lambda t: F.struct(t["k"].alias("k"), (p["i"] - t["o"]).alias("s")))))
+    found = words.select("doc_id", "words", possible.alias("possible"))
+
+    def stands(c: Column) -> Column:
+        key = F.get(keys, c["k"])
+        return (c["s"] >= 0) & (F.slice("words", F.greatest(c["s"], F.lit(0)) + 1, F.size(key)) == key)
+
+    def share(c: Column) -> Column:
+        notice, by, first = F.get(notices, c["k"]), F.get(weights, c["k"]), c["s"] - F.get(key_at, c["k"])
+        here = F.transform(notice, lambda w, j: F.when(F.coalesce(F.get("words", first + j) == w, F.lit(False)), F.get(by, j)).otherwise(0.0))
+        return F.least(F.lit(1.0), F.round(F.aggregate(here, F.lit(0.0), lambda a, x: a + x) / F.get(totals, c["k"]), 6))
+
+    placed = found.select("doc_id", "words", F.filter("possible", stands).alias("starts"))
+    scored = placed.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.transform("starts", lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), share(c).alias("share"))).alias("starts"))
+    base = F.transform(F.filter("starts", lambda c: F.get(is_base, c["k"])), lambda c: c["s"])
+    sure = F.filter("starts", lambda c: c["share"] >= least)
+
+    def named(starts: Column) -> Column:
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(starts, lambda c: F.get(labels, c["k"])))))
+
+    return scored.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"), F.array_min(base).cast("bigint").alias("first_word"), F.array_max(base).cast("bigint").alias("last_word"),
+        named(F.filter("starts", lambda c: F.get(is_base, c["k"]))).alias("base_labels"), named(sure).alias("labels"),
+        F.coalesce(F.array_max(F.transform(sure, lambda c: c["share"])), F.lit(0.0)).alias("score"),
     )

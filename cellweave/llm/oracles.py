@@ -12,7 +12,7 @@ def license_scan(least: float = 0.5) -> str:
     words = sorted({w for t in TEMPLATES for w in t.words})
 
     def weight(w: str) -> str:
-        return f"(SELECT g FROM weight WHERE word = '{w}')"
+        return f"g{words.index(w)}"
 
     def starts(t: Template) -> str:
         key = t.key.split()
@@ -22,12 +22,8 @@ def license_scan(least: float = 0.5) -> str:
     def share(k: int, t: Template) -> str:
         if t.base:
             return f"CASE WHEN len(s{k}) > 0 THEN 1.0 ELSE 0.0 END"
-        inside = range(t.key_at, t.key_at + len(t.key.split()))
-        got = [weight(t.words[p]) for p in inside]
-        for p, w in enumerate(t.words):
-            if p not in inside:
-                got.append(f"CASE WHEN len(list_filter(s{k}, lambda i: i - {t.key_at} + {p} >= 1 AND ws[i - {t.key_at} + {p}] = '{w}')) > 0 THEN {weight(w)} ELSE 0 END")
-        return f"CASE WHEN len(s{k}) > 0 THEN least(1.0, round(({' + '.join(got)}) / ({' + '.join(weight(w) for w in t.words)}), 6)) ELSE 0.0 END"
+        got = [f"CASE WHEN i - {t.key_at} + {p} >= 1 AND ws[i - {t.key_at} + {p}] = '{w}' THEN {weight(w)} ELSE 0 END" for p, w in enumerate(t.words)]
+        return f"coalesce(list_max(list_transform(s{k}, lambda i: least(1.0, round(({' + '.join(got)}) / ({' + '.join(weight(w) for w in t.words)}), 6)))), 0.0)"
 
     def named(ks: list[int]) -> str:
         items = ", ".join(f"CASE WHEN c{k} >= {least} THEN '{TEMPLATES[k].label}' END" for k in ks)
@@ -38,7 +34,8 @@ def license_scan(least: float = 0.5) -> str:
     return f"""WITH w AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array({LOWERED}, '{BETWEEN}'), lambda x: x <> '') AS ws FROM documents),
     df AS (SELECT word, count(*) AS n FROM (SELECT DISTINCT rid, unnest(ws) AS word FROM w) WHERE word IN ({", ".join(f"'{w}'" for w in words)}) GROUP BY word),
     weight AS (SELECT word, ln(((SELECT count(*) FROM w) + 1.0::DOUBLE) / (coalesce(n, 0) + 1)) + 1 AS g FROM (SELECT unnest([{", ".join(f"'{w}'" for w in words)}]) AS word) LEFT JOIN df USING (word)),
-    s AS (SELECT doc_id, ws, {", ".join(f"{starts(t)} AS s{k}" for k, t in enumerate(TEMPLATES))} FROM w),
+    one AS (SELECT {", ".join(f"max(g) FILTER (word = '{w}') AS g{k}" for k, w in enumerate(words))} FROM weight),
+    s AS (SELECT doc_id, ws, one.*, {", ".join(f"{starts(t)} AS s{k}" for k, t in enumerate(TEMPLATES))} FROM w, one),
     c AS (SELECT *, {", ".join(f"CAST({share(k, t)} AS DOUBLE) AS c{k}" for k, t in enumerate(TEMPLATES))} FROM s)
     SELECT doc_id, len(ws)::BIGINT AS n_words, len({flat})::BIGINT AS n_base, list_min({flat}) - 1 AS first_word, list_max({flat}) - 1 AS last_word, {named(base)} AS base_labels, {named(all_)} AS labels,
     greatest({", ".join(f"CASE WHEN c{k} >= {least} THEN c{k} ELSE 0.0 END" for k in all_)})::DOUBLE AS score FROM c"""
