@@ -22,7 +22,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: A document's first line counts as its prompt, which bears no loss. On these documents each limit binds.
-PACKING = packing.Limits(tokens=2048, segments=16, loss=1984)
+PACKING = packing.Limits(tokens=2048, segments=12, loss=1984)
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:

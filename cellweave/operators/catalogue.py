@@ -119,3 +119,24 @@ def time_needed(tasks_by_routine: DataFrame, cpu: int, ram: int, storage: int, m
     """Per routine the least time its tasks take under the limits; a routine beyond a limit has null."""
     at_once = F.least(F.expr(f"{cpu} div cpu"), F.expr(f"{ram} div ram"), F.expr(f"{storage} div storage_space"), F.lit(machines))
     return tasks_by_routine.withColumn("time", F.when(at_once > 0, F.ceil(F.col("n") / at_once) * F.col("duration")))
+
+
+def indexation_state(products: DataFrame, workflow: DataFrame) -> DataFrame:
+    """Each product with whether it was ever indexed, and whether its last indexation has failed."""
+    last = workflow.groupBy(F.col("product_fk_id").alias("id")).agg(
+        F.bool_or(F.col("indexation_date").isNotNull()).alias("done"), F.max_by(F.col("failure_date").isNotNull(), "id").alias("bad")
+    )
+    x = products.select("id").join(last, "id", "left")
+    return x.select("id", F.coalesce("done", F.lit(False)).alias("indexed"), F.coalesce("bad", F.lit(False)).alias("failed"))
+
+
+def indexation_files(products: DataFrame, files: DataFrame, types: DataFrame, name: str) -> DataFrame:
+    """Paths of the products' indexation files of a type."""
+    kind = types.where(F.col("name") == name).select(F.col("id").alias("indexation_file_type_id"))
+    return files.join(kind, "indexation_file_type_id").join(products.select(F.col("id").alias("product_fk_id")), "product_fk_id").select(F.col("product_fk_id").alias("id"), "path")
+
+
+def gate(with_status_: DataFrame, since: str) -> DataFrame:
+    """Of the tasks created since then: how many there are, how many are not processed, and whether all are."""
+    recent = with_status_.where(F.col("creation_date") >= F.lit(since).cast("timestamp"))
+    return recent.agg(F.count("*").alias("tasks"), F.count_if(~F.col("processed")).alias("open"), F.bool_and("processed").alias("go"))

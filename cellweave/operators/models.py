@@ -49,3 +49,12 @@ def calibrate_cover(df: DataFrame, index: str, cover: str, start: tuple[float, f
             break
         a, b, best = a - step * da, b - step * db, now
     return a, b
+
+
+def loss_grid(df: DataFrame, index: str, cover: str, test: Column, points: list[tuple[float, float]]) -> DataFrame:
+    """The root mean squared error of 0.5 * tanh(a * index + b) + 0.5 on training and test rows at each point (a, b), in
+    one aggregation of two sums a point."""
+    loss = [F.pow(0.5 * F.tanh(a * F.col(index) + b) + 0.5 - F.col(cover), F.lit(2)) for a, b in points]
+    sums = df.agg(*[F.sqrt(F.avg(F.when(test == t, x))).alias(f"{'test' if t else 'train'}{k}") for k, x in enumerate(loss) for t in (False, True)])
+    rows = F.array(*[F.struct(F.round(F.lit(a), 6).alias("a"), F.round(F.lit(b), 6).alias("b"), F.round(F.col(f"train{k}"), 6).alias("train"), F.round(F.col(f"test{k}"), 6).alias("test")) for k, (a, b) in enumerate(points)])
+    return sums.select(F.explode(rows).alias("p")).select("p.*")

@@ -16,13 +16,13 @@ def catalogue_entry(name: Column, size: Column, start: Column, stop: Column, clo
 
 
 def scene_xml(line: Column, snow: Column, cloud: Column) -> Column:
-    return F.format_string("<scene><zs>%s</zs><snow>%s</snow><cloud>%s</cloud></scene>", line.cast("string"), snow.cast("string"), cloud.cast("string"))
+    return F.to_xml(F.struct(line.alias("zs"), snow.alias("snow"), cloud.alias("cloud")), {"rowTag": "scene"})
 
 
 def lineage_xml(df: DataFrame, by: list[str], title: str) -> DataFrame:
-    """One document for each product that lists its inputs in order."""
-    items = F.array_join(F.transform(F.array_sort(F.collect_set(title)), lambda t: F.concat(F.lit("<series><seriesMetadata><title>"), t, F.lit("</title></seriesMetadata></series>"))), "")
-    return df.groupBy(*by).agg(F.concat(F.lit("<lineage>"), items, F.lit("</lineage>")).alias("xml"))
+    """One document for each product that lists its inputs, each once and in order; titles may hold any characters."""
+    series = F.transform(F.array_sort(F.collect_set(title)), lambda t: F.struct(F.struct(t.alias("title")).alias("seriesMetadata")))
+    return df.groupBy(*by).agg(series.alias("series")).select(*by, F.to_xml(F.struct("series"), {"rowTag": "lineage"}).alias("xml"))
 
 
 def merge_features(old: DataFrame, new: DataFrame) -> DataFrame:

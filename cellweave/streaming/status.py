@@ -75,3 +75,18 @@ def volume_gate(daily: DataFrame, least: int) -> DataFrame:
 def all_processed(events: DataFrame) -> DataFrame:
     """Users of whom every event so far is processed or viewed: those may be harvested again."""
     return events.groupBy("user_id").agg(F.bool_and(F.col("event_type").isin("purchase", "view")).alias("ready"), F.count("*").alias("n"))
+
+
+def look_back(events: DataFrame, now, days: dict[str, int], otherwise: int) -> DataFrame:
+    """Events not older than the days of their type before now, or than those of other types."""
+    limit = F.lit(otherwise)
+    for kind, n in days.items():
+        limit = F.when(F.col("event_type") == kind, n).otherwise(limit)
+    return events.where(F.col("ts") >= F.lit(now) - F.make_interval(days=limit))
+
+
+def debounced(events: DataFrame, pause: str) -> DataFrame:
+    """One run for all events of a kind that follow each other within the pause: the first, the time of the run, and how
+    many it serves."""
+    s = F.session_window("ts", pause)
+    return events.groupBy("event_type", s.alias("s")).agg(F.count("*").alias("n")).select("event_type", F.col("s.start").alias("start"), F.col("s.end").alias("run_at"), "n")
