@@ -1,12 +1,18 @@
-"""A training corpus from documents: five stages, each on all that its predecessor kept."""
+"""A training corpus from documents: five stages, each on all that its predecessor kept.
+
+All stages but the last give the columns of documents, others of any name included. Null and empty texts are scored as
+empty ones; those that stay link with nothing and are packed as their end id alone. Rows that repeat id and text are one
+near-copy group; texts that share an id are decided one by one. Empty tables give no rows, and without labels toxicity and
+quality keep all.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellweave.llm import jaccard, packing, pii, quality, toxicity
+from cellweave.llm import jaccard, pii, quality, toxicity
 from cellweave.llm.common import durable, table
-from cellweave.llm.queries import tokenizer_path
+from cellweave.llm.queries import pack_documents
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +32,7 @@ def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+    return pack_documents(docs)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_copies", drop_near_copies), ("pii", redact_private), ("packing", pack)]
