@@ -17,21 +17,35 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; where that is unset (tests), a temporary one."""
+    """The shared folder named by spark.checkpoint.dir. Where that is unset, a temporary folder serves a local session
+    (tests), and any other is an error: its executors would not see such a folder."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("cellweave.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cellweave-")
         spark.conf.set("cellweave.shared.dir", found)
     return found.rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again: its lineage ends there, so lost executors cost no
-    recomputation of what lies before."""
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """df, written as Parquet to the shared folder and read again, and where it is."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read again: its lineage ends there, so lost executors cost no recomputation of
+    what lies before. What lazy results still read is left there; the folder is the cluster's to clear."""
+    return written(df)[0]
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes what written() wrote, once nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -45,7 +59,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     and joins the minimum back, so a hub is only a skewed join that AQE can split. Null ends and loops are left out; no
     edges give no rows.
     """
-    e = durable(
+    spark = edges.sparkSession
+    e, path = written(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .where("u is not null and v is not null and u > v").distinct()
     )
@@ -58,7 +73,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-        e = durable(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        old = path
+        e, path = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        forget(spark, old)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
