@@ -4,27 +4,55 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def tree(node: dict) -> Column:
-    """A decision tree as nested CASE: {"feature", "cut", "low", "high"} or {"shares": [...]} at leaves."""
-    if "shares" in node:
-        return F.array(*[F.lit(float(x)) for x in node["shares"]])
-    return F.when(F.col(node["feature"]) <= node["cut"], tree(node["low"])).otherwise(tree(node["high"]))
+def nodes_of(tree: dict, features: list[str], classes: int) -> tuple[np.ndarray, ...]:
+    """A decision tree, {"feature", "cut", "low", "high"} or {"shares": [...]} at leaves, as arrays by node: feature (-1 at
+    leaves), cut, the nodes below, shares."""
+    rows: list[list] = []
+
+    def put(node: dict) -> int:
+        at = len(rows)
+        rows.append([-1, 0.0, at, at, node.get("shares", [0.0] * classes)])
+        if "shares" not in node:
+            rows[at][:2] = features.index(node["feature"]), node["cut"]
+            rows[at][2], rows[at][3] = put(node["low"]), put(node["high"])
+        return at
+
+    put(tree)
+    feature, cut, low, high, shares = zip(*rows, strict=True)
+    return np.array(feature), np.array(cut, float), np.array(low), np.array(high), np.array(shares, float)
+
+
+def features_of(tree: dict) -> set[str]:
+    return set() if "shares" in tree else {tree["feature"]} | features_of(tree["low"]) | features_of(tree["high"])
 
 
 def forest(df: DataFrame, trees: list[dict], classes: int) -> DataFrame:
-    """Class of the largest mean share over the trees (the first of equal ones) and that share in percent."""
-    x = df.withColumn("_s", F.array(*[tree(t) for t in trees]))
+    """Class of the largest mean share over the trees (the first of equal ones) and that share in percent. Trees go to the
+    tasks as arrays of nodes, so their number and depth do not grow the plan; all rows of a batch take each step down a
+    tree together. A null feature goes to the high side."""
+    features = sorted(set().union(*map(features_of, trees)))
+    flat = [nodes_of(t, features, classes) for t in trees]
 
-    def share(k: int) -> Column:
-        return F.aggregate("_s", F.lit(0.0), lambda a, t: a + t[k]) / len(trees)
+    @F.pandas_udf("cls int, probability double")
+    def score(columns: pd.DataFrame) -> pd.DataFrame:
+        x = columns.to_numpy(float)
+        row, mean = np.arange(len(x)), np.zeros((len(x), classes))
+        for feature, cut, low, high, shares in flat:
+            at = np.zeros(len(x), int)
+            while (feature[at] >= 0).any():
+                at = np.where(x[row, feature[at]] <= cut[at], low[at], high[at])
+            mean += shares[at]
+        mean /= len(flat)
+        return pd.DataFrame({"cls": mean.argmax(1).astype("int32"), "probability": 100 * mean.max(1)})
 
-    mean = F.array(*[share(k) for k in range(classes)])
-    x = x.withColumn("_m", mean).withColumn("_b", F.array_max("_m"))
-    return x.withColumn("cls", (F.array_position("_m", F.col("_b")) - 1).cast("int")).withColumn("probability", F.round(100 * F.col("_b"), 6)).drop("_s", "_m", "_b")
+    x = df.withColumn("_s", score(F.struct(*features)))
+    return x.withColumn("cls", F.col("_s.cls")).withColumn("probability", F.round("_s.probability", 6)).drop("_s")
 
 
 def calibrate_cover(df: DataFrame, index: str, cover: str, start: tuple[float, float] = (2.65, -1.42), rounds: int = 12) -> tuple[float, float]:

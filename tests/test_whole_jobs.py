@@ -11,9 +11,11 @@ from test_queries import SF, duck, rows_of  # noqa: F401
 
 from cellweave import plans
 from cellweave.fixtures import Tables
-from cellweave.operators import catalogue, grid, stats
+from cellweave.operators import catalogue, grid, models, products, stats
 from cellweave.operators import timeseries as ts
 from cellweave.registry import ORACLES, QUERIES
+from cellweave.sinks import formats as K
+from cellweave.sources import formats
 
 plans.load()
 
@@ -107,3 +109,66 @@ def test_zonal_classes_of_the_ice_layer(spark):
 def test_snow_line_skips_bins_below_all_land(spark):
     cells = spark.createDataFrame([(0, z, 0, 1) for z in (-900, -890, 300, 310)], "tile int, z int, cloud int, snow int")
     assert stats.snow_line(stats.altitude_histogram(cells, 100, ["tile"]), 100, 0.2, 0.3, ["tile"], offset=0).first().line == 300
+
+
+def test_deep_forest_is_walked_like_a_single_tree(spark):
+    r = random.Random(9)
+
+    def grow(depth):
+        if not depth or r.random() < 0.2:
+            p = r.random()
+            return {"shares": [p, (1 - p) / 2, (1 - p) / 2]}
+        return {"feature": r.choice("xyz"), "cut": r.randint(0, 20), "low": grow(depth - 1), "high": grow(depth - 1)}
+
+    trees = [grow(7) for _ in range(40)]
+    rows = [(k, r.randint(0, 20), r.randint(0, 20), None if k % 9 == 0 else r.randint(0, 20)) for k in range(200)]
+    got = {x.k: x for x in models.forest(spark.createDataFrame(rows, "k int, x int, y int, z int"), trees, 3).collect()}
+    for k, *v in rows:
+        total = [0.0] * 3
+        for node in trees:
+            while "shares" not in node:
+                value = v["xyz".index(node["feature"])]
+                node = node["low"] if value is not None and value <= node["cut"] else node["high"]
+            total = [a + b for a, b in zip(total, node["shares"], strict=True)]
+        mean = [x / len(trees) for x in total]
+        assert got[k].cls == mean.index(max(mean)) and abs(got[k].probability - 100 * max(mean)) < 1e-5
+
+
+def test_bounds_of_known_places(spark):
+    """A zone's central meridian at the equator, and a tower of which both coordinates are published."""
+    x = spark.createDataFrame([(1, 500000.0, 0.0, 31), (2, 448251.8, 5411932.7, 31)], "id int, x double, y double, zone int")
+    lon, lat = products.utm_to_degrees(F.col("x"), F.col("y"), F.col("zone"))
+    got = {r.id: (r.lon, r.lat) for r in x.select("id", lon.alias("lon"), lat.alias("lat")).collect()}
+    assert got[1] == pytest.approx((3.0, 0.0), abs=1e-9) and got[2] == pytest.approx((2.2945, 48.8582), abs=2e-4)
+
+
+def test_hull_holds_all_corners(spark):
+    r = random.Random(1)
+    rows = [(t, a, b, b + r.randint(0, 9)) for t in (1, 2) for a in range(12) for b in [r.randint(0, 30)]]
+    for x in products.hulls(spark.createDataFrame(rows, "tile int, r int, c0 int, c1 int"), ["tile"]).collect():
+        ring = [tuple(map(float, p.split())) for p in x.wkt[len("POLYGON((") : -2].split(",")]
+        cross = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+        corners = [(c, q) for t, a, b, e in rows if t == x.tile for c in (b, e + 1) for q in (a, a + 1)]
+        assert ring[0] == ring[-1] and set(ring) <= set(corners)
+        assert all(cross(a, b, p) >= 0 for a, b in zip(ring, ring[1:], strict=False) for p in corners)
+
+
+def test_wet_snow_of_scenes_in_order(spark):
+    """One block of four cells: cloud, then snow that is neither wet nor dry, then cloud again, then free of snow."""
+    def state(scenes, wet=110, mask=0, nodata=False):
+        cover = spark.createDataFrame([(0, k // 2, k % 2, d, v) for d, four in enumerate(scenes) for k, v in enumerate(four)], "tile int, r int, c int, d int, v int")
+        coarse = spark.createDataFrame([(0, 0, 0, wet, 2, mask, nodata)], "tile int, r int, c int, wet int, quality int, mask int, nodata boolean")
+        row = products.wet_snow(cover, coarse, 2).first()
+        return row.v, row.quality
+
+    cloud, snow, free, water = [205] * 4, [100, 90, 80, 205], [0, 10, 20, 205], [210, 210, 210, 0]
+    assert state([snow]) == (110, 2) and state([snow], wet=125) == (115, 250) and state([snow, free]) == (120, 250)
+    assert state([cloud, snow, cloud], wet=0) == (205, 250) and state([snow, cloud]) == (110, 2) and state([water]) == (210, 250)
+    assert state([snow, cloud], mask=240) == (240, 250) and state([cloud], mask=240) == (205, 250) and state([snow], nodata=True) == (255, 255)
+    assert state([[205, 205, 50, 50]]) == (205, 250) and state([[255] * 4]) == (255, 255)
+
+
+def test_xml_of_any_title_parses(spark):
+    titles = ["a & b <c>", "d", "a & b <c>"]
+    x = K.lineage_xml(spark.createDataFrame([(1, t) for t in titles], "product int, title string"), ["product"], "title")
+    assert sorted(r.title for r in formats.lineage(x, "xml", "product").collect()) == ["a & b <c>", "d"]
