@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .licenses import BETWEEN, TEMPLATES, Template
+from .sharding import MULTIPLIERS
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 REACH = """reach AS (SELECT a AS node, b AS other FROM edge UNION SELECT r.node, e.b FROM reach r JOIN edge e ON e.a = r.other), comp AS (SELECT node, min(other) AS low FROM reach GROUP BY node)"""
@@ -53,5 +54,24 @@ DEDUP = f"""WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e,
     SELECT vec_id, coalesce(k.n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept FROM embeddings LEFT JOIN k ON k.a = vec_id LEFT JOIN comp ON node = vec_id"""
 
 
+def sharding_sql(shards: int, key: int) -> str:
+    """Row numbers, a Feistel network of four rounds walked until it is back in range, and the checksum from its table."""
+    bytes_ = "list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    entry = "list_reduce(list_prepend(i, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+
+    def once(source: str, x: str) -> str:
+        sql = f"SELECT rid, n, half, {x} >> half AS l, {x} & ((1::BIGINT << half) - 1) AS r FROM {source}"
+        for k, m in enumerate(MULTIPLIERS):
+            mixed = f"((xor(r, {key >> 8 * k & 0xFFFF}) * {m} + {key & 0x7FFFFFFF}) & 2147483647)"
+            sql = f"SELECT rid, n, half, r AS l, xor(l, xor({mixed}, {mixed} >> 15) & ((1::BIGINT << half) - 1)) AS r FROM ({sql})"
+        return f"SELECT rid, n, half, (l << half) | r AS x FROM ({sql})"
+
+    return f"""WITH RECURSIVE tab AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, {entry} AS v FROM range(256) t(i))), b AS (SELECT doc_id, text, {bytes_} AS bs FROM documents),
+    d AS (SELECT doc_id, len(bs)::BIGINT + 1 AS size, CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, bs), lambda x, y: xor(x >> 8, tab[1 + (xor(x, y) & 255)])), 4294967295) AS BIGINT) AS text_crc32 FROM b, tab),
+    e AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS rid, count(*) OVER () AS n FROM d), f AS (SELECT *, greatest(1, (length(bin(greatest(n, 2) - 1)) + 1) // 2) AS half FROM e),
+    walk AS (({once("f", "rid")}) UNION ALL ({once("walk WHERE x >= n", "x")}))
+    SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % {shards} AS INT) AS shard, CAST(x // {shards} AS BIGINT) AS slot, NULL::INT AS grown_shard FROM f JOIN walk USING (rid) WHERE x < walk.n"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan(), "op4_ngram_jaccard": JACCARD, "op7_embedding_dedup": DEDUP}
+    return {"op1_license_scan": license_scan(), "op3_sharding": sharding_sql(8, 20240501), "op4_ngram_jaccard": JACCARD, "op7_embedding_dedup": DEDUP}
