@@ -70,13 +70,15 @@ def agreement(df: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:
     )
 
 
-def nearest_in_time(left: DataFrame, right: DataFrame, by: list[str], days: int, left_id: list[str], best: str = "closest") -> DataFrame:
+def nearest_in_time(left: DataFrame, right: DataFrame, by: list[str], days: int, left_id: list[str], best: str = "closest", where: str | None = None) -> DataFrame:
     """For each left row (d) the right row (rd, ratio) of the same by within days: the closest, or the cleanest (smallest
-    ratio of no data, then the closest). Rows meet by a bucket of days, so no range join is needed."""
+    ratio of no data, then the closest). where is a further condition on both rows, as that their footprints overlap. Rows
+    meet by a bucket of days, so no range join is needed."""
     width = days + 1
     a = left.withColumn("_b", F.explode(F.expr(f"array(floor(unix_date(d) / {width}) - 1, floor(unix_date(d) / {width}), floor(unix_date(d) / {width}) + 1)")))
     b = right.withColumn("_b", F.expr(f"floor(unix_date(rd) / {width})"))
     near = a.join(b, [*by, "_b"]).where(F.abs(F.datediff("rd", "d")) <= days)
+    near = near.where(where) if where else near
     lag = F.abs(F.datediff("rd", "d"))
     key = F.struct(lag, "ratio", "rd", "rid") if best == "closest" else F.struct("ratio", lag, "rd", "rid")
     return near.groupBy(*left_id).agg(F.min_by(F.struct("rid", "rd"), key).alias("x")).select(*left_id, "x.rid", "x.rd")

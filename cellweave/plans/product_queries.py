@@ -10,8 +10,10 @@ from ..operators import models
 from ..operators import products as P
 from ..operators import stats as S
 from ..registry import query
+from ..sources import formats as SF
 from ..streaming import status as ST
 from .source_queries import NAMES, names, stream
+from .space_queries import SCENES, scenes
 
 col = F.col
 BANDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
@@ -242,3 +244,17 @@ def _(t):
 def _(t):
     x = t("bands").selectExpr("(green - swir) / double(greatest(green + swir, 1)) as x", "double((green * 7 + red) % 101) / 100 as y", "l_orderkey % 4 = 0 as test")
     return models.loss_grid(x, "x", "y", col("test"), [(1.0 + i * 0.55, -2.0 + j * 0.29) for i in range(7) for j in range(7)])
+
+
+@query("s12_search", f"""WITH {NAMES}, x AS (SELECT n.id, name, o_orderdate::TIMESTAMP AS date, o_custkey % 90 AS x0, o_orderkey % 70 AS y0 FROM n JOIN orders ON o_orderkey = id)
+    SELECT id, name, date FROM x WHERE contains(name, 'KIND1') AND date >= TIMESTAMP '1994-01-01' AND date < TIMESTAMP '1997-01-01' AND x0 < 60 AND x0 + 8 > 20 AND y0 < 50 AND y0 + 6 > 10 ORDER BY date, name LIMIT 40 OFFSET 5""")
+def _(t):
+    place = t("orders").selectExpr("o_orderkey as id", "cast(o_orderdate as timestamp) as date", "o_custkey % 90 as x0", "o_orderkey % 70 as y0", "o_custkey % 90 + 8 as x1", "o_orderkey % 70 + 6 as y1")
+    return SF.catalogue_filter(names(t).join(place, "id"), "KIND1", "1994-01-01", "1997-01-01", (20, 10, 60, 50), 40, 5).select("id", "name", "date")
+
+
+@query("j10_overlapping_scene", f"""WITH {SCENES} SELECT qid, rid, rd FROM (SELECT qid, rid, rd, row_number() OVER (PARTITION BY qid ORDER BY abs(rd - d), ratio, rd, rid) AS k FROM q JOIN s ON s.tile = q.tile AND abs(rd - d) <= 4
+    AND qid % 50 < rid % 50 + 20 AND rid % 50 < qid % 50 + 20) WHERE k = 1""")
+def _(t):
+    s, q = scenes(t)
+    return S.nearest_in_time(q, s, ["tile"], 4, ["qid"], where="qid % 50 < rid % 50 + 20 and rid % 50 < qid % 50 + 20")
