@@ -59,6 +59,11 @@ class ByteBPE:
         order = np.argsort(keys)
         self.keys, self.rank = keys[order], order.astype(np.int64)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        age: dict[str, int] = {}
+        for k, (a, b) in enumerate(pairs):
+            if max(age.get(a, -1), age.get(b, -1)) >= k or min(len(a), len(b)) > 1 and (a not in age or b not in age):
+                raise ValueError(f"merge {k} joins a part that no earlier merge makes")  # merge_long relies on this
+            age.setdefault(a + b, k)
         one = self.first
         self.byte_pairs = self.ranks(np.repeat(one, 256), np.tile(one, 256))
         self.marks = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
@@ -147,7 +152,8 @@ class ByteBPE:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Whole texts (strings without nulls) as ids, little-endian unsigned 32-bit; marks of special tokens give their
         ids."""
-        alone = [k for k, t in enumerate(texts.to_pylist()) if "<|" in t or not safe(t)]
+        marks = list(self.added)
+        alone = [k for k, t in enumerate(texts.to_pylist()) if any(m in t for m in marks) or not safe(t)]
         cut = pc.replace_substring(pc.replace_substring(texts, "\n", "\x00\n"), " ", "\x00 ")
         out = by_chunks(cut, "\x00", lambda chunks: self.chunks.lookup(chunks, self.learn))
         for k in alone:
@@ -185,7 +191,12 @@ def byte_bpe(path: str) -> ByteBPE:
 
 
 def codec_digest(df, path: str, id_col: str = "doc_id", text_col: str = "text"):
-    """Per row: n_tokens, ids_sha256 and decoded_sha256 of the text encoded and decoded again (null text: empty)."""
+    """Per row: doc_id, n_tokens, ids_sha256 and decoded_sha256 of the text encoded and decoded again (null text: empty).
+
+    Texts are encoded whole, ROWS at a time, so memory is bounded by the longest ones; marks of the file's special tokens
+    give their ids. Repeated rows give equal results, a null id stays null, other columns are left out, the empty table
+    gives no rows.
+    """
 
     def digest(batches):
         bpe = byte_bpe(path)

@@ -82,6 +82,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.chunks, self.words = Kept(CHUNKS), Kept(WORDS)
 
     def plain(self, texts: list[str]) -> list[bytes]:
@@ -105,7 +106,7 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """texts: strings without nulls."""
-        marked = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()
+        marked = sorted({int(k) for m in self.marks for k in np.flatnonzero(pc.match_substring(texts, m, ignore_case=True).to_numpy(zero_copy_only=False))})
         cut = pc.replace_substring(texts, "\n", " ")
         out = by_chunks(cut, " ", lambda chunks: self.chunks.lookup(chunks, self.learn))
         for k, ids in zip(marked, self.plain([texts[k].as_py() for k in marked]), strict=True):
