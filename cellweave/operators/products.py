@@ -148,3 +148,19 @@ def sun_grid(df: DataFrame, xml: str, *keys: str) -> DataFrame:
     rows = g.select(*keys, "ulx", "uly", "step", F.posexplode("Values_List.VALUES").alias("r", "line"))
     cells = rows.select(*keys, "ulx", "uly", "step", "r", F.posexplode(F.split(F.trim("line"), " +")).alias("c", "angle"))
     return cells.select(*keys, "r", "c", F.col("angle").cast("double").alias("angle"), (F.col("ulx") + F.col("c") * F.col("step")).alias("x"), (F.col("uly") - F.col("r") * F.col("step")).alias("y"))
+
+
+def outline(cells: DataFrame, by: list[str]) -> DataFrame:
+    """The outline of areas of cells (tile, r, c): the sides whose other cell is not of the area, in the direction that has
+    the area on its right. Each cell sends its four sides, so holes and parts need nothing of their own."""
+    # The step to the other cell of a side, then the side's two ends from the cell's corner, as x and y.
+    sides = ((-1, 0, 0, 0, 1, 0), (0, 1, 1, 0, 1, 1), (1, 0, 1, 1, 0, 1), (0, -1, 0, 1, 0, 0))
+    names = ("i", "j", "a", "b", "e", "f")
+    side = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, s, strict=True)]) for s in sides]))
+    own = cells.select(*by, "tile", "r", "c").distinct()
+    sent = own.select(*by, "tile", "r", "c", side.alias("s"))
+    at = sent.select(
+        *by, "tile", (F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c"),
+        (F.col("c") + F.col("s.a")).alias("x0"), (F.col("r") + F.col("s.b")).alias("y0"), (F.col("c") + F.col("s.e")).alias("x1"), (F.col("r") + F.col("s.f")).alias("y1"),
+    )
+    return at.join(own, [*by, "tile", "r", "c"], "left_anti").select(*by, "tile", "x0", "y0", "x1", "y1")

@@ -10,6 +10,8 @@ from ..operators import models
 from ..operators import products as P
 from ..operators import stats as S
 from ..registry import query
+from ..session import shared_path
+from ..sinks import formats as KF
 from ..sources import formats as SF
 from ..streaming import status as ST
 from .source_queries import NAMES, names, stream
@@ -258,3 +260,24 @@ def _(t):
 def _(t):
     s, q = scenes(t)
     return S.nearest_in_time(q, s, ["tile"], 4, ["qid"], where="qid % 50 < rid % 50 + 20 and rid % 50 < qid % 50 + 20")
+
+
+@query("k10_outline", """WITH s AS (SELECT * FROM (VALUES (-1, 0, 0, 0, 1, 0), (0, 1, 1, 0, 1, 1), (1, 0, 1, 1, 0, 1), (0, -1, 0, 1, 0, 0)) v(i, j, a, b, e, f))
+    SELECT fid, tile, c + a AS x0, r + b AS y0, c + e AS x1, r + f AS y1 FROM feature_cells x, s WHERE NOT EXISTS (SELECT 1 FROM feature_cells y WHERE (y.fid, y.tile, y.r, y.c) = (x.fid, x.tile, x.r + i, x.c + j))""", "feature_cells")
+def _(t):
+    return P.outline(t("feature_cells"), ["fid"])
+
+
+@query("k01_written_cells", "SELECT tile, r, c, d, v, CAST(year(d) AS INT) AS year FROM obs", "obs")
+def _(t):
+    path = shared_path(t.spark, "cells")
+    KF.write_cells(t("obs").select("tile", "r", "c", "d", "v", F.year("d").alias("year")), path, by=("tile", "year"))
+    return t.spark.read.parquet(path).select("tile", "r", "c", "d", "v", "year")
+
+
+@query("k12_appended_batches", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, mission, v FROM obs_raw", "obs_raw")
+def _(t):
+    path, rows = shared_path(t.spark, "batches"), t("obs_raw").select(*BANDS, "mission", "v")
+    for mission in ("S1", "S2"):
+        rows.where(col("mission") == mission).write.mode("append").parquet(path)
+    return t.spark.read.parquet(path)

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_cells(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Parquet by tile and day, one sorted run a partition, so that scans prune by both."""
-    df.repartition("tile", "d").sortWithinPartitions("tile", "d", "r", "c").write.mode(mode).partitionBy("tile", "d").parquet(path)
+def write_cells(df: DataFrame, path: str, mode: str = "append", by: tuple[str, ...] = ("tile", "d")) -> None:
+    """Parquet by tile and day (or other columns), one sorted run a partition, so that scans prune by both."""
+    df.repartition(*by).sortWithinPartitions(*by, "r", "c").write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def catalogue_entry(name: Column, size: Column, start: Column, stop: Column, cloud: Column, extent: Column) -> Column:
