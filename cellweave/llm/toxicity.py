@@ -29,6 +29,7 @@ NAMES = (
 )
 BOUND = 20_000  # labelled rows that the trees and the lexicon are fitted on, at most
 LEAST = 4  # toxic documents of those rows that hold a key of the lexicon, at least
+FOLDS = 5
 SURE = 3.0  # standard deviations by which they outnumber what chance would give, at least
 
 
@@ -104,54 +105,65 @@ class Model:
 
 def fit(df: DataFrame, labels: DataFrame, of: int, at: int, bound: int, id_col: str, text_col: str, label_col: str) -> Model:
     """Lexicon, trees and calibration from labelled rows that are not held out: all of them, or about bound rows chosen
-    by a hash of the id where there are more. The lexicon comes from document counts that Spark sums. Trees see features
-    made with the lexicon of the other half of those rows, and the calibration raw scores of trees fitted on the other
-    half. Ids with both labels or a null label teach nothing; with fewer than four rows of a class the model is constant:
-    1 where at least half of the labels are 1, else 0.
+    by a hash of the id where there are more. The lexicon comes from document counts that Spark sums. The rows are dealt
+    into FOLDS parts by a hash of the id: trees see features made with a lexicon of the other parts, and the calibration
+    raw scores of trees fitted on the other parts. So each lexicon and each tree rests on nearly as many rows as those
+    that score later, on small tables too. Ids with both labels or a null label teach nothing; with fewer than four rows
+    of a class the model is constant: 1 where at least half of the labels are 1, else 0.
     """
     known = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").drop("z").where(~held_out("doc_id", of, at))
     part = min(1.0, bound / max(known.count(), 1))
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(part * 1_000_000))
-    chosen = chosen.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(2)).cast("int"))
+    chosen = chosen.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)).cast("int"))
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     train = durable(docs.join(F.broadcast(chosen), "doc_id"))  # about bound rows of three numbers meet all documents once
 
+    names = [f"{c}{k}" for k in range(FOLDS) for c in "tc"]  # documents of each fold that hold a key, toxic and clean
+
     def count_keys(batches):
         counts: dict[str, list[int]] = {}
         for batch in batches:
-            for text, y, half in zip(batch["text"].to_pylist(), batch["y"].to_pylist(), batch["half"].to_pylist(), strict=True):
+            for text, y, fold in zip(batch["text"].to_pylist(), batch["y"].to_pylist(), batch["fold"].to_pylist(), strict=True):
                 words = {c.strip(STRIP) for c in (text or "").lower().split()}
                 for key in {k for w in words for k in keys_of(w)}:
-                    counts.setdefault(key, [0, 0, 0, 0])[2 * half + (1 - y)] += 1
+                    counts.setdefault(key, [0] * len(names))[2 * fold + (1 - y)] += 1
         keys = list(counts)
         for k in range(0, len(keys), 20_000):
             some = keys[k : k + 20_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array([counts[x][j] for x in some], pa.int64()) for j in range(4)]], ["key", "t0", "c0", "t1", "c1"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array([counts[x][j] for x in some], pa.int64()) for j in range(len(names))]], ["key", *names])
 
-    sums = train.mapInArrow(count_keys, "key string, t0 long, c0 long, t1 long, c1 long").groupBy("key").agg(*[F.sum(c).alias(c) for c in ("t0", "c0", "t1", "c1")])
-    size = {(y, h): n for y, h, n in train.groupBy("y", "half").count().collect()}
+    counted = train.mapInArrow(count_keys, "key string, " + ", ".join(f"{c} long" for c in names))
+    sums = counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in names])
+    size = {(y, k): n for y, k, n in train.groupBy("y", "fold").count().collect()}
     toxic, clean = (sum(n for (y, _), n in size.items() if y == k) for k in (1, 0))
     often = 2.5 * toxic / max(clean, 1)
-    sums = sums.where(f"t0 + t1 >= {LEAST} and t0 + t1 >= {often} * (c0 + c1)")
+    all_t, all_c = ("(" + " + ".join(names[j::2]) + ")" for j in (0, 1))
+    sums = sums.where(f"{all_t} >= {LEAST} and {all_t} >= {often} * {all_c}")
     if min(toxic, clean) < 4:
         return Model({}, None, None, float(toxic >= clean and toxic > 0))
-    rows = sums.orderBy("key").collect()  # keys of about bound rows, each in several of them
-    whole = learn_lexicon([(k, a + c, b + d) for k, a, b, c, d in rows], toxic, clean)
-    halves = [learn_lexicon([(r[0], r[1 + 2 * h], r[2 + 2 * h]) for r in rows if r[1 + 2 * h] >= 2], size.get((1, h), 0), size.get((0, h), 0)) for h in (0, 1)]
+    rows = [(r[0], np.array(r[1::2]), np.array(r[2::2])) for r in sums.orderBy("key").collect()]  # keys of about bound rows, each in several of them
+    whole = learn_lexicon([(key, int(t.sum()), int(c.sum())) for key, t, c in rows], toxic, clean)
+
+    def without(k: int) -> dict[str, float]:
+        """The lexicon of all folds but one, under the same conditions."""
+        others = [(key, int(t.sum() - t[k]), int(c.sum() - c[k])) for key, t, c in rows]
+        return learn_lexicon([x for x in others if x[1] >= LEAST - 1], toxic - size.get((1, k), 0), clean - size.get((0, k), 0))
+
+    lexicons = [without(k) for k in range(FOLDS)]
 
     def featured(batches):
-        by_half = [Features(halves[1]), Features(halves[0])]
+        by_fold = [Features(x) for x in lexicons]
         for batch in batches:
-            made = [by_half[h].of(t or "") for t, h in zip(batch["text"].to_pylist(), batch["half"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], batch["half"], pa.array(made, pa.list_(pa.float64()))], ["doc_id", "y", "half", "x"])
+            made = [by_fold[k].of(t or "") for t, k in zip(batch["text"].to_pylist(), batch["fold"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], batch["fold"], pa.array(made, pa.list_(pa.float64()))], ["doc_id", "y", "fold", "x"])
 
-    got = train.mapInArrow(featured, "doc_id long, y int, half int, x array<double>").orderBy("doc_id").toPandas()  # about bound rows
-    x, y, half = np.array(got["x"].tolist()), got["y"].to_numpy(float), got["half"].to_numpy()
+    got = train.mapInArrow(featured, "doc_id long, y int, fold int, x array<double>").orderBy("doc_id").toPandas()  # about bound rows
+    x, y, fold = np.array(got["x"].tolist()), got["y"].to_numpy(float), got["fold"].to_numpy()
     raw = np.zeros(len(y))
-    for h in (0, 1):
-        if (half == h).any() and (half != h).any():
-            raw[half == h] = boost(x[half != h], y[half != h]).raw(x[half == h])
+    for k in range(FOLDS):
+        if (fold == k).any() and (fold != k).any():
+            raw[fold == k] = boost(x[fold != k], y[fold != k]).raw(x[fold == k])
     return Model(whole, boost(x, y), isotonic(raw, y), 0.0)
 
 

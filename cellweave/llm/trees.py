@@ -27,8 +27,9 @@ class Boosted:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, l2: float = 2.0) -> Boosted:
-    """Logistic loss, second-order gain, cuts at quantiles."""
+def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, l2: float = 1.0, least: float = 0.1) -> Boosted:
+    """Logistic loss, second-order gain, cuts at quantiles; a leaf holds that least weight (sum of p (1 - p)), so that a
+    few rows of the rarer class can make one on small tables."""
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
     code = np.stack([np.searchsorted(q, c, side="left") for q, c in zip(cuts, x.T, strict=True)])
     p = min(max(y.mean(), 1e-4), 1 - 1e-4)
@@ -54,7 +55,7 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: f
                 hl = np.bincount(node * width + code[f], h, n * width).reshape(n, width).cumsum(1)[:, :-1]
                 gr, hr = total_g[:, None] - gl, total_h[:, None] - hl
                 gain = gl**2 / (hl + l2) + gr**2 / (hr + l2) - (total_g**2 / (total_h + l2))[:, None]
-                gain[(hl < 0.5) | (hr < 0.5)] = 0
+                gain[(hl < least) | (hr < least)] = 0
                 k = gain.argmax(1)
                 better = gain[np.arange(n), k] > best
                 best[better] = gain[better, k[better]]
