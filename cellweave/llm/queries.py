@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, packing, pii, quality, sharding, toxicity, vectors
+from . import bpe, jaccard, licenses, merkle, packing, pii, quality, sharding, toxicity, vectors
 from .common import table
 
 
@@ -71,5 +71,15 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(rows, rows.where("vec_id % 20 = 0"))
 
 
+MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", *MANIFEST)
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    shown = [changed if c == "n_chars" else F.col(c) for c in MANIFEST]
+    return merkle.manifest(docs, MANIFEST, "lang", "doc_id", 2, shown).drop("steps")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
