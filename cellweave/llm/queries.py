@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, merkle, packing, pii, quality, sharding, toxicity, vectors
-from .common import table
+from . import bpe, jaccard, licenses, merkle, packing, pii, quality, sharding, tokenstore, toxicity, vectors
+from .common import shared_dir, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -81,5 +82,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, MANIFEST, "lang", "doc_id", 2, shown).drop("steps")
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    return tokenstore.digest(tokenstore.store(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"), path))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
