@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, licenses, merkle, packing, pii, quality, sharding, tokenstore, toxicity, vectors
+from . import bpe, conversations, jaccard, licenses, merkle, packing, pii, quality, sharding, tokenstore, toxicity, vectors
 from .common import shared_dir, table
 
 
@@ -87,5 +87,9 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.digest(tokenstore.store(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"), path))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
