@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("cell_queries", "series_queries", "catalogue_queries", "space_queries", "source_queries", "product_queries")
+MODULES = ("cell_queries", "series_queries", "catalogue_queries", "space_queries", "source_queries", "product_queries", "file_queries")
 
 
 def load() -> None:
