@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from ..registry import query
 from ..session import shared_path
+from ..sinks import raster as W
 from ..sources import catalogue as C
+from ..sources import raster as R
 
 col = F.col
 
@@ -42,3 +44,31 @@ def saved_catalogue(t):
     AND d + INTERVAL 1 DAY * CAST(k % 9 AS INT) > TIMESTAMP '1995-08-05' AND d + INTERVAL 1 DAY * CAST(k % 9 AS INT) < TIMESTAMP '1996-06-30 23:59:59.999' AND x <= 60.5 AND x + 3 >= -20.5 AND y <= 40.5 AND y + 2 >= -30.5""")
 def _(t):
     return C.candidate_inputs(C.read_catalogue(t.spark, saved_catalogue(t), pages=4), "GRS_PC", "MSIL1C", TODAY, 330, 500, TILES, AREA)
+
+
+#: Cells of the images that water and obs fill, with what is missing in the rectangle.
+WATER_IMAGE = "image AS (SELECT tile, unnest(range(mr + 1)) AS r, mc FROM (SELECT tile, max(r) AS mr, max(c) AS mc FROM water GROUP BY tile)), cell AS (SELECT tile, r, unnest(range(mc + 1)) AS c FROM image)"
+
+
+def saved_raster(t, cells, bands, layout):
+    path = shared_path(t.spark, "raster")
+    W.write_rasters(cells.withColumn("name", F.concat(F.lit("T"), col("tile").cast("string"))), path, bands, layout, "name")
+    return path
+
+
+@query("s01_k01_raster", f"WITH {WATER_IMAGE} SELECT concat('T', CAST(cell.tile AS VARCHAR)) AS file, CAST(cell.r AS INT) AS r, CAST(cell.c AS INT) AS c, CAST(coalesce(wl, 255) AS INT) AS b1 FROM cell LEFT JOIN water w ON w.tile = cell.tile AND w.r = cell.r AND w.c = cell.c", "water")
+def _(t):
+    return R.read_raster(t.spark, saved_raster(t, t("water"), ("wl",), W.Layout(block=16, overviews=(2, 4))))
+
+
+@query("k01_raster_overview", f"WITH {WATER_IMAGE} SELECT concat('T', CAST(cell.tile AS VARCHAR)) AS file, CAST(cell.r // 4 AS INT) AS r, CAST(cell.c // 4 AS INT) AS c, CAST(coalesce(wl, 255) AS INT) AS b1 FROM cell LEFT JOIN water w ON w.tile = cell.tile AND w.r = cell.r AND w.c = cell.c WHERE cell.r % 4 = 0 AND cell.c % 4 = 0", "water")
+def _(t):
+    return R.read_raster(t.spark, saved_raster(t, t("water"), ("wl",), W.Layout(block=32, overviews=(2, 4))), level=2)
+
+
+@query("s02_raster_bands", """WITH one AS (SELECT tile, r, c, max(red) AS red, max(green) AS green, max(nir) AS nir FROM bands GROUP BY 1, 2, 3)
+    SELECT concat('T', CAST(tile AS VARCHAR)) AS file, r, c, CAST(red AS INT) AS b1, CAST(nir AS INT) AS b3 FROM one WHERE r BETWEEN 5 AND 30 AND c > 10""", "bands")
+def _(t):
+    one = t("bands").groupBy("tile", "r", "c").agg(F.max("red").alias("red"), F.max("green").alias("green"), F.max("nir").alias("nir"))
+    path = saved_raster(t, one, ("red", "green", "nir"), W.Layout("i2", 16, (), predictor=2, no_data=-1))
+    return R.read_raster(t.spark, path, bands=(1, 3)).where("r between 5 and 30 and c > 10 and b1 <> -1")

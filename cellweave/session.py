@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +36,14 @@ def durable(df: DataFrame) -> DataFrame:
     path = shared_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """What runs inside has the session's setting at a value."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
