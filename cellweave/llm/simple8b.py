@@ -19,23 +19,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from ..sources.files import place
+from .pieces import piece_encoder
 
 MAGIC = b"S8BTOK01"
 BLOCK = 1024  # values
+ROWS = 2000  # texts that are encoded at once
 CHUNK = 512  # blocks that are coded at once
 FILE = 1 << 24  # values of a file, about: a task goes on in a new file
 #: How many values of how many bits a word holds, by selector; 0 is an escape.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 SCHEMA = "doc_id long, start long, ids binary"
+SMALL = np.ceil(np.log2(np.arange(1, (1 << 16) + 1))).astype(np.uint8)  # bits that values below 2**16 need
 
 
 def bits_of(values: np.ndarray) -> np.ndarray:
     """How many bits each value needs."""
+    if len(values) and values.max() < 1 << 16:
+        return SMALL[values.astype(np.uint16)]
     out = np.zeros(values.shape, np.uint8)
     rest = values.copy()
     for k in (32, 16, 8, 4, 2, 1):
@@ -205,10 +211,21 @@ class Written(WriterCommitMessage):
 
 class Writer(DataSourceArrowWriter):
     """Each task writes files under names of its own; only what the driver's commit lists is part of the store, so a task
-    that is run twice leaves nothing in it."""
+    that is run twice leaves nothing in it. With a tokenizer, rows hold texts and are encoded here, so that ids go nowhere
+    but into the file."""
 
     def __init__(self, options: dict):
-        self.path = options["path"]
+        self.path, self.tokenizer, self.end = options["path"], options.get("tokenizer"), int(options.get("end", 1)).to_bytes(4, "little")
+
+    def documents(self, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+        if not self.tokenizer:
+            yield from zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist(), strict=True)
+            return
+        encoder = piece_encoder(self.tokenizer)
+        for at in range(0, batch.num_rows, ROWS):
+            some = batch.slice(at, ROWS)
+            ids = encoder.encode(pc.coalesce(some["text"], pa.scalar("", some["text"].type)))
+            yield from zip(some["doc_id"].to_pylist(), [x + self.end for x in ids], strict=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
@@ -224,7 +241,7 @@ class Writer(DataSourceArrowWriter):
             done.append([number, len(done), name, writer.values, len(writer.docs)])
 
         for batch in iterator:
-            for doc, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist(), strict=True):
+            for doc, ids in self.documents(batch):
                 if open_ is None:
                     name = f"part-{number:06d}-{uuid.uuid4().hex}.s8b"
                     stream = system.open_output_stream(f"{path}/{name}")
@@ -293,8 +310,9 @@ class Reader(DataSourceReader):
 
 
 class TokenFiles(DataSource):
-    """`simple8b`: written from columns doc_id and ids (little-endian unsigned 32-bit integers) in the order of tasks and
-    their rows, read as doc_id, start and ids."""
+    """`simple8b`: written from columns doc_id and ids (little-endian unsigned 32-bit integers), or doc_id and text with
+    the option tokenizer (and end, the id after each document), in the order of tasks and their rows; read as doc_id,
+    start and ids."""
 
     @classmethod
     def name(cls) -> str:
@@ -316,6 +334,12 @@ def write_tokens(ordered: DataFrame, path: str) -> None:
     ordered.select("doc_id", "ids").write.format("simple8b").mode("append").save(path)
 
 
+def write_texts(ordered: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
+    """Writes the ids of rows (doc_id, text) as they are ordered, each document with the end id; null texts are empty."""
+    ordered.sparkSession.dataSource.register(TokenFiles)
+    ordered.select("doc_id", "text").write.format("simple8b").option("tokenizer", tokenizer).option("end", str(end_id)).mode("append").save(path)
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     spark.dataSource.register(TokenFiles)
     return spark.read.format("simple8b").load(path)

@@ -2,31 +2,11 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simple8b
 from .common import shuffle_width
-from .pieces import piece_encoder
-
-ROWS = 2000  # encoded at once
-
-
-def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """doc_id and ids of rows (doc_id, text), each with the end id: little-endian unsigned 32-bit integers. Texts are
-    encoded whole; null ones are empty."""
-
-    def run(batches):
-        encoder, end = piece_encoder(tokenizer), end_id.to_bytes(4, "little")
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                some = batch.slice(at, ROWS)
-                ids = encoder.encode(pc.coalesce(some["text"], pa.scalar("", some["text"].type)))
-                yield pa.RecordBatch.from_arrays([some["doc_id"], pa.array([x + end for x in ids], pa.binary())], ["doc_id", "ids"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def in_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -42,7 +22,7 @@ def store(df: DataFrame, tokenizer: str, path: str, end_id: int = 1, id_col: str
     """Writes the corpus to token files under path and gives what they hold: doc_id, start (ids of all documents before)
     and ids. Repeated rows and ids are documents of their own, null ids come first, null texts have the end id alone, other
     columns are left out, an empty table gives a store without files and no rows."""
-    simple8b.write_tokens(encoded(in_order(df, id_col, text_col), tokenizer, end_id), path)
+    simple8b.write_texts(in_order(df, id_col, text_col), path, tokenizer, end_id)
     return simple8b.read_tokens(df.sparkSession, path)
 
 

@@ -110,6 +110,13 @@ def test_a_task_that_ran_twice_leaves_no_trace(spark, tmp_path):
     assert [tuple(r) for r in simple8b.read_tokens(spark, path).select("doc_id", "start").collect()] == [(4, 0), (5, 1)]
 
 
+def test_ids_are_written_as_they_are(spark, tmp_path):
+    rows = [(k, np.arange(k, 3 * k, dtype="<u4").tobytes()) for k in range(300)]
+    simple8b.write_tokens(spark.createDataFrame(rows, "doc_id long, ids binary").repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id"), str(tmp_path / "ids"))
+    got = simple8b.read_tokens(spark, str(tmp_path / "ids")).orderBy("doc_id").collect()
+    assert [(r.doc_id, bytes(r.ids)) for r in got] == rows and [r.start for r in got] == [k * (k - 1) for k in range(300)]
+
+
 def test_query_on_documents(spark):
     from tokenizers import Tokenizer
 
