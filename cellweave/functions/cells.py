@@ -160,7 +160,7 @@ def cover_flags(bits: Column, water: Column, trees: Column, cloud: Column, cover
     """Quality flags of a cover cell. Bit 4 never holds, as in the layer's definition."""
     at = (water < 253) & seen
     return set_bits(
-        (0, at & bit(bits, 5)), (1, at & bit(bits, 7)), (2, at & (trees > 90) & (trees < 101)),
+        (0, at & bit(bits, 6)), (1, at & bit(bits, 7)), (2, at & (trees > 90) & (trees < 101)),
         (3, at & (cloud > 0) & (cover > 0) & (cover < 101)), (5, at & (hillshade == 1)), (6, at & (shaded == 1)),
     )
 
@@ -184,19 +184,28 @@ def cloud_flags(bits: Column, water: Column) -> Column:
     return set_bits(*[(k - 2, bit(bits, k)) for k in range(2, 7)], (5, water.isin(1, 2)))
 
 
-def radar_ice(regression: Column, limit: Column, fallback: Column, known: Column, shadow: Column, nodata: Column, warm: Column, outside: Column) -> Column:
+def on_water(x: Column, water: Column, otherwise: int = NODATA) -> Column:
+    """A layer on permanent and temporary water (1, 2); elsewhere no data, or the code given (0 for flags)."""
+    return F.when(water.isin(1, 2), x).otherwise(otherwise)
+
+
+def radar_ice(regression: Column, limit: Column, fallback: Column, known: Column, shadow: Column, nodata: Column, warm: Column, water: Column) -> Column:
     """Ice 100 where the regression (or, for tiles without coefficients, the dual threshold) stays under its limit, open
-    water 1 elsewhere; then shadow 200, no data 255, warm spells 1 and cells outside 255 overwrite in this order."""
+    water 1 elsewhere; then shadow 200, no data 255 and warm spells 1 overwrite in this order. Off water all is no data."""
     ice = F.when(known, regression < limit).otherwise(fallback)
-    return overwrite(F.when(ice, 100).otherwise(1), (shadow, 200), (nodata, NODATA), (warm, 1), (outside, NODATA))
+    return on_water(overwrite(F.when(ice, 100).otherwise(1), (shadow, 200), (nodata, NODATA), (warm, 1)), water)
+
+
+#: The sixth digit of a water body's category: lakes, and what is not categorised or only in an extended way.
+STANDING = (1, 0, 3, 4)
 
 
 def radar_flags(ice: Column, water: Column, category: Column, temperature: Column, sealed: Column, trees: Column, grass: Column, wind: Column) -> Column:
     """Nine flags of ice and open-water cells, 0 elsewhere; null or NaN weather is unknown."""
     known = lambda x: x.isNotNull() & ~F.isnan(x)
-    kind = F.expr("0") + F.floor(category / 100000).cast("int") % 10
+    kind = F.floor(category / 100000).cast("int") % 10
     flags = set_bits(
-        (0, water == 2), (1, kind.isin(2, 9)), (2, known(temperature)), (3, known(temperature) & (temperature >= 50)), (4, sealed.between(75, 100)),
+        (0, water == 2), (1, kind.isin(*STANDING)), (2, known(temperature)), (3, known(temperature) & (temperature >= 50)), (4, sealed.between(75, 100)),
         (5, trees.between(75, 100)), (6, grass == 1), (7, known(wind)), (8, known(wind) & (wind >= 5)),
     )
     return F.when(ice.isin(100, 1), flags).otherwise(0)
@@ -228,8 +237,22 @@ def optical_quality(probability: Column, edge: Column, water: Column, ice: Colum
     return F.when((q > 3) & (q <= 10), 3).otherwise(q)
 
 
-def decibel(x: Column) -> Column:
-    return F.when(x > 0, 10 * F.log10(x))
+#: Decibels by which the noise of the two polarisations lies below one.
+VH_NOISE, VV_NOISE = 42, 40
+
+
+def decibel(x: Column, noise: float | None = None) -> Column:
+    """10 log10 of positive values, and of none at or under the noise floor, so many decibels down."""
+    return F.when(x > (0.0 if noise is None else 10 ** (-noise / 10)), 10 * F.log10(x))
+
+
+def wet_ratio(vh: Column, vv: Column, vh_reference: Column, vv_reference: Column, angle: Column) -> Column:
+    """Backscatter against the reference in decibel, of both polarisations by the angle's weight. Null where either lies at
+    or under its noise floor, a reference is not positive, or the angle is none (-180 to 180, ends excluded)."""
+    w = angle_weight(angle)
+    ratio = w * (decibel(vh, VH_NOISE) - decibel(vh_reference)) + (1 - w) * (decibel(vv, VV_NOISE) - decibel(vv_reference))
+    known = decibel(vh, VH_NOISE).isNotNull() & decibel(vv, VV_NOISE).isNotNull() & decibel(vh_reference).isNotNull() & decibel(vv_reference).isNotNull()
+    return F.when(known & (angle > -180) & (angle < 180), ratio)
 
 
 def angle_weight(angle: Column, low: float = 20.0, high: float = 45.0, k: float = 0.5) -> Column:
@@ -237,9 +260,9 @@ def angle_weight(angle: Column, low: float = 20.0, high: float = 45.0, k: float
 
 
 def wet_snow(ratio: Column) -> tuple[Column, Column]:
-    """Code (110 wet, 125 not) and quality by the combined ratio in decibel; null gives no data."""
+    """Code (110 wet, 125 not) and quality (250 where not wet) by the combined ratio in decibel; null gives no data."""
     code = cascade((ratio >= -2.5, 125), (ratio < -2.5, 110), otherwise=NODATA)
-    quality = cascade((ratio >= -2.5, 127), (ratio >= -3.0, 3), (ratio >= -3.5, 2), (ratio >= -4.0, 1), (ratio < -4.0, 0), otherwise=NODATA)
+    quality = cascade((ratio >= -2.5, 250), (ratio >= -3.0, 3), (ratio >= -3.5, 2), (ratio >= -4.0, 1), (ratio < -4.0, 0), otherwise=NODATA)
     return code, quality
 
 
@@ -256,16 +279,16 @@ def merge_ice(optical: Column, radar: Column) -> Column:
     return cascade((optical.isin(1, 100, 254), optical), ((optical == CLOUD) & radar.isin(1, 100), radar), (optical == CLOUD, CLOUD), (optical == NODATA, radar), otherwise=optical)
 
 
-def from_radar(optical: Column, radar: Column) -> Column:
-    return ((optical == CLOUD) & radar.isin(1, 100)) | (optical == NODATA)
-
-
 def merge_quality(optical: Column, radar: Column, q_optical: Column, q_radar: Column) -> Column:
-    return F.when(from_radar(optical, radar), q_radar).otherwise(q_optical)
+    """Quality of the merged layer: radar's wherever the optical code is cloud or no data, whatever radar has there; 0 for
+    optical codes that the layer does not have."""
+    return cascade((optical.isin(1, 100, 254), q_optical), (optical.isin(CLOUD, NODATA), q_radar), otherwise=0)
 
 
 def merge_flags(optical: Column, radar: Column, f_optical: Column, f_radar: Column) -> Column:
-    return F.when(from_radar(optical, radar), f_radar.bitwiseOR(256)).otherwise(f_optical)
+    """Flags likewise. 256 is added to radar's under cloud, and without optical data where radar has any; the sum carries
+    where radar's own ninth bit is set."""
+    return cascade((optical.isin(1, 100, 254), f_optical), ((optical == CLOUD) | ((optical == NODATA) & (f_radar != 0)), f_radar + 256), otherwise=0)
 
 
 def water_fill(x: Column, water: Column) -> Column:

@@ -11,7 +11,7 @@ def block(df: DataFrame, k: int) -> DataFrame:
     return df.withColumn("r", F.expr(f"cast(r div {k} as int)")).withColumn("c", F.expr(f"cast(c div {k} as int)"))
 
 
-def upscale(df: DataFrame, k: int, classes: tuple[int, ...], by: tuple[str, ...] = ("tile", "d"), diagonal: bool = False, least: float = 0.5) -> DataFrame:
+def upscale(df: DataFrame, k: int, classes: tuple[int, ...], by: tuple[str, ...] = ("tile", "d"), diagonal: bool = False, least: float = 0.0) -> DataFrame:
     """Blocks of k times k cells: the rounded mean of values up to 100 where there are any and they fill that least share
     of the block, else the class of most cells (the first listed of equal ones), else 255. No class replaces such a mean;
     with least 0 a single value makes one. diagonal takes each block's diagonal cells only, k times each."""

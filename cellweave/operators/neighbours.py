@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from . import outlines
 
 KEY = ["tile", "r", "c"]
 FOUR = ((-1, 0), (1, 0), (0, -1), (0, 1))
@@ -87,30 +89,34 @@ def smooth(cells: DataFrame, band: str, k: int) -> DataFrame:
     return b.join(means, ["tile", "_r", "_c"]).select(*KEY, "smooth")
 
 
-def label(cells: DataFrame, value: Column, checkpoint=None) -> DataFrame:
-    """Four-connected areas of cells with the value: each cell's label is the first cell (r, c) of its area in its tile.
-
-    Minima spread to neighbours, and by jumps from a label to its own label, until nothing changes. checkpoint cuts the
-    lineage of each round; by default rounds are written to the shared folder.
-    """
-    checkpoint = checkpoint or durable
-    x = checkpoint(cells.where(value).select(*KEY, F.struct("r", "c").alias("id"), F.struct("r", "c").alias("label")))
-    while True:
-        near = around(x, FOUR, "label").groupBy(*KEY).agg(F.min("n_label").alias("n"))
-        y = x.join(near, KEY, "left").select(*KEY, "id", "label", F.least("label", "n").alias("new"))
-        jump = x.select("tile", F.col("id").alias("new"), F.col("label").alias("j"))
-        y = checkpoint(y.join(jump, ["tile", "new"], "left").select(*KEY, "id", F.col("label").alias("old"), F.least("new", "j").alias("label")))
-        changed = y.where("label <> old").limit(1).count()
-        x = y.select(*KEY, "id", "label")
-        if not changed:
-            return x.select(*KEY, "label")
-
-
-def drop_islands(cells: DataFrame, labels: DataFrame, least_cloud: float, least_size: int) -> DataFrame:
-    """Snow areas over a size whose ring of neighbours is mostly cloud become cloud."""
-    size = labels.groupBy("tile", "label").agg(F.count("*").alias("size"))
-    ring = around(labels, EIGHT, "label").select(*KEY, F.col("n_label").alias("label")).distinct().join(labels.select(*KEY, F.col("label").alias("own")), KEY, "left").where("own is null or own <> label")
-    cloudy = ring.join(cells, KEY).groupBy("tile", "label").agg(F.avg((F.col("v") == 205).cast("double")).alias("share"))
-    bad = size.join(cloudy, ["tile", "label"]).where((F.col("share") > least_cloud) & (F.col("size") > least_size)).select("tile", "label")
+def label(cells: DataFrame, value: Column) -> DataFrame:
+    """Four-connected areas of cells with the value: each cell's label is the first cell (r, c) of its area in its tile."""
+    return outlines.labels(cells.where(value))
+
+
+def spans(labels: DataFrame, radius: int) -> DataFrame:
+    """tile, label, r, c0, c1: what a disk of the radius (in cells, centre distance at most) covers as it goes over labelled
+    cells, as one interval for each stretch of a row. Each run of a row's cells widens to one interval in each of the
+    2 * radius + 1 rows that the disk reaches; intervals of a row that meet become one."""
+    w = Window.partitionBy("tile", "label", "r").orderBy("c")
+    runs = labels.select(*KEY, "label").distinct().withColumn("run", F.col("c") - F.row_number().over(w)).groupBy("tile", "label", "r", "run").agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
+    reach = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(math.isqrt(radius * radius - i * i)).alias("h")) for i in range(-radius, radius + 1)])).alias("o")
+    wide = runs.select("tile", "label", "r", "c0", "c1", reach).select("tile", "label", (F.col("r") + F.col("o.i")).cast("int").alias("r"), (F.col("c0") - F.col("o.h")).alias("c0"), (F.col("c1") + F.col("o.h")).alias("c1"))
+    row = Window.partitionBy("tile", "label", "r").orderBy("c0", "c1")
+    opens = F.when(F.col("c0") <= F.max("c1").over(row.rowsBetween(Window.unboundedPreceding, -1)) + 1, 0).otherwise(1)
+    parts = wide.withColumn("opens", opens).withColumn("part", F.sum("opens").over(row))
+    return parts.groupBy("tile", "label", "r", "part").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).drop("part")
+
+
+def drop_islands(cells: DataFrame, labels: DataFrame, least_cloud: float, least_size: int, radius: int = 1) -> DataFrame:
+    """Snow areas over a size become cloud where over a share of their ring is cloud. The ring is what a disk of the radius
+    (1: the four neighbours) adds to an area, snow of other areas left out. All areas are judged by the cells as they came,
+    so that none depends on which is judged first; with radius 1 that makes no difference."""
+    size = labels.groupBy("tile", "label").agg(F.count("*").alias("size")).where(F.col("size") > least_size)
+    large = labels.join(size, ["tile", "label"], "left_semi")
+    ring = spans(large, radius).select("tile", "label", "r", F.explode(F.sequence(F.col("c0").cast("int"), F.col("c1").cast("int"))).alias("c"))
+    bare = ring.join(labels.select(*KEY), KEY, "left_anti")
+    cloudy = bare.join(cells.select(*KEY, "v"), KEY).groupBy("tile", "label").agg(F.avg((F.col("v") == 205).cast("double")).alias("share"))
+    bad = cloudy.where(F.col("share") > least_cloud).select("tile", "label")
     hit = labels.join(bad, ["tile", "label"], "left_semi").select(*KEY, F.lit(1).alias("hit"))
     return cells.join(hit, KEY, "left").select(*KEY, F.when(F.col("hit") == 1, 205).otherwise(F.col("v")).alias("v"))

@@ -123,22 +123,33 @@ def day_counts(obs: DataFrame) -> DataFrame:
     )
 
 
+def season_of(day: str) -> Column:
+    """The season that begins in September and is named by the year in which it ends."""
+    return F.year(day) + F.when(F.month(day) >= 9, 1).otherwise(0)
+
+
 def perennial(obs: DataFrame, month: int = 5, day: int = 1) -> DataFrame:
-    """Per cell and year: whether all dates from the one nearest to that day to the year's end are snow or cloud."""
-    year = F.year("d").alias("year")
-    rows = obs.select(*CELL, year, "d", "v").withColumn("gap", F.abs(F.datediff("d", F.make_date("year", F.lit(month), F.lit(day)))))
-    start = rows.groupBy(*CELL, "year").agg(F.min(F.struct("gap", "d"))["d"].alias("start"))
-    inside = rows.join(start, [*CELL, "year"]).where("d >= start")
-    return inside.groupBy(*CELL, "year").agg(F.bool_and((F.col("v").between(1, 100)) | F.col("v").isin(205, 254, 255)).alias("perennial"))
+    """Per cell and season: whether all its dates from one of its tile's on are snow or cloud. That date is the tile's
+    nearest, as numbers yyyymmdd, to the day given of the year of its last one in the season; the earlier of two. Cells
+    without a row from that date on are left out, as nothing tells of them."""
+    rows = obs.select(*CELL, season_of("d").alias("season"), "d", "v")
+    number = F.date_format("d", "yyyyMMdd").cast("int")
+    days = rows.select("tile", "season", "d").distinct()
+    last = days.groupBy("tile", "season").agg(F.year(F.max("d")).alias("y"))
+    gap = F.abs(number - (F.col("y") * 10000 + month * 100 + day))
+    start = days.join(last, ["tile", "season"]).groupBy("tile", "season").agg(F.min(F.struct(gap.alias("gap"), "d"))["d"].alias("start"))  # a row a tile and season
+    inside = rows.join(start, ["tile", "season"]).where("d >= start")
+    return inside.groupBy(*CELL, "season").agg(F.bool_and((F.col("v").between(1, 100)) | F.col("v").isin(205, 254, 255)).alias("perennial"))
 
 
 def quality_stats(obs: DataFrame) -> DataFrame:
-    """Mean and lower median of the quality of in-range observations; the median 255 where there are none."""
-    ok = F.col("v").between(0, 100) & (F.col("qc") <= 3)
-    at = lambda k: F.count_if(ok & (F.col("qc") <= k))
+    """Mean and lower median of the quality of observations with one, 0 to 3, whatever their value; codes over 3 are masks.
+    Both are 255 where there are none."""
+    ok = F.col("qc") <= 3
+    at = lambda k: F.count_if(F.col("qc") <= k)
     n = F.count_if(ok)
     median = F.when(n == 0, 255).when(2 * at(0) >= n, 0).when(2 * at(1) >= n, 1).when(2 * at(2) >= n, 2).otherwise(3)
-    return obs.groupBy(*CELL).agg(F.round(F.avg(F.when(ok, F.col("qc"))), 6).alias("mean_qc"), median.alias("median_qc"))
+    return obs.groupBy(*CELL).agg(F.coalesce(F.round(F.avg(F.when(ok, F.col("qc"))), 6), F.lit(255.0)).alias("mean_qc"), median.alias("median_qc"))
 
 
 def distance_to_observation(obs: DataFrame, marks: DataFrame, mark: str) -> DataFrame:

@@ -168,7 +168,7 @@ def _():
     return {"v": C.product_value(col("v"), C.i(col("v") == 255), col("wl"), C.i(col("qf") % 5 == 0))}
 
 
-@on_obs("p23_cover_flags", """CAST(CASE WHEN wl < 253 AND v <> 255 THEN ((qf >> 5) & 1) | (((qf >> 7) & 1) << 1) | ((tcd > 90 AND tcd < 101)::INT << 2) | ((qf % 3 > 0 AND v > 0 AND v < 101)::INT << 3)
+@on_obs("p23_cover_flags", """CAST(CASE WHEN wl < 253 AND v <> 255 THEN ((qf >> 6) & 1) | (((qf >> 7) & 1) << 1) | ((tcd > 90 AND tcd < 101)::INT << 2) | ((qf % 3 > 0 AND v > 0 AND v < 101)::INT << 3)
     | ((qf % 7 = 1)::INT << 5) | ((qf % 11 = 1)::INT << 6) ELSE 0 END AS INT) AS flags""", W + " " + T)
 def _():
     q = col("qf")
@@ -192,13 +192,13 @@ def _():
     return {"flags": C.cloud_flags(col("cloud_bits"), col("wl")), "thin": C.i(C.bit(col("cloud_bits"), 2))}
 
 
-@on_bands("p27_radar_ice", """CASE WHEN wl IN (253, 255) THEN 255 WHEN nir > 600 THEN 1 WHEN red % 17 = 0 THEN 255 WHEN blue % 9 = 0 THEN 200 WHEN (CASE WHEN tile < 3 THEN 10 + 2 * red + green < 900 ELSE red < 200 AND green < 300 END) THEN 100 ELSE 1 END AS ice""", W)
+@on_bands("p27_radar_ice", """CASE WHEN wl NOT IN (1, 2) THEN 255 WHEN nir > 600 THEN 1 WHEN red % 17 = 0 THEN 255 WHEN blue % 9 = 0 THEN 200 WHEN (CASE WHEN tile < 3 THEN 10 + 2 * red + green < 900 ELSE red < 200 AND green < 300 END) THEN 100 ELSE 1 END AS ice""", W)
 def _():
-    return {"ice": C.radar_ice(10 + 2 * col("red") + col("green"), F.lit(900), (col("red") < 200) & (col("green") < 300), col("tile") < 3, col("blue") % 9 == 0, col("red") % 17 == 0, col("nir") > 600, col("wl").isin(253, 255))}
+    return {"ice": C.radar_ice(10 + 2 * col("red") + col("green"), F.lit(900), (col("red") < 200) & (col("green") < 300), col("tile") < 3, col("blue") % 9 == 0, col("red") % 17 == 0, col("nir") > 600, col("wl"))}
 
 
 ICE = "(CASE green % 5 WHEN 0 THEN 100 WHEN 1 THEN 1 WHEN 2 THEN 200 WHEN 3 THEN 1 ELSE 255 END)"
-FLAGS = f"""(CASE WHEN {ICE} IN (100, 1) THEN (wl = 2)::INT | ((((red * 1000) // 100000) % 10 IN (2, 9))::INT << 1) | ((nir % 3 > 0)::INT << 2) | ((nir % 3 > 0 AND nir % 100 >= 50)::INT << 3) | ((blue % 120 BETWEEN 75 AND 100)::INT << 4)
+FLAGS = f"""(CASE WHEN {ICE} IN (100, 1) THEN (wl = 2)::INT | ((((red * 1000) // 100000) % 10 IN (0, 1, 3, 4))::INT << 1) | ((nir % 3 > 0)::INT << 2) | ((nir % 3 > 0 AND nir % 100 >= 50)::INT << 3) | ((blue % 120 BETWEEN 75 AND 100)::INT << 4)
     | ((tcd BETWEEN 75 AND 100)::INT << 5) | ((swir % 4 = 1)::INT << 6) | ((swir % 5 > 0)::INT << 7) | ((swir % 5 > 0 AND swir % 20 >= 5)::INT << 8) ELSE 0 END)"""
 
 
@@ -245,17 +245,21 @@ def radar_ice_code():
     return F.expr("case green % 5 when 0 then 100 when 1 then 1 when 2 then 200 when 3 then 1 else 255 end")
 
 
-WEIGHT = "(CASE WHEN nir % 70 > 45 THEN 0.5 WHEN nir % 70 >= 20 THEN 0.5 * (1 + (45.0 - nir % 70) / 25.0) ELSE 1.0 END)::DOUBLE"
-RC = f"({WEIGHT} * 10 * log10(red / 900.0::DOUBLE) + (1 - {WEIGHT}) * 10 * log10(green / 1100.0::DOUBLE))"
+#: Backscatter from bands: a good part lies under the noise floors of 10 ** -4.2 and 10 ** -4, references of 0 and angles of -200
+#: are none.
+VH, VV, VH_REF, VV_REF, ANGLE = "(green % 200 / 1e6::DOUBLE)", "(red % 300 / 1e6::DOUBLE)", "(nir % 90 / 5e5::DOUBLE)", "(blue % 80 / 4e5::DOUBLE)", "(CASE WHEN swir % 11 = 0 THEN -200 ELSE swir % 70 END)"
+WEIGHT = f"(CASE WHEN {ANGLE} > 45 THEN 0.5 WHEN {ANGLE} >= 20 THEN 0.5 * (1 + (45.0 - {ANGLE}) / 25.0) ELSE 1.0 END)::DOUBLE"
+RC = f"""(CASE WHEN {VH} > 10 ** (-4.2::DOUBLE) AND {VV} > 10 ** (-4.0::DOUBLE) AND {VH_REF} > 0 AND {VV_REF} > 0 AND {ANGLE} > -180 THEN
+    {WEIGHT} * (10 * log10({VH}) - 10 * log10({VH_REF})) + (1 - {WEIGHT}) * (10 * log10({VV}) - 10 * log10({VV_REF})) END)"""
 
 
-@on_bands("p32_wet_snow", f"""CAST(round({WEIGHT}, 6) AS DOUBLE) AS w, CAST(round({RC}, 6) AS DOUBLE) AS rc, CASE WHEN {RC} >= -2.5 THEN 125 ELSE 110 END AS code,
-    CASE WHEN {RC} >= -2.5 THEN 127 WHEN {RC} >= -3 THEN 3 WHEN {RC} >= -3.5 THEN 2 WHEN {RC} >= -4 THEN 1 ELSE 0 END AS q""")
+@on_bands("p32_wet_snow", f"""CAST(round({WEIGHT}, 6) AS DOUBLE) AS w, CAST(round({RC}, 6) AS DOUBLE) AS rc, CASE WHEN {RC} >= -2.5 THEN 125 WHEN {RC} < -2.5 THEN 110 ELSE 255 END AS code,
+    CASE WHEN {RC} >= -2.5 THEN 250 WHEN {RC} >= -3 THEN 3 WHEN {RC} >= -3.5 THEN 2 WHEN {RC} >= -4 THEN 1 WHEN {RC} < -4 THEN 0 ELSE 255 END AS q""")
 def _():
-    w = C.angle_weight(col("nir") % 70)
-    rc = w * C.decibel(col("red") / 900.0) + (1 - w) * C.decibel(col("green") / 1100.0)
+    angle = F.when(col("swir") % 11 == 0, -200).otherwise(col("swir") % 70)
+    rc = C.wet_ratio(col("green") % 200 / 1e6, col("red") % 300 / 1e6, col("nir") % 90 / 5e5, col("blue") % 80 / 4e5, angle)
     code, q = C.wet_snow(rc)
-    return {"w": F.round(w, 6), "rc": F.round(rc, 6), "code": code, "q": q}
+    return {"w": F.round(C.angle_weight(angle), 6), "rc": F.round(rc, 6), "code": code, "q": q}
 
 
 WET = "(CASE WHEN red < 400 THEN 110 ELSE 125 END)"
@@ -280,13 +284,26 @@ def _():
     return {"ice": C.merge_ice(*two_sensors())}
 
 
-FROM1 = f"(({S2} = 205 AND {S1} IN (1, 100)) OR {S2} = 255)"
+MERGED = {
+    "q": f"CASE WHEN {S2} IN (1, 100, 254) THEN blue % 4 ELSE nir % 4 END",
+    "flags": f"CASE WHEN {S2} IN (1, 100, 254) THEN cloud_bits WHEN {S2} = 255 AND swir % 512 = 0 THEN 0 ELSE swir % 512 + 256 END",
+    "ice": f"CASE WHEN {S2} IN (1, 100, 254) THEN {S2} WHEN {S2} = 205 AND {S1} NOT IN (1, 100) THEN 205 ELSE {S1} END",
+}
 
 
-@on_bands("p36_merge_quality", f"CASE WHEN {FROM1} THEN nir % 4 ELSE blue % 4 END AS q, CAST(CASE WHEN {FROM1} THEN (swir % 256) | 256 ELSE cloud_bits END AS INT) AS flags")
-def _():
+def merged():
     a, b = two_sensors()
-    return {"q": C.merge_quality(a, b, col("blue") % 4, col("nir") % 4), "flags": C.merge_flags(a, b, col("cloud_bits"), col("swir") % 256)}
+    return {"q": C.merge_quality(a, b, col("blue") % 4, col("nir") % 4), "flags": C.merge_flags(a, b, col("cloud_bits"), col("swir") % 512), "ice": C.merge_ice(a, b)}
+
+
+@on_bands("p36_merge_quality", ", ".join(f"CAST({MERGED[k]} AS INT) AS {k}" for k in ("q", "flags")))
+def _():
+    return {k: x for k, x in merged().items() if k != "ice"}
+
+
+@on_bands("p36_water_masked", ", ".join(f"CAST(CASE WHEN wl IN (1, 2) THEN {x} ELSE {0 if k == 'flags' else 255} END AS INT) AS {k}" for k, x in MERGED.items()), W)
+def _():
+    return {k: C.on_water(x, col("wl"), 0 if k == "flags" else C.NODATA) for k, x in merged().items()}
 
 
 @on_obs("p37_fill_from_wet_snow", """CASE WHEN v IN (205, 255) AND qf % 3 = 0 THEN 100 ELSE v END AS v, CASE WHEN v IN (205, 255) AND qf % 3 = 0 THEN qf % 4 ELSE qc END AS qc,

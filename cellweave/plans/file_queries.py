@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from ..operators import outlines as O
 from ..registry import query
 from ..session import shared_path
 from ..sinks import raster as W
@@ -72,3 +73,18 @@ def _(t):
     one = t("bands").groupBy("tile", "r", "c").agg(F.max("red").alias("red"), F.max("green").alias("green"), F.max("nir").alias("nir"))
     path = saved_raster(t, one, ("red", "green", "nir"), W.Layout("i2", 16, (), predictor=2, no_data=-1))
     return R.read_raster(t.spark, path, bands=(1, 3)).where("r between 5 and 30 and c > 10 and b1 <> -1")
+
+
+#: Areas of equal value in an uneven ground, and what Euler's formula says of their holes.
+CLASSES = "CASE WHEN (z * 7 + r * 13 + c * 29) % 100 < 50 THEN 1 WHEN (z * 7 + r * 13 + c * 29) % 100 >= 85 THEN 2 ELSE 0 END"
+POLYGONS = f"""WITH RECURSIVE x AS (SELECT tile, r, c, {CLASSES} AS v FROM dem), p AS (SELECT *, r * 1000000 + c AS id FROM x WHERE v <> 0),
+    reach AS (SELECT id, tile, r, c, v, id AS label FROM p UNION SELECT p.id, p.tile, p.r, p.c, p.v, reach.label FROM reach JOIN p ON p.tile = reach.tile AND p.v = reach.v AND abs(p.r - reach.r) + abs(p.c - reach.c) = 1),
+    l AS (SELECT tile, r, c, v, min(label) AS label FROM reach GROUP BY tile, r, c, v),
+    n AS (SELECT l.tile, l.label, l.v, count(*) AS cells, count(a.label) + count(b.label) AS pairs, count(CASE WHEN d.label IS NOT NULL AND a.label IS NOT NULL AND b.label IS NOT NULL THEN 1 END) AS squares FROM l
+        LEFT JOIN l a ON (a.tile, a.label, a.r, a.c) = (l.tile, l.label, l.r + 1, l.c) LEFT JOIN l b ON (b.tile, b.label, b.r, b.c) = (l.tile, l.label, l.r, l.c + 1) LEFT JOIN l d ON (d.tile, d.label, d.r, d.c) = (l.tile, l.label, l.r + 1, l.c + 1) GROUP BY 1, 2, 3)
+    SELECT tile, v AS value, CAST(label // 1000000 AS INT) AS r, CAST(label % 1000000 AS INT) AS c, CAST(cells AS DOUBLE) AS area, 1 - (cells - pairs + squares) AS holes FROM n"""
+
+
+@query("k10_polygons", POLYGONS, "dem")
+def _(t):
+    return O.polygons(t("dem").selectExpr("tile", "r", "c", f"{CLASSES} as v"), block=16).drop("wkt")

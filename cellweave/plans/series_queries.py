@@ -98,15 +98,17 @@ def _(t):
     return ts.day_counts(t("obs"))
 
 
-@query("a14_perennial", """SELECT tile, r, c, year, bool_and(v BETWEEN 1 AND 100 OR v IN (205, 254, 255)) AS perennial FROM (SELECT *, CAST(year(d) AS INT) AS year,
-    first_value(d) OVER (PARTITION BY tile, r, c, year(d) ORDER BY abs(d - make_date(year(d), 5, 1)), d) AS start FROM obs) WHERE d >= start GROUP BY tile, r, c, year""", "obs")
+@query("a14_perennial", """WITH s AS (SELECT tile, r, c, d, v, CAST(year(d) + CASE WHEN month(d) >= 9 THEN 1 ELSE 0 END AS INT) AS season, CAST(strftime(d, '%Y%m%d') AS INT) AS k FROM obs),
+    e AS (SELECT tile, season, year(max(d)) * 10000 + 501 AS may FROM s GROUP BY tile, season), n AS (SELECT tile, season, min(abs(k - may) * 100000000 + k) % 100000000 AS first FROM s JOIN e USING (tile, season) GROUP BY tile, season)
+    SELECT tile, r, c, season, bool_and(v BETWEEN 1 AND 100 OR v IN (205, 254, 255)) AS perennial FROM s JOIN n USING (tile, season) WHERE k >= first GROUP BY tile, r, c, season""", "obs")
 def _(t):
     return ts.perennial(t("obs"))
 
 
-@query("a15_quality_stats", """SELECT tile, r, c, CAST(round(avg(qc) FILTER (v <= 100 AND qc <= 3), 6) AS DOUBLE) AS mean_qc, CAST(coalesce(quantile_disc(qc, 0.5) FILTER (v <= 100 AND qc <= 3), 255) AS INT) AS median_qc FROM obs GROUP BY tile, r, c""", "obs")
+@query("a15_quality_stats", """WITH q AS (SELECT tile, r, c, CASE WHEN v > 100 AND qf % 3 > 0 THEN v ELSE qc END AS qc FROM obs)
+    SELECT tile, r, c, CAST(coalesce(round(avg(qc) FILTER (qc <= 3), 6), 255) AS DOUBLE) AS mean_qc, CAST(coalesce(quantile_disc(qc, 0.5) FILTER (qc <= 3), 255) AS INT) AS median_qc FROM q GROUP BY tile, r, c""", "obs")
 def _(t):
-    return ts.quality_stats(t("obs"))
+    return ts.quality_stats(t("obs").withColumn("qc", F.expr("case when v > 100 and qf % 3 > 0 then v else qc end")))
 
 
 @query("a16_distance_to_observation", """SELECT m.tile, m.r, m.c, CAST(coalesce(min(abs(o.d - m.mark)), 65535) AS INT) AS days FROM (SELECT tile, r, c, CAST(DATE '1995-11-01' + (r * 7 + c) AS DATE) AS mark FROM grid) m

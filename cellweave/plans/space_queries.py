@@ -89,12 +89,13 @@ def _(t):
     return N.label(latest(t), col("v") == 100).groupBy("tile", col("label.r").alias("label_r"), col("label.c").alias("label_c")).agg(F.count("*").alias("size"))
 
 
-@query("n04_drop_islands", recursive("""SELECT x.tile, x.r, x.c, CASE WHEN (l.tile, l.label) IN (SELECT (tile, label) FROM (SELECT a.tile, a.label, avg(CASE WHEN o.v = 205 THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT DISTINCT l.label, o.tile, o.r, o.c, o.v FROM labels l
-    JOIN x o ON o.tile = l.tile AND abs(o.r - l.r) <= 1 AND abs(o.c - l.c) <= 1 LEFT JOIN labels m ON (m.tile, m.r, m.c) = (o.tile, o.r, o.c) WHERE m.label IS NULL OR m.label <> l.label) a JOIN x o ON (o.tile, o.r, o.c) = (a.tile, a.r, a.c) GROUP BY a.tile, a.label) WHERE share > 0.3)
+@query("n04_drop_islands", recursive("""SELECT x.tile, x.r, x.c, CASE WHEN (l.tile, l.label) IN (SELECT (tile, label) FROM (SELECT tile, label, avg(CASE WHEN v = 205 THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT DISTINCT l.label, o.tile, o.r, o.c, o.v FROM labels l
+    JOIN x o ON o.tile = l.tile AND (o.r - l.r) * (o.r - l.r) + (o.c - l.c) * (o.c - l.c) <= 4 LEFT JOIN labels m ON (m.tile, m.r, m.c) = (o.tile, o.r, o.c) WHERE m.label IS NULL)
+    WHERE (tile, label) IN (SELECT (tile, label) FROM labels GROUP BY tile, label HAVING count(*) > 1) GROUP BY tile, label) WHERE share > 0.3)
     THEN 205 ELSE x.v END AS v FROM x LEFT JOIN labels l ON (l.tile, l.r, l.c) = (x.tile, x.r, x.c)"""), USES)
 def _(t):
     x = latest(t)
-    return N.drop_islands(x, N.label(x, col("v") == 100), 0.3, 0)
+    return N.drop_islands(x, N.label(x, col("v") == 100), 0.3, 1, radius=2)
 
 
 @query("n13_clip_and_pad", f"""WITH {LATEST} SELECT g.tile, g.r, g.c, coalesce(x.v, 255) AS v FROM (SELECT tile, CAST(i AS INT) AS r, CAST(j AS INT) AS c FROM (SELECT DISTINCT tile FROM x), generate_series(7, 11) p(i), generate_series(-1, 3) q(j)) g

@@ -31,11 +31,22 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{top.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder and read again, so that its lineage ends there."""
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """df, written to the shared folder and read again, and where it is."""
     path = shared_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read again, so that its lineage ends there."""
+    return written(df)[0]
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes what written() wrote, once nothing reads it any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager
