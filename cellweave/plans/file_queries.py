@@ -7,11 +7,13 @@ import datetime
 from pyspark.sql import functions as F
 
 from ..operators import outlines as O
+from ..operators import polygons
 from ..registry import query
 from ..session import shared_path
 from ..sinks import raster as W
 from ..sources import catalogue as C
 from ..sources import raster as R
+from ..sources import vector as V
 
 col = F.col
 
@@ -88,3 +90,20 @@ POLYGONS = f"""WITH RECURSIVE x AS (SELECT tile, r, c, {CLASSES} AS v FROM dem),
 @query("k10_polygons", POLYGONS, "dem")
 def _(t):
     return O.polygons(t("dem").selectExpr("tile", "r", "c", f"{CLASSES} as v"), block=16).drop("wkt")
+
+
+@query("s08_vector_cells", """SELECT p, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM (SELECT s_suppkey AS p, s_suppkey % 13 AS x, s_suppkey % 11 AS y FROM supplier) s, generate_series(0, 45) a(r), generate_series(0, 45) b(c)
+    WHERE (c + 0.5 > x AND c + 0.5 < x + 10 AND r + 0.5 > y AND r + 0.5 < y + 8 AND NOT (c + 0.5 > x + 3 AND c + 0.5 < x + 6 AND r + 0.5 > y + 2 AND r + 0.5 < y + 5))
+    OR (r + 0.5 > y + 10 AND r + 0.5 < y + 18 AND c + 0.5 - x > (r + 0.5 - y - 10) / 2 AND c + 0.5 - x < 9 - (r + 0.5 - y - 10) / 2)""")
+def _(t):
+    """Polygons of two parts, one with a hole, as WKB in metres of a grid of 20 with its corner at (600000, 5100000)."""
+    at = lambda x, y: F.array(600000 + 20.0 * (col("x") + x), 5100000 - 20.0 * (col("y") + y))
+    ring = lambda part, *points: F.struct(F.lit(part).alias("part"), F.array(*[at(*p) for p in points]).alias("points"))
+    rings = F.array(
+        ring(0, (0, 0), (10, 0), (10, 8), (0, 8), (0, 0)), ring(0, (3, 2), (3, 5), (6, 5), (6, 2), (3, 2)), ring(1, (0, 10), (9, 10), (5, 18), (4, 18), (0, 10)),
+    )
+    shapes = t("supplier").select(col("s_suppkey").alias("p"), F.expr("s_suppkey % 13").alias("x"), F.expr("s_suppkey % 11").alias("y")).select("p", V.wkb_of(rings).alias("wkb"))
+    path = shared_path(t.spark, "layer")
+    shapes.write.parquet(path)
+    layer = t.spark.read.parquet(path).select("p", V.parsed_wkb("wkb").alias("rings"))
+    return polygons.cells_inside(V.sides(layer, ["p"], transform=(600000.0, 20.0, 0.0, 5100000.0, 0.0, -20.0)), ["p"])
