@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from ..operators import models, polygons
 from ..registry import query
 from ..sinks import formats as K
 from ..sources import formats as S
+from ..session import shared_path
 from ..streaming import status as ST
+from ..streaming import timers as TM
 
 col = F.col
 
@@ -218,3 +222,44 @@ def _(t):
 @query("t11_current_status", "SELECT user_id, max_by(event_type, ts) AS status, max(ts) AS since FROM events GROUP BY 1")
 def _(t):
     return ST.run_available(ST.current_status(stream(t)), "complete")
+
+
+def in_parts(t, rows, part: str, parts: int):
+    """A stream of rows that came in parts, one after the other: a batch each."""
+    path = shared_path(t.spark, "parts")
+    kept = rows.withColumn("_part", part)
+    for k in range(parts):
+        kept.where(col("_part") == k).drop("_part").coalesce(1).write.parquet(f"{path}/{k}.parquet")
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+
+
+#: Each event is a task of one of 25 keys: created at its time, and ended some hours later unless it fails.
+NOTICES = """b AS (SELECT event_id, CAST(user_id % 25 AS VARCHAR) AS key, event_type IN ('purchase', 'view') AS feeds, event_id % 7 > 0 AS ends, date_trunc('second', ts)::TIMESTAMP AS ts FROM events),
+    n AS (SELECT key, event_id, feeds, FALSE AS ended, ts FROM b UNION ALL SELECT key, event_id, feeds, TRUE, ts + INTERVAL 1 HOUR * CAST(1 + event_id % 50 AS INT) FROM b WHERE ends)"""
+
+
+@query("t05_harvest_runs", f"""WITH {NOTICES}, s AS (SELECT *, sum(CASE WHEN ended THEN -1 ELSE 1 END) OVER w AS open, sum(CASE WHEN NOT feeds THEN 0 WHEN ended THEN -1 ELSE 1 END) OVER w AS feeding, coalesce(lead(ts) OVER w, (SELECT max(ts) - INTERVAL 6 HOUR FROM n)) AS until
+        FROM n WINDOW w AS (PARTITION BY key ORDER BY ts, ended, CAST(event_id AS VARCHAR))),
+    f AS (SELECT key, ts + INTERVAL 1 HOUR * (13 * k) AS ts, 'force' AS action, open FROM (SELECT *, unnest(range(1, 1 + CAST(floor(greatest(0, epoch(until) - epoch(ts)) / 46800) AS BIGINT))) AS k FROM s WHERE feeding > 0))
+    SELECT key, ts, action, CAST(open AS BIGINT) AS open FROM (SELECT * FROM f UNION ALL SELECT key, ts + INTERVAL 13 HOUR, 'stop', open FROM s WHERE feeding = 0 AND ts + INTERVAL 13 HOUR <= until UNION ALL SELECT key, ts, 'harvest', open FROM s WHERE ended AND open = 0)""")
+def _(t):
+    e = t("events")
+    base = e.select((col("user_id") % 25).cast("string").alias("key"), col("event_id").alias("task"), col("event_type").isin("purchase", "view").alias("feeds"), F.date_trunc("second", "ts").alias("ts"))
+    later = F.expr("ts + make_interval(0, 0, 0, 0, int(1 + task % 50))")
+    rows = base.withColumn("ended", F.lit(False)).unionByName(base.where("task % 7 > 0").withColumn("ended", F.lit(True)).withColumn("ts", later))
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(low + (high - low) / 2) if low else F.lit(None).cast("timestamp")
+    stream = in_parts(t, rows, F.when(col("ts") < middle, 0).otherwise(1), 2)
+    return ST.run_available(TM.harvest_runs(stream, datetime.timedelta(hours=13), "6 hours"))
+
+
+@query("t09_day_cursor", """WITH i AS (SELECT CAST(user_id % 40 AS VARCHAR) AS key, CAST(ts AS DATE) AS day, CAST(event_id AS VARCHAR) AS item, least(2, CAST(epoch(ts) - (SELECT min(epoch(ts)) FROM events) AS BIGINT) * 3 // (1 + CAST((SELECT max(epoch(ts)) - min(epoch(ts)) FROM events) AS BIGINT)) + CAST(event_id % 9 = 0 AS INT)) AS part FROM events),
+    m AS (SELECT key, part, max(max(day)) OVER (PARTITION BY key ORDER BY part) - 2 AS cursor FROM i GROUP BY key, part),
+    l AS (SELECT i.*, (SELECT max(cursor) FROM m WHERE m.key = i.key AND m.part < i.part) AS before, (SELECT min(part) FROM m WHERE m.key = i.key AND m.cursor >= i.day) AS closes FROM i)
+    SELECT key, day, 'late' AS kind, CAST(1 AS BIGINT) AS n, item FROM l WHERE before >= day UNION ALL SELECT key, day, 'computed', count(*), NULL FROM l WHERE (before IS NULL OR before < day) AND closes IS NOT NULL GROUP BY key, day""")
+def _(t):
+    e = t("events")
+    low, high = e.agg(F.min(F.unix_seconds(col("ts").cast("timestamp"))), F.max(F.unix_seconds(col("ts").cast("timestamp")))).first()
+    rows = e.select((col("user_id") % 40).cast("string").alias("key"), F.to_date("ts").alias("day"), col("event_id").cast("string").alias("item"), F.unix_seconds(col("ts").cast("timestamp")).alias("s"))
+    part = F.least(F.lit(2), F.expr(f"(s - {low or 0}) * 3 div {1 + (high or 0) - (low or 0)}") + F.when(col("item").cast("bigint") % 9 == 0, 1).otherwise(0))
+    return ST.run_available(TM.day_cursor(in_parts(t, rows, part, 3), 2))

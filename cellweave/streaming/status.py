@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..session import setting, shared_path
+from .timers import PROVIDER
 
 
 def read_folder(spark: SparkSession, folder: str, pattern: str, files_per_batch: int = 100) -> DataFrame:
@@ -17,17 +18,20 @@ def read_folder(spark: SparkSession, folder: str, pattern: str, files_per_batch:
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], DataFrame] | None = None, places: tuple[str, str] | None = None) -> DataFrame:
     """Runs a stream over what is available and gives what it wrote. In complete mode the last state stays. each changes
-    a batch before it is written; a batch that is run again replaces its own folder, so retries leave no duplicates."""
+    a batch before it is written; a batch that is run again replaces its own folder, so retries leave no duplicates.
+    places are folders for the output and the checkpoint; with those of an earlier run, the stream goes on from there."""
     spark = stream.sparkSession
-    out, state = shared_path(spark, "stream"), shared_path(spark, "stream-state")
+    out, state = places or (shared_path(spark, "stream"), shared_path(spark, "stream-state"))
 
     def write(batch: DataFrame, number: int) -> None:
         df = each(batch, number) if each else batch
         df.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={number}")
 
-    stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    with setting(spark, *PROVIDER):
+        running = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
+    running.awaitTermination()
     found = spark.read.parquet(out)
     return found if mode == "complete" else found.drop("batch")
 
