@@ -14,7 +14,7 @@ from ..session import shared_path
 from ..sinks import formats as KF
 from ..sources import formats as SF
 from ..streaming import status as ST
-from .source_queries import NAMES, names, stream
+from .source_queries import NAMES, closing, names, stream
 from .space_queries import SCENES, scenes
 
 col = F.col
@@ -211,7 +211,7 @@ def _(t):
 @query("t03_debounced", """WITH l AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS first FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)), g AS (SELECT *, sum(first) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM l)
     SELECT event_type, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS run_at, count(*) AS n FROM g GROUP BY event_type, k""")
 def _(t):
-    return ST.run_available(ST.debounced(stream(t), "30 minutes"), "complete")
+    return ST.run_available(ST.debounced(closing(t), "30 minutes"))
 
 
 @query("n12_outside", """SELECT g.tile, g.r, g.c FROM grid g WHERE NOT EXISTS (SELECT 1 FROM feature_cells f WHERE (f.tile, f.r, f.c) = (g.tile, g.r, g.c))""", "grid feature_cells")

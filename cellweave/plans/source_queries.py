@@ -172,6 +172,22 @@ def stream(t):
     return ST.read_folder(t.spark, t.sf_dir, "events*.parquet")
 
 
+def in_parts(t, rows, part, parts: int):
+    """A stream of rows that came in parts, one after the other: a batch each."""
+    path = shared_path(t.spark, "parts")
+    kept = rows.withColumn("_part", col(part) if isinstance(part, str) else part)
+    for k in range(parts):
+        kept.where(col("_part") == k).drop("_part").coalesce(1).write.parquet(f"{path}/{k}.parquet")
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+
+
+def closing(t, late: str = "1 day"):
+    """Events as a stream with a watermark, and a heartbeat after them that lets all windows close."""
+    e = t("events")
+    rows = e.withColumn("_beat", F.lit(0)).unionByName(ST.heartbeat(e, "60 days").withColumn("_beat", F.lit(1)))
+    return ST.timed(in_parts(t, rows, "_beat", 2)).withWatermark("ts", late)
+
+
 @query("t01_inserted", "SELECT event_id, concat('R', CAST(user_id % 25 AS VARCHAR), '_PC') AS condition FROM events")
 def _(t):
     return ST.run_available(ST.inserted(stream(t)))
@@ -190,23 +206,23 @@ def _(t):
 
 @query("t04_all_processed", "SELECT user_id, bool_and(event_type IN ('purchase', 'view')) AS ready, count(*) AS n FROM events GROUP BY 1")
 def _(t):
-    return ST.run_available(ST.all_processed(stream(t)), "complete")
+    return ST.run_available(ST.all_processed(stream(t)), "update", keys=["user_id"])
 
 
 @query("t05_bursts", """WITH l AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS first FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM l)
     SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS idle_at, count(*) AS n FROM g GROUP BY user_id, k""")
 def _(t):
-    return ST.run_available(ST.bursts(stream(t), "6 hours"), "complete")
+    return ST.run_available(ST.bursts(closing(t), "6 hours"))
 
 
 @query("t07_daily_counts", "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(t):
-    return ST.run_available(ST.per_window(ST.timed(stream(t)).withWatermark("ts", "7 days"), "1 day"), "complete")
+    return ST.run_available(ST.per_window(closing(t), "1 day"))
 
 
 @query("t07_sliding_counts", "SELECT date_trunc('day', ts)::TIMESTAMP - INTERVAL 1 DAY * k AS start, event_type, count(*) AS n FROM events, generate_series(0, 6) g(k) GROUP BY 1, 2")
 def _(t):
-    return ST.run_available(ST.per_window(stream(t), "7 days", "1 day"), "complete")
+    return ST.run_available(ST.per_window(closing(t), "7 days", "1 day"))
 
 
 @query("t08_new_keys", "SELECT DISTINCT user_id, event_type FROM events")
@@ -216,21 +232,12 @@ def _(t):
 
 @query("t10_volume_gate", "SELECT date_trunc('day', ts)::TIMESTAMP AS start, count(*) AS n FROM events GROUP BY 1 HAVING count(*) >= 30")
 def _(t):
-    return ST.volume_gate(ST.run_available(ST.per_window(stream(t), "1 day"), "complete"), 30)
+    return ST.run_available(ST.volume_gate(closing(t), "1 day", 30))
 
 
 @query("t11_current_status", "SELECT user_id, max_by(event_type, ts) AS status, max(ts) AS since FROM events GROUP BY 1")
 def _(t):
-    return ST.run_available(ST.current_status(stream(t)), "complete")
-
-
-def in_parts(t, rows, part: str, parts: int):
-    """A stream of rows that came in parts, one after the other: a batch each."""
-    path = shared_path(t.spark, "parts")
-    kept = rows.withColumn("_part", part)
-    for k in range(parts):
-        kept.where(col("_part") == k).drop("_part").coalesce(1).write.parquet(f"{path}/{k}.parquet")
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+    return ST.run_available(ST.current_status(stream(t)), "update", keys=["user_id"])
 
 
 #: Each event is a task of one of 25 keys: created at its time, and ended some hours later unless it fails.

@@ -18,22 +18,25 @@ def read_folder(spark: SparkSession, folder: str, pattern: str, files_per_batch:
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], DataFrame] | None = None, places: tuple[str, str] | None = None) -> DataFrame:
-    """Runs a stream over what is available and gives what it wrote. In complete mode the last state stays. each changes
-    a batch before it is written; a batch that is run again replaces its own folder, so retries leave no duplicates.
+def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], DataFrame] | None = None, places: tuple[str, str] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Runs a stream over what is available and gives what it wrote. In update mode that is each key's row of the last batch
+    that has one. each changes a batch before it is written; a batch that is run again replaces its own folder, so retries
+    leave no duplicates.
     places are folders for the output and the checkpoint; with those of an earlier run, the stream goes on from there."""
     spark = stream.sparkSession
     out, state = places or (shared_path(spark, "stream"), shared_path(spark, "stream-state"))
 
     def write(batch: DataFrame, number: int) -> None:
         df = each(batch, number) if each else batch
-        df.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={number}")
+        df.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     with setting(spark, *PROVIDER):
         running = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
     running.awaitTermination()
     found = spark.read.parquet(out)
-    return found if mode == "complete" else found.drop("batch")
+    if mode == "update":
+        found = found.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in found.columns if c not in keys]), "batch").alias("last")).select(*keys, "last.*")
+    return found.drop("batch")
 
 
 def timed(events: DataFrame) -> DataFrame:
@@ -71,9 +74,16 @@ def bursts(events: DataFrame, gap: str) -> DataFrame:
     return events.groupBy("user_id", s.alias("s")).agg(F.count("*").alias("n")).select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("idle_at"), "n")
 
 
-def volume_gate(daily: DataFrame, least: int) -> DataFrame:
-    """Days with enough products; the others wait."""
-    return daily.groupBy("start").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def volume_gate(events: DataFrame, length: str, least: int) -> DataFrame:
+    """Windows that closed with enough products: the gate stands in the stream, so what it holds back is not written."""
+    return events.groupBy(F.window("ts", length).alias("w")).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(F.col("w.start").alias("start"), "n")
+
+
+def heartbeat(events: DataFrame, after: str) -> DataFrame:
+    """One row of the events' columns, null but for ts: so long after the last event. As it passes, all that waits for
+    time to go on is closed. An empty table has a null time, which moves nothing."""
+    last = events.agg((F.max("ts") + F.expr(f"interval {after}")).alias("ts"))
+    return last.select(*[F.col("ts").cast(f.dataType).alias("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema])
 
 
 def all_processed(events: DataFrame) -> DataFrame:

@@ -117,3 +117,38 @@ def test_day_cursor_reports_what_is_late(spark, lag, most):
     got = status.run_available(timers.day_cursor(stream_of(spark, folder, schema), lag, most)).collect()
     assert sorted((tuple(r) for r in got), key=str) == cursor_by_hand(batches, lag, most)
     assert {r.kind for r in got} == {"late", "computed"}
+
+
+def events_in_files(spark, batches):
+    schema, folder = "event_id long, user_id long, event_type string, ts timestamp", shared_path(spark, "events")
+    for b, rows in enumerate(batches):
+        save(spark, [(i, u, k, T0 + datetime.timedelta(minutes=m)) for i, u, k, m in rows], schema, folder, f"b{b}")
+    return stream_of(spark, folder, schema), (folder, schema)
+
+
+def test_windows_close_once_and_late_rows_stay_out(spark):
+    events, _ = events_in_files(spark, [[(1, 1, "a", 5), (2, 1, "b", 65)], [(3, 1, "a", 20), (4, 1, "a", 300)], [(6, 1, "a", 301)], [(5, 1, "a", 50), (7, 1, "a", 1000)]])
+    got = status.run_available(status.per_window(events.withWatermark("ts", "60 minutes"), "1 hour")).collect()
+    assert sorted(((r.start - T0).total_seconds() / 3600, r.event_type, r.n) for r in got) == [(0, "a", 2), (1, "b", 1), (5, "a", 2)]  # event 5 came after its hour was closed; the last hour is still open
+
+
+def test_gate_and_bursts_are_decided_in_the_stream(spark):
+    rows = [[(k, 1, "a", k) for k in range(5)], [(9, 1, "a", 61), (10, 2, "a", 500)], [(11, 2, "a", 5000)]]
+    events, _ = events_in_files(spark, rows)
+    gate = status.run_available(status.volume_gate(events.withWatermark("ts", "10 minutes"), "1 hour", 2)).collect()
+    assert [((r.start - T0).total_seconds(), r.n) for r in gate] == [(0.0, 5)]
+    events, _ = events_in_files(spark, rows)
+    bursts = status.run_available(status.bursts(events.withWatermark("ts", "10 minutes"), "30 minutes")).collect()
+    assert sorted((r.user_id, (r.start - T0).total_seconds() / 60, (r.idle_at - T0).total_seconds() / 60, r.n) for r in bursts) == [(1, 0, 34, 5), (1, 61, 91, 1), (2, 500, 530, 1)]
+
+
+def test_upserts_go_on_after_a_restart(spark):
+    events, (folder, schema) = events_in_files(spark, [[(1, 1, "view", 1), (2, 2, "error", 2)], [(3, 1, "error", 3)]])
+    places = (shared_path(spark, "out"), shared_path(spark, "state"))
+    first = status.run_available(status.current_status(events), "update", places=places, keys=["user_id"])
+    assert {r.user_id: r.status for r in first.collect()} == {1: "error", 2: "error"}
+    save(spark, [(4, 2, "purchase", T0 + datetime.timedelta(minutes=9)), (5, 1, "view", T0)], schema, folder, "later")
+    again = status.run_available(status.current_status(stream_of(spark, folder, schema)), "update", places=places, keys=["user_id"])
+    assert {r.user_id: r.status for r in again.collect()} == {1: "error", 2: "purchase"}
+    batches = spark.read.parquet(places[0]).groupBy("batch").count().collect()
+    assert sum(r["count"] for r in batches) == 5  # a batch writes the keys that it changed, not all
