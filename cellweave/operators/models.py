@@ -79,6 +79,42 @@ def calibrate_cover(df: DataFrame, index: str, cover: str, start: tuple[float, f
     return a, b
 
 
+def simplex_cover(df: DataFrame, index: str, cover: str, start: tuple[float, float] = (3.0, -1.0), rounds: int = 200, within: float = 1e-4) -> tuple[float, float, float]:
+    """a and b of 0.5 * tanh(a * index + b) + 0.5 with the least root mean squared error, and that error, by the downhill
+    simplex. A round's six candidates (reflected, expanded, contracted on either side, and both shrunk corners) are known
+    before it, so each round is one aggregation, whichever is taken. It ends when corners and their errors lie within the
+    tolerance of the best. Without rows the start and a null error are given."""
+
+    def losses(points: list[tuple[float, float]]) -> list[float | None]:
+        x, y = F.col(index), F.col(cover)
+        return list(df.agg(*[F.sqrt(F.avg((0.5 * F.tanh(a * x + b) + 0.5 - y) ** 2)) for a, b in points]).first())
+
+    corners = [start, *[tuple(v * 1.05 if k == j else v for k, v in enumerate(start)) for j in range(2)]]
+    found = losses(corners)
+    if found[0] is None:
+        return (*start, None)
+    held = sorted(zip(found, corners, strict=True))
+    for _ in range(rounds):
+        (low, best), (middle, second), (high, worst) = held
+        if max(abs(c - b) for p in (second, worst) for c, b in zip(p, best, strict=True)) <= within and high - low <= within:
+            break
+        centre = tuple((b + s) / 2 for b, s in zip(best, second, strict=True))
+        away = lambda t: tuple(c + t * (c - w) for c, w in zip(centre, worst, strict=True))  # noqa: E731, B023
+        shrunk = [tuple((b + v) / 2 for b, v in zip(best, p, strict=True)) for p in (second, worst)]
+        points = [away(1.0), away(2.0), away(0.5), away(-0.5), *shrunk]
+        reflected, expanded, outside, inside, *small = zip(losses(points), points, strict=True)
+        if reflected[0] < low:
+            new = [min(reflected, expanded)]
+        elif reflected[0] < middle:
+            new = [reflected]
+        elif reflected[0] < high:
+            new = [outside] if outside[0] <= reflected[0] else []
+        else:
+            new = [inside] if inside[0] < high else []
+        held = sorted([*held[:2], *new]) if new else sorted([held[0], *small])
+    return (*held[0][1], held[0][0])
+
+
 def loss_grid(df: DataFrame, index: str, cover: str, test: Column, points: list[tuple[float, float]]) -> DataFrame:
     """The root mean squared error of 0.5 * tanh(a * index + b) + 0.5 on training and test rows at each point (a, b), in
     one aggregation of two sums a point."""

@@ -118,6 +118,20 @@ def utm_to_degrees(x: Column, y: Column, zone: Column) -> tuple[Column, Column]:
     return F.degrees(lon) + zone * 6 - 183, F.degrees(lat)
 
 
+def geographic_lookup(cells: DataFrame, zone: Column, transform: tuple[float, ...], grid: DataFrame, grid_transform: tuple[float, ...], band: str) -> DataFrame:
+    """tile, r, c of UTM cells with the band of the nearest cell (mr, mc) of a geographic grid.
+
+    transform gives x of the corner, x a column, x a row, y of the corner, y a column, y a row, of a cell's corner as the
+    look-up takes it; grid_transform gives longitude and latitude likewise, of the grid's edges. Halves go to the even
+    cell. Each cell computes its own place, so this is one equi-join; cells outside the grid are left out.
+    """
+    x0, sx, _, y0, _, sy = transform
+    lon, lat = utm_to_degrees(x0 + F.col("c") * sx, y0 + F.col("r") * sy, zone)
+    near = lambda v, first, step: F.bround((v - first - step / 2) / step, 0).cast("int")
+    placed = cells.select("tile", "r", "c", near(lat, grid_transform[3], grid_transform[5]).alias("mr"), near(lon, grid_transform[0], grid_transform[1]).alias("mc"))
+    return placed.join(grid.select("mr", "mc", band), ["mr", "mc"]).select("tile", "r", "c", "mr", "mc", band)
+
+
 def geographic_bounds(boxes: DataFrame) -> DataFrame:
     """West, east, south and north in degrees of boxes (x0, y0, x1, y1, zone), from their four corners."""
     corner = [utm_to_degrees(F.col(x), F.col(y), F.col("zone")) for x in ("x0", "x1") for y in ("y0", "y1")]

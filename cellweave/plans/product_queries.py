@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import solar
 from ..operators import catalogue as K
 from ..operators import models
 from ..operators import products as P
+from ..operators import resample
 from ..operators import stats as S
 from ..registry import query
 from ..session import shared_path
@@ -79,13 +81,18 @@ def _(t):
     return P.hulls(row_extremes(t("water"), col("wl") != 255), ["tile"])
 
 
-K15 = """WITH b AS (SELECT o_orderkey AS id, 300000.0::DOUBLE + o_custkey % 400 * 1000 AS x0, 4000000.0::DOUBLE + o_orderkey % 900 * 1000 AS y0, 31 + o_custkey % 3 AS zone FROM orders),
-    q AS (SELECT id, zone, x0 + i * 20000 AS x, y0 + j * 10000 AS y FROM b, generate_series(0, 1) s(i), generate_series(0, 1) u(j)), e AS (SELECT 0.0066943799901413165::DOUBLE AS e2, 0.006739496742276434::DOUBLE AS ep2, 0.0016792203863837047::DOUBLE AS e1),
-    m AS (SELECT *, y / 0.9996 / (6378137.0 * (1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256)) AS mu FROM q, e),
-    f AS (SELECT *, mu + (3 * e1 / 2 - 27 * e1 ** 3 / 32) * sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * sin(4 * mu) + 151 * e1 ** 3 / 96 * sin(6 * mu) + 1097 * e1 ** 4 / 512 * sin(8 * mu) AS p FROM m),
-    g AS (SELECT *, 6378137.0 / sqrt(1 - e2 * sin(p) ** 2) AS n, 6378137.0 * (1 - e2) / (1 - e2 * sin(p) ** 2) ** 1.5 AS r, ep2 * cos(p) ** 2 AS c1, tan(p) ** 2 AS t1 FROM f), h AS (SELECT *, (x - 500000) / (n * 0.9996) AS d FROM g),
-    w AS (SELECT id, degrees((d - (1 + 2 * t1 + c1) * d ** 3 / 6 + (5 - 2 * c1 + 28 * t1 - 3 * c1 ** 2 + 8 * ep2 + 24 * t1 ** 2) * d ** 5 / 120) / cos(p)) + zone * 6 - 183 AS lon,
-    degrees(p - n * tan(p) / r * (d ** 2 / 2 - (5 + 3 * t1 + 10 * c1 - 4 * c1 ** 2 - 9 * ep2) * d ** 4 / 24 + (61 + 90 * t1 + 298 * c1 + 45 * t1 ** 2 - 252 * ep2 - 3 * c1 ** 2) * d ** 6 / 720)) AS lat FROM h)
+def degrees_sql(q: str, keys: str) -> str:
+    """CTEs that end in w: keys, lon and lat of q, which gives keys, zone, x and y."""
+    return f"""q AS ({q}), e AS (SELECT 0.0066943799901413165::DOUBLE AS e2, 0.006739496742276434::DOUBLE AS ep2, 0.0016792203863837047::DOUBLE AS e1),
+    mu AS (SELECT *, y / 0.9996 / (6378137.0 * (1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256)) AS mu FROM q, e),
+    f AS (SELECT *, mu + (3 * e1 / 2 - 27 * e1 ** 3 / 32) * sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * sin(4 * mu) + 151 * e1 ** 3 / 96 * sin(6 * mu) + 1097 * e1 ** 4 / 512 * sin(8 * mu) AS p FROM mu),
+    g AS (SELECT *, 6378137.0 / sqrt(1 - e2 * sin(p) ** 2) AS n_, 6378137.0 * (1 - e2) / (1 - e2 * sin(p) ** 2) ** 1.5 AS r_, ep2 * cos(p) ** 2 AS c1, tan(p) ** 2 AS t1 FROM f), h AS (SELECT *, (x - 500000) / (n_ * 0.9996) AS d FROM g),
+    w AS (SELECT {keys}, degrees((d - (1 + 2 * t1 + c1) * d ** 3 / 6 + (5 - 2 * c1 + 28 * t1 - 3 * c1 ** 2 + 8 * ep2 + 24 * t1 ** 2) * d ** 5 / 120) / cos(p)) + zone * 6 - 183 AS lon,
+    degrees(p - n_ * tan(p) / r_ * (d ** 2 / 2 - (5 + 3 * t1 + 10 * c1 - 4 * c1 ** 2 - 9 * ep2) * d ** 4 / 24 + (61 + 90 * t1 + 298 * c1 + 45 * t1 ** 2 - 252 * ep2 - 3 * c1 ** 2) * d ** 6 / 720)) AS lat FROM h)"""
+
+
+K15 = f"""WITH b AS (SELECT o_orderkey AS id, 300000.0::DOUBLE + o_custkey % 400 * 1000 AS x0, 4000000.0::DOUBLE + o_orderkey % 900 * 1000 AS y0, 31 + o_custkey % 3 AS zone FROM orders),
+    {degrees_sql("SELECT id, zone, x0 + i * 20000 AS x, y0 + j * 10000 AS y FROM b, generate_series(0, 1) s(i), generate_series(0, 1) u(j)", "id")}
     SELECT id, CAST(round(min(lon), 7) AS DOUBLE) AS west, CAST(round(max(lon), 7) AS DOUBLE) AS east, CAST(round(min(lat), 7) AS DOUBLE) AS south, CAST(round(max(lat), 7) AS DOUBLE) AS north FROM w GROUP BY id"""
 
 
@@ -281,3 +288,58 @@ def _(t):
     for mission in ("S1", "S2"):
         rows.where(col("mission") == mission).write.mode("append").parquet(path)
     return t.spark.read.parquet(path)
+
+
+def enlarged(near: str, far: str) -> str:
+    """SQL: images of the ground twice as large, from all cells within two of a place; near and far are the kernel's weight
+    at distances under 1 and under 2."""
+    w = lambda d: f"(CASE WHEN {d} < 1 THEN {near.replace('D', d)} WHEN {d} < 2 THEN {far.replace('D', d)} ELSE 0 END)"
+    return f"""WITH m AS (SELECT tile, max(r) + 1 AS h, max(c) + 1 AS w FROM dem GROUP BY tile), p AS (SELECT tile, r, unnest(range(2 * w)) AS c FROM (SELECT tile, w, unnest(range(2 * h)) AS r FROM m)),
+    q AS (SELECT *, (r + 0.5::DOUBLE) / 2 - 0.5 AS y, (c + 0.5::DOUBLE) / 2 - 0.5 AS x FROM p), n AS (SELECT q.tile, q.r, q.c, g.z, {w("abs(y - g.r)")} * {w("abs(x - g.c)")} AS w FROM q JOIN dem g ON g.tile = q.tile AND g.r BETWEEN floor(y) - 1 AND floor(y) + 2 AND g.c BETWEEN floor(x) - 1 AND floor(x) + 2)
+    SELECT tile, CAST(r AS INT) AS r, CAST(c AS INT) AS c, CAST(round(sum(z * w) / sum(w), 4) AS DOUBLE) AS z FROM n GROUP BY tile, r, c HAVING sum(w) > 1e-6"""
+
+
+@query("j14_cubic", enlarged("(1.5 * D * D * D - 2.5 * D * D + 1)", "(-0.5 * D * D * D + 2.5 * D * D - 4 * D + 2)"), "dem")
+def _(t):
+    return resample.enlarge(t("dem"), "z", 2, "cubic").withColumn("z", F.round("z", 4))
+
+
+@query("j14_cubic_spline", enlarged("(0.5 * D * D * D - D * D + 2e0 / 3)", "((2 - D) * (2 - D) * (2 - D) / 6)"), "dem")
+def _(t):
+    return resample.enlarge(t("dem"), "z", 2, "cubicspline").withColumn("z", F.round("z", 4))
+
+
+@query("n11_coarse_red", """WITH m AS (SELECT tile, max(r) + 1 AS h, max(c) + 1 AS w, greatest(1, (max(r) + 1) // 12) AS hs, greatest(1, (max(c) + 1) // 12) AS ws FROM dem GROUP BY tile),
+    p AS (SELECT tile, h, w, hs, ws, i, unnest(range(ws)) AS j FROM (SELECT *, unnest(range(hs)) AS i FROM m)),
+    n AS (SELECT p.tile, i, j, z, greatest(0, 1 - abs((i + 0.5::DOUBLE) * h / hs - r - 0.5) / (h / hs::DOUBLE)) * greatest(0, 1 - abs((j + 0.5::DOUBLE) * w / ws - c - 0.5) / (w / ws::DOUBLE)) AS k FROM p JOIN dem g ON g.tile = p.tile),
+    s AS (SELECT tile, i, j, round(sum(z * k) / sum(k), 4) AS z FROM n GROUP BY tile, i, j), q AS (SELECT tile, h, w, hs, ws, r, unnest(range(w)) AS c FROM (SELECT *, unnest(range(h)) AS r FROM m))
+    SELECT q.tile, CAST(r AS INT) AS r, CAST(c AS INT) AS c, CAST(z AS DOUBLE) AS z FROM q JOIN s ON s.tile = q.tile AND s.i = CAST(floor((r + 0.5) * hs / h) AS BIGINT) AND s.j = CAST(floor((c + 0.5) * ws / w) AS BIGINT)""", "dem")
+def _(t):
+    return resample.coarse(t("dem").select("tile", "r", "c", "z"), "z").withColumn("z", F.round("z", 4))
+
+
+#: A grid of 0.1 degrees, north up, whose north-west corner is at 6 degrees east and 48 north; and cells of 2 km in zone 32.
+GRID = (6.0, 0.1, 0.0, 48.0, 0.0, -0.1)
+
+
+@query("j13_geographic_lookup", f"""WITH {degrees_sql("SELECT tile, r, c, 32 AS zone, 300000.0::DOUBLE + 2000 * c AS x, 5300000.0::DOUBLE - 2000 * r AS y FROM water", "tile, r, c")},
+    k AS (SELECT tile, r, c, CAST(round_even((lat - 48 + 0.05) / -0.1, 0) AS INT) AS mr, CAST(round_even((lon - 6 - 0.05) / 0.1, 0) AS INT) AS mc FROM w)
+    SELECT tile, r, c, mr, mc, mr * 1000 + mc AS temperature FROM k WHERE mr BETWEEN 0 AND 24 AND mc BETWEEN 0 AND 39""", "water")
+def _(t):
+    grid = t("nation").select(col("n_nationkey").cast("int").alias("mr"), F.explode(F.sequence(F.lit(0), F.lit(39))).alias("mc")).withColumn("temperature", col("mr") * 1000 + col("mc"))
+    return P.geographic_lookup(t("water"), F.lit(32), (300000.0, 2000.0, 0.0, 5300000.0, 0.0, -2000.0), grid, GRID, "temperature")
+
+
+SUN = """WITH o AS (SELECT o_orderkey AS id, o_orderdate + INTERVAL 1 HOUR * CAST(o_custkey % 24 AS INT) AS t, o_custkey % 360 - 180.0::DOUBLE AS lon, o_orderkey % 140 - 70.0::DOUBLE AS lat FROM orders),
+    a AS (SELECT *, 2 * pi() / (CASE WHEN year(t) % 4 = 0 AND (year(t) % 100 <> 0 OR year(t) % 400 = 0) THEN 366 ELSE 365 END) * (dayofyear(t) - 1 + (hour(t) - 12) / 24.0::DOUBLE) AS g FROM o),
+    b AS (SELECT *, 229.18 * (0.000075 + 0.001868 * cos(g) - 0.032077 * sin(g) - 0.014615 * cos(2 * g) - 0.040849 * sin(2 * g)) AS eq, 0.006918 - 0.399912 * cos(g) + 0.070257 * sin(g) - 0.006758 * cos(2 * g) + 0.000907 * sin(2 * g) - 0.002697 * cos(3 * g) + 0.00148 * sin(3 * g) AS d FROM a),
+    c AS (SELECT *, hour(t) * 60 + lon * 4 + eq AS minutes, radians(lat) AS p FROM b), h AS (SELECT *, radians(minutes / 4 - 180) AS h FROM c)"""
+
+
+@query("s09_solar_position", f"""{SUN} SELECT id, CAST(round(eq, 6) AS DOUBLE) AS equation, CAST(round(minutes, 3) AS DOUBLE) AS minutes, CAST(round(((degrees(atan2(-cos(d) * sin(h), cos(p) * sin(d) - sin(p) * cos(d) * cos(h))) % 360) + 360) % 360, 4) AS DOUBLE) AS azimuth,
+    CAST(round(degrees(asin(sin(p) * sin(d) + cos(p) * cos(d) * cos(h))), 4) AS DOUBLE) AS elevation FROM h""")
+def _(t):
+    o = t("orders").select(col("o_orderkey").alias("id"), F.expr("timestamp(o_orderdate) + make_interval(0, 0, 0, 0, int(o_custkey % 24))").alias("t"), F.expr("double(o_custkey % 360 - 180)").alias("lon"), F.expr("double(o_orderkey % 140 - 70)").alias("lat"))
+    azimuth, elevation = solar.position(col("t"), col("lon"), col("lat"))
+    since = F.unix_micros(solar.local_solar_time(col("t"), col("lon"))) - F.unix_micros(F.date_trunc("day", "t"))
+    return o.select("id", F.round(solar.equation_of_time(col("t")), 6).alias("equation"), F.round(since / 6e7, 3).alias("minutes"), F.round(azimuth, 4).alias("azimuth"), F.round(elevation, 4).alias("elevation"))

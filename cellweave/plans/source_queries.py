@@ -159,6 +159,15 @@ def _(t):
     return t.spark.createDataFrame([(round(p, 4), round(q, 4))], "a double, b double")
 
 
+@query("m02_simplex")
+def _(t):
+    """Coefficients from three quarters of the orders, with the errors on both parts."""
+    b = t("bands").selectExpr("l_orderkey % 4 = 0 as test", "(green - swir) / double(greatest(green + swir, 1)) as x", "double((green * 7 + red) % 101) / 100 as y")
+    p, q, error = models.simplex_cover(b.where("not test"), "x", "y")
+    held = F.sqrt(F.avg((0.5 * F.tanh(p * col("x") + q) + 0.5 - col("y")) ** 2))
+    return b.where("test").agg(F.lit(round(p, 3)).alias("a"), F.lit(round(q, 3)).alias("b"), F.lit(error).alias("train"), held.alias("test"))
+
+
 @query("n12_polygon_cells", """SELECT p, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM (SELECT n_nationkey AS p, n_nationkey % 7 AS x, n_nationkey % 5 AS y FROM nation) n, generate_series(0, 30) a(r), generate_series(0, 30) b(c)
     WHERE c + 0.5 > x AND c + 0.5 < x + 10 AND r + 0.5 > y AND r + 0.5 < y + 8 AND NOT (c + 0.5 > x + 3 AND c + 0.5 < x + 6 AND r + 0.5 > y + 2 AND r + 0.5 < y + 5)""")
 def _(t):
