@@ -12,6 +12,7 @@ from ..registry import query
 from ..session import shared_path
 from ..sinks import raster as W
 from ..sources import catalogue as C
+from ..sources import formats as F_
 from ..sources import raster as R
 from ..sources import vector as V
 
@@ -107,3 +108,20 @@ def _(t):
     shapes.write.parquet(path)
     layer = t.spark.read.parquet(path).select("p", V.parsed_wkb("wkb").alias("rings"))
     return polygons.cells_inside(V.sides(layer, ["p"], transform=(600000.0, 20.0, 0.0, 5100000.0, 0.0, -20.0)), ["p"])
+
+
+@query("s15_objects", "SELECT o_custkey % 20 AS k, CAST(1 AS BIGINT) AS files, CAST(sum(strlen(CAST(o_orderkey AS VARCHAR)) + 1) AS BIGINT) AS length FROM orders GROUP BY 1")
+def _(t):
+    path = shared_path(t.spark, "objects")
+    lines = t("orders").select((col("o_custkey") % 20).alias("k"), col("o_orderkey").cast("string").alias("value"))
+    lines.repartition("k").write.partitionBy("k").text(path)  # one object a key
+    found = F_.read_objects(t.spark, path, "*.txt").withColumn("k", F.regexp_extract("path", "k=([0-9]+)/", 1).cast("bigint"))
+    return found.groupBy("k").agg(F.count("*").alias("files"), F.sum("length").alias("length"))
+
+
+@query("s19_lines", "SELECT concat('P', CAST(o_orderkey AS VARCHAR)) AS line FROM orders WHERE o_orderkey % 5 > 0")
+def _(t):
+    path = shared_path(t.spark, "lines")
+    name = F.concat(F.lit("P"), col("o_orderkey").cast("string"))
+    t("orders").select(F.when(col("o_orderkey") % 5 == 0, "  ").when(col("o_orderkey") % 3 == 0, F.concat(F.lit(" "), name, F.lit("  "))).otherwise(name).alias("value")).write.text(path)
+    return F_.read_lines(t.spark, path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import solar
@@ -10,6 +9,7 @@ from ..operators import catalogue as K
 from ..operators import models
 from ..operators import products as P
 from ..operators import resample
+from ..operators import selections as X
 from ..operators import stats as S
 from ..registry import query
 from ..session import shared_path
@@ -119,10 +119,7 @@ def _(t):
 
 @query("j17_date_pairs", f"""WITH {NAMES}, days AS (SELECT d, row_number() OVER (ORDER BY d) - 1 AS day_index FROM (SELECT DISTINCT d FROM obs)) SELECT name, d, day_index FROM n JOIN days ON contains(name, strftime(d, '%Y%m%d'))""", "obs")
 def _(t):
-    days = t("obs").select("d").distinct()  # a row a day, so one task may number them
-    numbered = days.select("d", (F.row_number().over(Window.orderBy("d")) - 1).cast("bigint").alias("day_index"))
-    key = F.to_date(F.regexp_extract("name", "([0-9]{8})T", 1), "yyyyMMdd")
-    return names(t).withColumn("d", key).join(numbered, "d").select("name", "d", "day_index")
+    return X.date_pairs(names(t), t("obs")).select("name", "d", "day_index")
 
 
 @query("o06_drop_obsolete", "SELECT o_orderkey AS id FROM orders WHERE o_custkey % 7 <> 0")
@@ -133,19 +130,20 @@ def _(t):
 
 @query("s06_band_rows", f"SELECT {KS}, red, green, blue FROM bands WHERE green > red", "bands")
 def _(t):
-    return t("bands").where("green > red").select(*BANDS, "red", "green", "blue")
+    return X.band_rows(t("bands"), BANDS, ["red", "green", "blue"], "green > red")
 
 
 @query("s07_all_dates", "SELECT tile, r, c, count(*) AS n, string_agg(CAST(v AS VARCHAR), ' ' ORDER BY d) AS series FROM obs GROUP BY 1, 2, 3", "obs")
 def _(t):
-    series = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("d", "v"))), lambda x: x["v"].cast("string")), " ")  # as many as a cell has days
-    return t("obs").groupBy("tile", "r", "c").agg(F.count("*").alias("n"), series.alias("series"))
+    return X.date_series(t("obs"), ["tile", "r", "c"])
 
 
-@query("s14_products_as_inputs", "SELECT p.id, p.product_path AS input_path, i.tile, i.measurement_day FROM products p JOIN input i ON i.id = p.input_fk_id WHERE i.date >= TIMESTAMP '1995-01-01'", "products input")
+@query("s14_products_as_inputs", """SELECT 'TURB_PC' AS processing_condition_name, o_orderdate::TIMESTAMP AS creation_date, i.tile, i.measurement_day, p.product_path AS input_path, i.mission FROM products p JOIN orders ON o_orderkey = p.id JOIN input i ON i.id = p.input_fk_id
+    WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND p.product_type_id IN (SELECT r_regionkey FROM region WHERE concat('L', CAST(1 + r_regionkey % 3 AS VARCHAR)) IN (SELECT input_type FROM routine))""", "products input routine")
 def _(t):
-    recent = t("input").where("date >= timestamp'1995-01-01'").select(col("id").alias("input_fk_id"), "tile", "measurement_day")
-    return t("products").join(recent, "input_fk_id").select("id", col("product_path").alias("input_path"), "tile", "measurement_day")
+    created = t("orders").select(col("o_orderkey").alias("id"), col("o_orderdate").cast("timestamp").alias("creation_date"))
+    types = t("region").select(col("r_regionkey").alias("id"), F.concat(F.lit("L"), (1 + col("r_regionkey") % 3).cast("string")).alias("data_type"))
+    return X.products_as_inputs(t("products").join(created, "id"), t("input"), types, t("routine"), "TURB_PC", "1995-01-01")
 
 
 @query("j01_cell_join", "SELECT tile, r, c, d, v, wl, z, tcd FROM obs JOIN water USING (tile, r, c) JOIN dem USING (tile, r, c) JOIN tcd USING (tile, r, c)", "obs water dem tcd")
@@ -156,23 +154,22 @@ def _(t):
 
 @query("l01_newest_first", "SELECT tile, r, c, d, CAST(row_number() OVER (PARTITION BY tile, r, c ORDER BY d DESC) AS INT) AS place FROM obs", "obs")
 def _(t):
-    return t("obs").select("tile", "r", "c", "d", F.row_number().over(Window.partitionBy("tile", "r", "c").orderBy(F.desc("d"))).alias("place"))
+    return X.newest_first(t("obs"), ["tile", "r", "c"])
 
 
 @query("l04_sorted_names", f"WITH {NAMES} SELECT id, CAST(row_number() OVER (PARTITION BY substr(name, 1, 5) ORDER BY name, id) AS INT) AS place FROM n")
 def _(t):
-    return names(t).select("id", F.row_number().over(Window.partitionBy(F.substring("name", 1, 5)).orderBy("name", "id")).alias("place"))
+    return X.places(names(t), F.substring("name", 1, 5), "name", "id").select("id", "place")
 
 
 @query("l07_nearest_to_may", "SELECT tile, CAST(year(d) AS INT) AS year, min_by(d, abs(d - make_date(year(d), 5, 1)) * 1000 + dayofyear(d)) AS d FROM obs GROUP BY 1, 2", "obs")
 def _(t):
-    gap = F.abs(F.datediff("d", F.make_date(F.year("d"), F.lit(5), F.lit(1))))
-    return t("obs").groupBy("tile", F.year("d").alias("year")).agg(F.min_by("d", F.struct(gap, "d")).alias("d"))
+    return X.nearest_to_day(t("obs"), ["tile"], 5, 1)
 
 
 @query("o02_all_candidates", "SELECT id, 'S1' AS source FROM input WHERE mission = 'S1' UNION ALL SELECT id, 'products' FROM products", "input products")
 def _(t):
-    return t("input").where("mission = 'S1'").select("id", F.lit("S1").alias("source")).unionByName(t("products").select("id", F.lit("products").alias("source")))
+    return X.all_candidates({"S1": t("input").where("mission = 'S1'"), "products": t("products")})
 
 
 INDEX = """iw AS (SELECT event_id AS id, 1 + event_id % 500 AS product_fk_id, CASE WHEN event_type = 'purchase' THEN ts END AS indexation_date, CASE WHEN event_type = 'error' THEN ts END AS failure_date FROM events),
@@ -223,23 +220,23 @@ def _(t):
 
 @query("n12_outside", """SELECT g.tile, g.r, g.c FROM grid g WHERE NOT EXISTS (SELECT 1 FROM feature_cells f WHERE (f.tile, f.r, f.c) = (g.tile, g.r, g.c))""", "grid feature_cells")
 def _(t):
-    return t("grid").join(t("feature_cells"), ["tile", "r", "c"], "left_anti").select("tile", "r", "c")
+    return X.outside(t("grid"), t("feature_cells"))
 
 
 @query("s26_take_boxes", "SELECT o_custkey AS take, min(o_orderkey % 97 * 100) - 120 AS x0, max(o_orderkey % 97 * 100 + 900) + 120 AS x1 FROM orders GROUP BY 1")
 def _(t):
-    return t("orders").groupBy(col("o_custkey").alias("take")).agg((F.min(col("o_orderkey") % 97 * 100) - 120).alias("x0"), (F.max(col("o_orderkey") % 97 * 100 + 900) + 120).alias("x1"))
+    return X.take_boxes(t("orders").selectExpr("o_custkey as take", "o_orderkey % 97 * 100 as x0", "o_orderkey % 97 * 100 + 900 as x1"), ["take"], 120)
 
 
 @query("k05_colours", "SELECT tile, r, c, d, CASE v WHEN 205 THEN 8421504 WHEN 210 THEN 255 WHEN 255 THEN 0 ELSE v * 65793 END AS colour FROM obs WHERE v IN (0, 100, 205, 210, 255)", "obs")
 def _(t):
     palette = t.spark.createDataFrame([(205, 8421504), (210, 255), (255, 0), (0, 0), (100, 6579300)], "v int, colour int")
-    return t("obs").join(F.broadcast(palette), "v").select("tile", "r", "c", "d", "colour")  # a palette has 256 rows at most
+    return X.coloured(t("obs"), palette).select("tile", "r", "c", "d", "colour")
 
 
 @query("k11_plan_json", """SELECT id, concat('{"id":', id, ',"vm":', virtual_machine_id, ',"t0":', CAST((id * 7) % 200 AS INT), '}') AS plan FROM processing_tasks""", "processing_tasks")
 def _(t):
-    return t("processing_tasks").select("id", F.to_json(F.struct("id", col("virtual_machine_id").alias("vm"), ((col("id") * 7) % 200).cast("int").alias("t0"))).alias("plan"))
+    return t("processing_tasks").select("id", KF.plan_json(id=col("id"), vm=col("virtual_machine_id"), t0=((col("id") * 7) % 200).cast("int")).alias("plan"))
 
 
 @query("k17_confusion_csv", "SELECT tile, concat_ws(',', tile, count(*) FILTER (v > 0 AND qc > 1), count(*) FILTER (v > 0 AND qc <= 1), count(*) FILTER (v = 0 AND qc > 1), count(*) FILTER (v = 0 AND qc <= 1)) AS line FROM obs WHERE v <= 100 GROUP BY tile", "obs")
@@ -285,9 +282,9 @@ def _(t):
 @query("k12_appended_batches", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, mission, v FROM obs_raw", "obs_raw")
 def _(t):
     path, rows = shared_path(t.spark, "batches"), t("obs_raw").select(*BANDS, "mission", "v")
-    for mission in ("S1", "S2"):
-        rows.where(col("mission") == mission).write.mode("append").parquet(path)
-    return t.spark.read.parquet(path)
+    for mission in ("S1", "S2", "S1"):  # the first one again: it takes its own place
+        KF.append_batch(rows.where(col("mission") == mission), path, mission)
+    return t.spark.read.parquet(path).drop("batch")
 
 
 def enlarged(near: str, far: str) -> str:

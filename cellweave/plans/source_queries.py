@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from ..operators import models, polygons
+from ..operators import models, polygons, selections
 from ..registry import query
 from ..sinks import formats as K
 from ..sources import formats as S
@@ -118,6 +118,13 @@ def _(t):
     return K.merge_features(a, t("nation").selectExpr("n_nationkey + 100 as fid", "cast(n_regionkey as bigint) as area"))
 
 
+@query("k09_upsert_features", """SELECT coalesce(o.fid, n.fid) AS fid, coalesce(n.n, o.n) AS n, o.tile, n.name FROM (SELECT fid, max(tile) AS tile, count(*) AS n FROM feature_cells GROUP BY fid) o
+    FULL JOIN (SELECT n_nationkey + 5 AS fid, CASE WHEN n_regionkey > 1 THEN n_regionkey END AS n, n_name AS name FROM nation) n ON n.fid = o.fid""", "feature_cells")
+def _(t):
+    old = t("feature_cells").groupBy("fid").agg(F.max("tile").alias("tile"), F.count("*").alias("n"))
+    return selections.upsert_features(old, t("nation").selectExpr("n_nationkey + 5 as fid", "case when n_regionkey > 1 then bigint(n_regionkey) end as n", "n_name as name"), ["fid"])
+
+
 @query("k10_bounding_polygons", """SELECT fid, count(*) AS cells, format('POLYGON(({} {},{} {},{} {},{} {},{} {}))', min(c), min(r), max(c) + 1, min(r), max(c) + 1, max(r) + 1, min(c), max(r) + 1, min(c), min(r)) AS wkt FROM feature_cells GROUP BY fid""", "feature_cells")
 def _(t):
     return K.bounding_boxes(t("feature_cells"), ["fid"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import selections
 from ..operators import neighbours as N
 from ..operators import stats as S
 from ..registry import query
@@ -231,9 +232,7 @@ def _(t):
     FROM f a JOIN f b ON a.tile = b.tile AND a.fid <> b.fid AND a.r0 <= b.r1 AND b.r0 <= a.r1 AND a.c0 <= b.c1 AND b.c0 <= a.c1""", "feature_cells")
 def _(t):
     f = t("feature_cells").groupBy("fid", "tile").agg(F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    b = f.toDF("bid", "tile", "br0", "br1", "bc0", "bc1")
-    x = f.join(b, "tile").where("fid <> bid and r0 <= br1 and br0 <= r1 and c0 <= bc1 and bc0 <= c1")
-    return x.select(col("fid").alias("a"), col("bid").alias("b"), F.expr("br0 >= r0 and br1 <= r1 and bc0 >= c0 and bc1 <= c1").alias("inside"))
+    return selections.overlapping_boxes(f, 8)
 
 
 @query("j15_densified_dates", """SELECT tile, r, c, d, coalesce(min_by(v, p) FILTER (v <= 100), max_by(v, p)) AS v FROM (SELECT tile, r, c, d, v, CASE WHEN mission = 'S2' THEN 0 ELSE 1 END * 1000000000000 + l_orderkey * 100000 + l_partkey * 10 + l_linenumber AS p FROM obs_raw) GROUP BY 1, 2, 3, 4""", "obs_raw")

@@ -48,3 +48,14 @@ def job_spec(template: str, **columns: Column) -> Column:
     for k, x in columns.items():
         out = F.replace(out, F.lit("{" + k + "}"), x.cast("string"))
     return out
+
+
+def plan_json(**fields: Column) -> Column:
+    """A plan's row as JSON, with the fields given in their order; null fields are left out."""
+    return F.to_json(F.struct(*[x.alias(n) for n, x in fields.items()]))
+
+
+def append_batch(df: DataFrame, path: str, name: str) -> None:
+    """Adds a batch to a table of batches under its name. A batch that is written again takes its own place, so a retry
+    leaves nothing twice."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={name}")
