@@ -10,6 +10,7 @@ from ..operators import models, polygons, selections
 from ..registry import query
 from ..sinks import formats as K
 from ..sources import formats as S
+from ..sources import missions as M
 from ..session import shared_path
 from ..streaming import status as ST
 from ..streaming import timers as TM
@@ -58,6 +59,24 @@ def _(t):
     return t("orders").select(col("o_orderkey").alias("id"), S.platform(path).alias("platform"))
 
 
+#: Scenes of all missions, two files of each, and what layers they hold.
+SCENE_FILES = """(0, '/in/S2A_MSIL2A_', '.SAFE', 'a_B03_10m.jp2', 'a_B11_20m.jp2'), (1, '/in/S2B_OPER_', '.DBL.DIR', 'S2B_FRE_R1.DBL.TIF', 'S2B_CLD_R2.DBL.TIF'), (2, '/in/SENTINEL2B_', '', 'x_FRE_B3.tif', 'x_MTD_ALL.xml'),
+    (3, '/in/SPOT4_Take5_', '', 'ORTHO_SURF_CORR_PENTE_1.TIF', 'y_NUA.TIF'), (4, '/in/LANDSAT8-OLITIRS-XS_', '', 'z_SRE_B5.tif', 'z_CLM_XS.tif'), (5, '/in/LANDSAT8_OLI_', '', 'ORTHO_SURF_CORR_PENTE.TIF', 'w_DIV.TIF'), (6, '/in/LC08_L1TP_', '', 'v_sr_band4.tif', 'v_pixel_qa.xml'), (7, '/in/SPOT5_', '', 'x_FRE_B3.tif', 'x_FRE_B4.tif')"""
+SCENE_LAYERS = """(0, 'SEN2COR', 'green', 'a_B03_10m.jp2', 1), (0, 'SEN2COR', 'swir', 'a_B11_20m.jp2', 1), (1, 'MAJA', 'green', 'S2B_FRE_R1.DBL.TIF', 2), (1, 'MAJA', 'red', 'S2B_FRE_R1.DBL.TIF', 3), (1, 'MAJA', 'cloud', 'S2B_CLD_R2.DBL.TIF', NULL),
+    (2, 'S2', 'green', 'x_FRE_B3.tif', 1), (2, 'S2', 'metadata', 'x_MTD_ALL.xml', NULL), (3, 'Take5', 'green', 'ORTHO_SURF_CORR_PENTE_1.TIF', 1), (3, 'Take5', 'red', 'ORTHO_SURF_CORR_PENTE_1.TIF', 2), (3, 'Take5', 'swir', 'ORTHO_SURF_CORR_PENTE_1.TIF', 4), (3, 'Take5', 'cloud', 'y_NUA.TIF', NULL),
+    (4, 'LANDSAT8_new_format', 'nir', 'z_SRE_B5.tif', 1), (4, 'LANDSAT8_new_format', 'cloud', 'z_CLM_XS.tif', NULL), (5, 'LANDSAT8', 'blue', 'ORTHO_SURF_CORR_PENTE.TIF', 2), (5, 'LANDSAT8', 'green', 'ORTHO_SURF_CORR_PENTE.TIF', 3), (5, 'LANDSAT8', 'red', 'ORTHO_SURF_CORR_PENTE.TIF', 4), (5, 'LANDSAT8', 'nir', 'ORTHO_SURF_CORR_PENTE.TIF', 5),
+    (5, 'LANDSAT8', 'swir', 'ORTHO_SURF_CORR_PENTE.TIF', 6), (5, 'LANDSAT8', 'div', 'w_DIV.TIF', NULL), (6, 'LANDSAT8_LASRC', 'red', 'v_sr_band4.tif', 1), (6, 'LANDSAT8_LASRC', 'dem', 'v_sr_band4.tif', NULL)"""
+
+
+@query("s22_layer_paths", f"""WITH s(k, head, tail, a, b) AS (VALUES {SCENE_FILES}), l(k, mission, layer, file, band) AS (VALUES {SCENE_LAYERS}), o AS (SELECT o_orderkey AS id, o_custkey % 8 AS k FROM orders)
+    SELECT concat(head, CAST(id AS VARCHAR), tail) AS scene, mission, layer, concat(head, CAST(id AS VARCHAR), tail, '/IMG/', file) AS path, CAST(band AS INT) AS band FROM o JOIN s ON s.k = o.k JOIN l ON l.k = o.k""")
+def _(t):
+    kinds = t.spark.sql(f"SELECT * FROM VALUES {SCENE_FILES} AS s(k, head, tail, a, b)")
+    o = t("orders").select(col("o_orderkey").alias("id"), (col("o_custkey") % 8).alias("k")).join(F.broadcast(kinds), "k")  # eight rows
+    scene = F.concat("head", col("id").cast("string"), "tail")
+    return M.layer_paths(o.select(scene.alias("scene"), F.explode(F.array("a", "b")).alias("file")).select("scene", F.concat("scene", F.lit("/IMG/"), "file").alias("path")))
+
+
 @query("s12_catalogue_pages", """SELECT concat('P', CAST(o_orderkey AS VARCHAR)) AS name, concat('/p/', CAST(o_orderkey AS VARCHAR)) AS input_path, o_orderdate::TIMESTAMP AS date, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS measurement_day, o_custkey AS size, o_custkey % 2 = 0 AS online FROM orders""")
 def _(t):
     item = F.struct(
