@@ -19,21 +19,22 @@ def read_folder(spark: SparkSession, folder: str, pattern: str, files_per_batch:
 
 
 def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], DataFrame] | None = None, places: tuple[str, str] | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Runs a stream over what is available and gives what it wrote. In update mode that is each key's row of the last batch
-    that has one. each changes a batch before it is written; a batch that is run again replaces its own folder, so retries
-    leave no duplicates.
-    places are folders for the output and the checkpoint; with those of an earlier run, the stream goes on from there."""
+    """Runs a stream over what is available and gives what it wrote. In complete mode the last state stays; in update mode
+    each key's row of the last batch that has one. each changes a batch before it is written; a batch that is run again
+    replaces its own folder, so retries leave no duplicates. places are folders for the output and the checkpoint; with those of an earlier run, the stream goes on from there."""
     spark = stream.sparkSession
     out, state = places or (shared_path(spark, "stream"), shared_path(spark, "stream-state"))
 
     def write(batch: DataFrame, number: int) -> None:
         df = each(batch, number) if each else batch
-        df.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        df.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={number}")
 
     with setting(spark, *PROVIDER):
         running = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
     running.awaitTermination()
     found = spark.read.parquet(out)
+    if mode == "complete":
+        return found
     if mode == "update":
         found = found.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in found.columns if c not in keys]), "batch").alias("last")).select(*keys, "last.*")
     return found.drop("batch")
