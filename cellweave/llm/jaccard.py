@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batch_rows, components, durable, forget, shuffle_width, written
@@ -186,6 +186,21 @@ def wanted(numbers: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) == 1
 
 
+class Cuts:
+    """What has been written to the shared folder under a name, until nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        found, self.paths[name] = written(df)
+        return found
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            forget(self.spark, self.paths.pop(name))
+
+
 def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id that links of at least the similarity reach.
 
@@ -223,14 +238,15 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
             ], ["doc_id", "n", "s1", "s2", "prefix"])
 
     spark = df.sparkSession
+    cuts = Cuts(spark)
     with batch_rows(spark, BATCH):
-        wide, wide_path = written(docs.mapInArrow(sets, "doc_id long, n long, s1 long, s2 long, prefix array<long>"))
+        wide = cuts.write("wide", docs.mapInArrow(sets, "doc_id long, n long, s1 long, s2 long, prefix array<long>"))
     rows = durable(wide.drop("prefix"))
     held = wide.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("holder"), F.any_value("prefix").alias("prefix"))
-    fronts, fronts_path = written(held.withColumn("node", F.monotonically_increasing_id()))
-    forget(spark, wide_path)
+    fronts = cuts.write("fronts", held.withColumn("node", F.monotonically_increasing_id()))
+    cuts.drop("wide")
     firsts = fronts.select("node", F.explode("prefix").alias("token"))
-    ends = durable(firsts.groupBy("token").agg(F.min("node").alias("leader"), F.count("*").alias("nodes")).where("nodes > 1").drop("nodes"))
+    ends = cuts.write("ends", firsts.groupBy("token").agg(F.min("node").alias("leader"), F.count("*").alias("nodes")).where("nodes > 1").drop("nodes"))
     often = wanted_bits(ends, "token", plan.bits)
 
     def not_alone(batches):
@@ -241,25 +257,27 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([pa.array(owner[keep]), pa.array(token[keep])], ["node", "token"])
 
     several = fronts.select("node", "prefix").mapInArrow(not_alone, "node long, token long")
-    shared = durable(several.join(ends, "token"))  # tokens in front of several nodes
-    classes = durable(fronts.select("s1", "s2", "n", "holder", "node", F.size("prefix").alias("held")))
-    forget(spark, fronts_path)  # nothing reads prefixes any more
+    shared = cuts.write("shared", several.join(ends, "token"))  # tokens in front of several nodes
+    classes = cuts.write("classes", fronts.select("s1", "s2", "n", "holder", "node", F.size("prefix").alias("held")))
+    cuts.drop("fronts", "ends")
     votes = shared.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("votes"))
     led = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("leader")).alias("leader"))).alias("x"))
     size = classes.select("node", "n", "held")
     enough = F.col("x.votes") * 5 >= F.col("held")
     seen = shared.select("node").distinct().join(size, "node").join(led, "node", "left")
-    grouped = durable(seen.select("node", "n", F.when(enough, -F.col("x.leader")).alias("leader")).withColumn("grp", F.coalesce("leader", "node")))
+    grouped = cuts.write("grouped", seen.select("node", "n", F.when(enough, -F.col("x.leader")).alias("leader")).withColumn("grp", F.coalesce("leader", "node")))
     placed = shared.select("token", "node").join(grouped.drop("leader"), "node").select("token", "node", "n", "grp")
     several = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("token")
-    mixed = durable(placed.join(several, "token"))
+    mixed = cuts.write("mixed", placed.join(several, "token"))
+    cuts.drop("shared")
     matrix = mixed.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high")).toDF("token", "grp_", "low", "high")
     met = mixed.join(matrix, "token").where("grp > grp_").groupBy("node", "n", F.col("grp_").alias("grp")).agg(F.count("*").alias("common"), F.min("low").alias("low"), F.max("high").alias("high"))
     asks = met.where(may_link(plan.percent)).select("node", "grp")
     own = grouped.where("leader is not null").select("node", "grp").unionByName(grouped.join(grouped.select("leader").distinct().toDF("node"), "node", "left_semi").select("node", F.col("node").alias("grp")))
-    asks = durable(asks.unionByName(own).distinct())
+    asks = cuts.write("asks", asks.unionByName(own).distinct())
+    cuts.drop("mixed")
     used = asks.select("node").unionByName(grouped.join(asks.select("grp").distinct(), "grp", "left_semi").select("node")).distinct()
-    nodes = durable(used.join(grouped, "node").join(classes.select("node", "holder", "s1"), "node").select("node", "leader", "grp", "holder", "s1"))
+    nodes = cuts.write("nodes", used.join(grouped, "node").join(classes.select("node", "holder", "s1"), "node").select("node", "leader", "grp", "holder", "s1"))
 
     def tokens(batches):
         for some, found in texts_in(batches, plan):
@@ -279,7 +297,8 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
     # Of an id that repeats, all texts meet the node here; equal ones are dropped, those of another signature left out.
     texts = nodes.join(some, F.col("holder") == F.col("doc_id")).select("holder", "node", "leader", "grp", "s1", "text").distinct()
     with batch_rows(spark, BATCH):
-        active = durable(texts.mapInArrow(tokens, "node long, leader long, grp long, n long, tokens binary"))
+        active = cuts.write("active", texts.mapInArrow(tokens, "node long, leader long, grp long, n long, tokens binary"))
+    cuts.drop("nodes")
 
     def compare(batches):
         for batch in batches:
@@ -294,16 +313,16 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
     other = active.select("node", "n", "tokens").toDF("leader", "m", "others")
     near = active.where("leader is not null").join(other, "leader").where(f"100 * least(n, m) >= {plan.percent} * greatest(n, m)")
     with batch_rows(spark, BATCH):
-        links = durable(near.select("node", "leader", "tokens", "others").mapInArrow(compare, "a long, b long"))
-    stars = durable(components(links))
-
-    comp = durable(grouped.select("node", "n", "grp").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        links = cuts.write("links", near.select("node", "leader", "tokens", "others").mapInArrow(compare, "a long, b long"))
+    stars = cuts.write("stars", components(links))
+    comp = cuts.write("comp", grouped.select("node", "n", "grp").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node")))
     groups = comp.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("held"))
-    asks = durable(asks.join(comp.drop("grp"), "node").join(groups, "grp").where("low <> component or high <> component"))
+    asks = cuts.write("open", asks.join(comp.drop("grp"), "node").join(groups, "grp").where("low <> component or high <> component"))
+    cuts.drop("links", "asks", "grouped")
     found = stars
     if not asks.isEmpty():
         counts = asks.groupBy("grp", "held").agg(F.sum("n").alias("asked"))
-        counts = durable(counts.select("grp", F.expr(f"cast(ceil(held / {plan.members}) as int)").alias("mc"), F.expr(f"cast(ceil(asked / {plan.queries}) as int)").alias("qc"), F.expr("held + asked").alias("load")))
+        counts = cuts.write("counts", counts.select("grp", F.expr(f"cast(ceil(held / {plan.members}) as int)").alias("mc"), F.expr(f"cast(ceil(asked / {plan.queries}) as int)").alias("qc"), F.expr("held + asked").alias("load")))
         # Matrices are dealt to so many tasks that each has about one of full size, or to those that Spark has anyway.
         tasks = max(shuffle_width(spark), int(counts.agg(F.sum("load")).first()[0]) // plan.members)
         deal = F.expr(f"cast(pmod(xxhash64(grp, mp, qp), {tasks}) as int)").alias("task")
@@ -335,22 +354,29 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
 
         queries = queries.select("*", deal).toDF(*queries.columns, "task")
         more = members.select("*", deal).groupBy("task").cogroup(queries.groupBy("task")).applyInPandas(ask, "a long, b long")
-        found = components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(durable(more)))
+        more = cuts.write("more", more)
+        cuts.drop("active", "counts")
+        found = components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = classes.drop("held").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("holder").alias("component_id"))
     reach = durable(named.join(least, "component").select("s1", "s2", F.col("n").alias("n_"), "component_id"))
+    cuts.drop(*cuts.paths)  # but for rows and reach, which the result reads
     some = rows.join(reach, (rows.s1 == reach.s1) & (rows.s2 == reach.s2) & (rows.n == reach.n_) & (rows.n > 0), "left")
     return some.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def keep_first(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df, with all its columns, of the smallest id of each component. Of rows that repeat id and text one
-    stays; texts that share an id are linked and decided one by one. Rows with a null id link with nothing and stay."""
+    stays; texts that share an id are linked and decided one by one. Rows with a null id link with nothing and stay. Other
+    columns may have any names."""
     named, rest = df.where(F.col(id_col).isNotNull()), df.where(F.col(id_col).isNull())
     if named.groupBy(id_col).count().where("count > 1").isEmpty():
         first = link_classes(named, plan, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col))
         return named.join(durable(first), id_col, "left_semi").unionByName(rest)
-    rows = durable(named.dropDuplicates([id_col, text_col]).withColumn("_node", F.monotonically_increasing_id()))
-    linked = link_classes(rows, plan, "_node", text_col).select(F.col("doc_id").alias("_node"), "component_id")
-    best = linked.join(rows.select("_node", id_col), "_node").groupBy("component_id").agg(F.min(F.struct(id_col, "_node"))["_node"].alias("_node"))
-    return rows.join(durable(best.select("_node")), "_node", "left_semi").drop("_node").unionByName(rest)
+    node = "_node"
+    while node.lower() in {c.lower() for c in df.columns} | {"doc_id", "component_id"}:  # a name that the table does not have
+        node += "_"
+    rows = durable(named.dropDuplicates([id_col, text_col]).withColumn(node, F.monotonically_increasing_id()))
+    linked = link_classes(rows, plan, node, text_col).select(F.col("doc_id").alias(node), F.col("component_id").alias("_component"))
+    best = linked.join(rows.select(node, F.col(id_col).alias("_id")), node).groupBy("_component").agg(F.min(F.struct("_id", node))[node].alias(node))
+    return rows.join(durable(best.select(node)), node, "left_semi").select(*df.columns).unionByName(rest)

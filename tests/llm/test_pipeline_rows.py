@@ -63,3 +63,28 @@ def test_odd_rows_go_through_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, empty, SF)
         assert out.count() == 0
+
+
+def test_near_copies_with_clashing_names_and_repeated_ids(spark):
+    from cellweave.llm import jaccard
+
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(4, text, 1, 2, 3), (4, text + " x", 1, 2, 3), (4, "other words that stand for nothing at all here", 7, 8, 9), (2, text, 4, 5, 6), (None, text, 0, 0, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _node int, _node_ int, component_id int")
+    kept = jaccard.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[2], rows[3], rows[4]], key=str)
+
+
+def test_near_copies_leave_only_what_is_read(spark):
+    import os
+
+    from cellweave.llm import jaccard
+    from cellweave.llm.common import shared_dir
+
+    top = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(top))
+    docs = [(k, f"word{k % 7} " + " ".join(f"t{j + k % 5}" for j in range(40))) for k in range(200)]
+    found = jaccard.link_classes(spark.createDataFrame(docs, "doc_id long, text string"))
+    left = set(os.listdir(top)) - before
+    assert len(left) <= 4 and found.count() == 200  # rows, reach, and the last rounds of the components
