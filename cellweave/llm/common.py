@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: What empties caches that this Python worker keeps between tasks, as encoders do.
+CACHES: list[Callable[[], None]] = []
+
+
+def drop_caches() -> None:
+    """Called by tasks that need memory of their own: a worker serves one operator after another, and what one of them
+    keeps for its next task would lie idle in the tasks of all others."""
+    for empty in CACHES:
+        empty()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df

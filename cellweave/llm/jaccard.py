@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_rows, components, durable, forget, shuffle_width, written
+from .common import batch_rows, components, drop_caches, durable, forget, shuffle_width, written
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BATCH = 1000  # rows that hold texts or token sets, at once
@@ -157,6 +157,7 @@ def token_levels(docs: DataFrame, plan: Plan) -> np.ndarray:
     three. It only orders shingles, so what the count leaves out costs time and no link."""
 
     def count(batches):
+        drop_caches()
         for _, found in texts_in(batches, plan):
             tokens, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], ["token", "n"])
@@ -226,6 +227,7 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
     levels = token_levels(docs, plan)
 
     def sets(batches):
+        drop_caches()
         for some, found in texts_in(batches, plan):
             mixed = [mix(s) for s in found]
             firsts = [prefix_of(s, levels, plan.percent) for s in found]
@@ -280,6 +282,7 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
     nodes = cuts.write("nodes", used.join(grouped, "node").join(classes.select("node", "holder", "s1"), "node").select("node", "leader", "grp", "holder", "s1"))
 
     def tokens(batches):
+        drop_caches()
         for some, found in texts_in(batches, plan):
             good = [j for j, (s, x) in enumerate(zip(found, some["s1"].to_pylist(), strict=True)) if int(mix(s).sum().view(np.int64)) == x]
             part = some.take(pa.array(good, pa.int64()))
@@ -301,6 +304,7 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
     cuts.drop("nodes")
 
     def compare(batches):
+        drop_caches()
         for batch in batches:
             good = []
             for k, (x, y) in enumerate(zip(batch["tokens"], batch["others"], strict=True)):
@@ -335,6 +339,7 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
         )
 
         def ask(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            drop_caches()
             a, b = [], []
             held = left.groupby(["grp", "mp", "qp"]).indices
             for key, some in right.groupby(["grp", "mp", "qp"]).indices.items():

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from .common import CACHES
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: How vocabularies with word ends split lower-cased text.
@@ -147,3 +149,6 @@ class PieceEncoder:
 @functools.lru_cache(2)
 def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
+
+
+CACHES.append(piece_encoder.cache_clear)

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import drop_caches
 from .tagger import KINDS, PAD, Tagger, classes, labelled_lines, train
 
 # The patterns of the base kinds; an e-mail's local part is taken from the left of its sign.
@@ -185,6 +186,7 @@ def find(df: DataFrame, model: Tagger | None = None, id_col: str = "doc_id", tex
     model = model or default_tagger()
 
     def run(batches):
+        drop_caches()
         for some in portions(batches, "text"):
             given = some["text"].to_pylist()
             texts = [t or "" for t in given]
@@ -207,6 +209,7 @@ def redact(df: DataFrame, model: Tagger | None = None, text_col: str = "text", l
     model = model or default_tagger()
 
     def run(batches):
+        drop_caches()
         for some in portions(batches, text_col):
             given = some[text_col].to_pylist()
             texts = [t or "" for t in given]

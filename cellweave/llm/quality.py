@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import drop_caches, durable
 
 NAMES = (
     "chars", "words", "lines", "upper", "digits", "blank", "bars", "signs", "bangs", "stops", "beyond_ascii", "word_length",
@@ -78,6 +78,7 @@ def held_out(id_col: str, of: int, at: int) -> Column:
 
 def table_of_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
+        drop_caches()
         for batch in batches:
             made = [statistics(t or "") for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(made, pa.list_(pa.float64()))], ["doc_id", "x"])
@@ -143,6 +144,7 @@ def score(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_pooled:
     model = fit_model(kept, labels, to_pooled, to_sphere, id_col, label_col)
 
     def run(batches):
+        drop_caches()
         for batch in batches:
             p = model.scores(batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(NAMES)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
@@ -161,6 +163,7 @@ def keep_good(df: DataFrame, labels: DataFrame, of: int = 4, at: int = 2, to_poo
         return df
 
     def run(batches):
+        drop_caches()
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 some = batch.slice(k, 1000)

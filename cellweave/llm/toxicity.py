@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import drop_caches, durable
 from .quality import held_out
 from .trees import Boosted, boost, isotonic
 
@@ -122,6 +122,7 @@ def fit(df: DataFrame, labels: DataFrame, of: int, at: int, bound: int, id_col:
     names = [f"{c}{k}" for k in range(FOLDS) for c in "tc"]  # documents of each fold that hold a key, toxic and clean
 
     def count_keys(batches):
+        drop_caches()
         counts: dict[str, list[int]] = {}
         for batch in batches:
             for text, y, fold in zip(batch["text"].to_pylist(), batch["y"].to_pylist(), batch["fold"].to_pylist(), strict=True):
@@ -177,6 +178,7 @@ def score(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, threshold:
     model = fit(df, labels, of, at, bound, id_col, text_col, label_col)
 
     def run(batches):
+        drop_caches()
         features = model.features()
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
@@ -195,6 +197,7 @@ def keep_clean(df: DataFrame, labels: DataFrame, of: int = 5, at: int = 0, thres
     model = fit(df, labels, of, at, bound, id_col, text_col, label_col)
 
     def run(batches):
+        drop_caches()
         features = model.features()
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
