@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,12 @@ def drop_caches() -> None:
     keeps for its next task would lie idle in the tasks of all others."""
     for empty in CACHES:
         empty()
+    release_unused()
+
+
+def release_unused() -> None:
+    """Gives back what Arrow holds of batches that are gone."""
+    pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_unused
 from .pieces import piece_encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
@@ -124,6 +125,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 1, limits: Limits = Limits
     def run(batches):
         from pyspark import TaskContext
 
+        release_unused()
         encoder, packer = piece_encoder(tokenizer), Packer(limits)
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held: dict[int, list] = {}  # by number in this task: doc_id, ids, ids not yet in a piece
