@@ -145,7 +145,8 @@ class Aq:
     """books of words full-dimensional codewords (at most 256 words, a byte each); beam of partial codes while encoding;
     sample rows to fit on; rerank vectors that are scored exactly for each query; rows of a block and queries of a block.
 
-    Vectors without any structure are the hardest; the README has measured recall."""
+    With certain, rerank is no cut: all rows are scored exactly whose code cannot rule them out, so none is missed on any
+    rows. Without it codes decide, and vectors without any structure are the hardest; the README has measured recall."""
 
     books: int = 32
     words: int = 64
@@ -154,6 +155,7 @@ class Aq:
     rerank: int = 128
     block: int = 65_536
     queries: int = 8192
+    certain: bool = False
 
 
 def encode(x: np.ndarray, books: np.ndarray, beam: int) -> np.ndarray:
@@ -216,6 +218,10 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, plan: Aq = Aq(), id_
     3. The candidates' vectors are joined, scored exactly in double precision, and the k best kept. Ties go to the
        smaller vec_id.
 
+    With plan.certain a row keeps its vector too, and how far its code's sum is from it, which bounds what the code may be
+    wrong by. In each pair of blocks the plan.rerank best vectors by code are scored exactly; the k-th best of them is a
+    score that any other row must reach, and all rows whose bound does are scored exactly. The k best of each block go on.
+
     Vectors that are null, empty, zero or not finite take no part, nor do those whose length is not the sample's most
     frequent one; null ids neither. Of repeated ids each row counts, but a query leaves out all rows with its id. Fewer
     candidates than k give fewer rows, an empty table none.
@@ -232,7 +238,10 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, plan: Aq = Aq(), id_
         sample = rows.orderBy("id").limit(plan.sample).toPandas()
     lengths = sample["v"].map(len)
     d = int(lengths.mode().min())
-    books = fit_books(np.stack(sample["v"][lengths == d].to_list()), plan)
+    fitted = np.stack(sample["v"][lengths == d].to_list()).astype(np.float64)
+    if plan.certain:  # directions alone, as a row's factor has its length
+        fitted /= np.linalg.norm(fitted, axis=1, keepdims=True)
+    books = fit_books(fitted, plan)
     rows, asked = rows.where(F.size("v") == d), asked.where(F.size("v") == d)
 
     def encoded(batches):
@@ -245,6 +254,9 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, plan: Aq = Aq(), id_
                 factor = np.linalg.norm(x, axis=1) / np.maximum(np.linalg.norm(made, axis=1), 1e-30)
                 yield pa.RecordBatch.from_arrays([some["id"], some["h"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor.astype(np.float32))], ["id", "h", "code", "factor"])
 
+    if plan.certain:
+        return certain_nearest(rows, asked, books, k, plan, n, nq)
+
     # As many pairs of blocks as Spark has tasks for a shuffle, but no blocks so small that their best rows are most of
     # their rows, nor any beyond the plan's sizes.
     width = shuffle_width(spark)
@@ -299,3 +311,84 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, plan: Aq = Aq(), id_
     scored = met.select("query_id", "vec_id", "v", "w").mapInArrow(exact, "query_id long, vec_id long, score double")
     best = scored.selectExpr("*", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank")
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def certain_nearest(rows: DataFrame, asked: DataFrame, books: np.ndarray, k: int, plan: Aq, n: int, nq: int) -> DataFrame:
+    """The search of nearest() with plan.certain, for n rows and nq queries (id, v) of the codebooks' length, which were
+    fitted on vectors of norm 1.
+
+    The inner product of a query with a row is that with its code's sum plus that with the rest, which is at most the
+    product of both norms. Codes that fit badly rule out less, and cost time but no row. A task holds a block of rows and
+    one of queries, and gives k rows a query at most."""
+    spark = rows.sparkSession
+
+    def encoded(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                x = rows_of(some["v"])
+                codes = encode((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32), books, plan.beam)
+                made = sum(books[m][codes[:, m]].astype(np.float64) for m in range(plan.books))
+                factor = np.einsum("ij,ij->i", x, made) / np.maximum(np.einsum("ij,ij->i", made, made), 1e-30)
+                rest = np.linalg.norm(x - factor[:, None] * made, axis=1)
+                yield pa.RecordBatch.from_arrays([some["id"], some["h"], some["v"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor), pa.array(rest)], ["id", "h", "v", "code", "factor", "rest"])
+
+    # Queries are the fewer rows, so blocks of rows are made smaller before those of queries are, for Spark's tasks.
+    width = shuffle_width(spark)
+    nb = max(-(-n // plan.block), min(width, n // (64 * plan.rerank)), 1)
+    mb = max(-(-nq // plan.queries), min(-(-width // nb), nq // 256), 1)
+    kind = rows.schema["v"].dataType.simpleString()
+    coded = rows.select("id", F.xxhash64("v").alias("h"), "v").mapInArrow(encoded, f"id long, h long, v {kind}, code binary, factor double, rest double")
+    left = coded.select("*", F.expr(f"cast(pmod(xxhash64(id, 1), {nb}) as int)").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(mb - 1))).alias("q"))
+    right = asked.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("b"), F.expr(f"cast(pmod(xxhash64(id, 2), {mb}) as int)").alias("q"))
+
+    def search(x: pa.Table, y: pa.Table) -> pa.Table:
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if x.num_rows and y.num_rows:
+            ids, h = x["id"].to_numpy(), x["h"].to_numpy()
+            order = np.lexsort((ids, h))
+            ids, h = ids[order], h[order]
+            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            one, ends = order[first], np.r_[first[1:], len(h)]  # of each vector a row, and where the rows that share it end
+            v = rows_of(x["v"].combine_chunks())[one]
+            code = np.frombuffer(b"".join(x["code"].take(pa.array(one)).to_pylist()), np.uint8).reshape(len(one), -1)
+            factor = x["factor"].to_numpy()[one]
+            # Codes are summed in single precision; the codewords' norms bound what that adds.
+            longest = np.linalg.norm(books.astype(np.float64), axis=2).max(1).sum()
+            rest = x["rest"].to_numpy()[one] + 1e-5 * np.abs(factor) * longest + 1e-9 * np.linalg.norm(v, axis=1)
+            asks, w = y["id"].to_numpy(), rows_of(y["v"].combine_chunks())
+
+            def kth(some, score, own) -> float:
+                """The k-th best score of rows of other ids than the query's, whose own rows have the vectors own."""
+                by_score = np.argsort(-score)
+                rows_ = np.cumsum((ends - first)[some[by_score]] - (some[by_score][:, None] == own).sum(1))
+                at = np.searchsorted(rows_, k)
+                return score[by_score[at]] if at < len(by_score) else -np.inf
+
+            keep = min(plan.rerank, len(one))
+            for at in range(0, len(w), 64):
+                unit = w[at : at + 64] / np.linalg.norm(w[at : at + 64], axis=1, keepdims=True)
+                lookup = np.einsum("qd,mkd->mkq", unit.astype(np.float32), books, optimize=True)
+                near = np.zeros((len(one), len(unit)), np.float32)
+                for m in range(plan.books):
+                    near += lookup[m].take(code[:, m], axis=0)
+                near = near.T * factor
+                for j in range(len(unit)):
+                    q = asks[at + j]
+                    own = np.searchsorted(first, np.flatnonzero(ids == q), "right") - 1
+                    tried = np.argpartition(near[j], len(one) - keep)[len(one) - keep :]
+                    least = kth(tried, np.einsum("ij,j->i", v[tried], unit[j]), own)
+                    some = np.flatnonzero(near[j] + rest >= least)
+                    score = np.einsum("ij,j->i", v[some], w[at + j])
+                    good = score >= kth(some, score, own)
+                    best = []
+                    for s, o in zip(score[good].tolist(), some[good].tolist(), strict=True):
+                        others = ids[first[o] : ends[o]]
+                        best += [(-s, i) for i in others[others != q][:k].tolist()]
+                    best = sorted(best)[:k]
+                    found.append((np.full(len(best), q), np.array([i for _, i in best], np.int64), np.array([-s for s, _ in best])))
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
+
+    hits = left.groupBy("b", "q").cogroup(right.groupBy("b", "q")).applyInArrow(search, "query_id long, vec_id long, score double")
+    best = hits.selectExpr("*", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank")
+    return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

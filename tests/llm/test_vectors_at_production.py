@@ -82,3 +82,30 @@ def test_pairs_just_above_the_threshold_are_found(spark):
     df = frame(spark, both).selectExpr("vec_id", "embedding", "1 as label")
     got = vectors.near_duplicates(df).toPandas().set_index("vec_id").sort_index()
     assert got.n_links.tolist() == [1] * 3000 and got.component_id.tolist() == [*range(1500)] * 2
+
+
+def hard_rows(kind):
+    """Rows whose true neighbours are hard to tell apart by codes: groups far larger than what is scored exactly, lengths
+    from tiny to huge, and more dimensions than the codes have bits for."""
+    rng = np.random.default_rng(21)
+    if kind == "groups":
+        x = rng.normal(size=(6000, 64))
+        x[:3000] = x[rng.integers(0, 6, 3000)] + 0.001 * x[:3000]  # six tight ones among rows without structure
+        return x
+    if kind == "lengths":
+        return rng.normal(size=(6000, 64)) * np.exp(2 * rng.normal(size=(6000, 1)))
+    return rng.normal(size=(6000, 384))
+
+
+@pytest.mark.parametrize("kind", ["groups", "lengths", "wide"])
+def test_registered_search_misses_none_on_other_rows(spark, tmp_path, kind):
+    x = hard_rows(kind).astype(np.float32)
+    x[100:160] = x[100]
+    frame(spark, x).drop("label").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = queries.op10_nearest(spark, str(tmp_path)).toPandas().sort_values(["query_id", "rank"])
+    x = x.astype(float)
+    want = exact(np.arange(len(x)), x, [(i, x[i]) for i in range(0, len(x), 20)])
+    assert recall(got, want) == 1 and len(got) == sum(map(len, want.values()))
+    for q in (0, 100, 120, 5980):
+        mine = got[got.query_id == q]
+        assert mine["rank"].tolist() == list(range(1, 21)) and np.allclose(mine.score, [s for _, s in want[q]], rtol=1e-12)
