@@ -70,15 +70,29 @@ def agreement(df: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:
     )
 
 
-def nearest_in_time(left: DataFrame, right: DataFrame, by: list[str], days: int, left_id: list[str], best: str = "closest", where: str | None = None) -> DataFrame:
+def nearest_in_time(left: DataFrame, right: DataFrame, by: list[str], days: int, left_id: list[str], best: str = "closest", where: str | None = None,
+                    seen: tuple[list[str], list[str]] | None = None) -> DataFrame:
     """For each left row (d) the right row (rd, ratio) of the same by within days: the closest, or the cleanest (smallest
-    ratio of no data, then the closest). where is a further condition on both rows, as that their footprints overlap. Rows
-    meet by a bucket of days, so no range join is needed."""
-    width = days + 1
-    a = left.withColumn("_b", F.explode(F.expr(f"array(floor(unix_date(d) / {width}) - 1, floor(unix_date(d) / {width}), floor(unix_date(d) / {width}) + 1)")))
-    b = right.withColumn("_b", F.expr(f"floor(unix_date(rd) / {width})"))
-    near = a.join(b, [*by, "_b"]).where(F.abs(F.datediff("rd", "d")) <= days)
-    near = near.where(where) if where else near
-    lag = F.abs(F.datediff("rd", "d"))
-    key = F.struct(lag, "ratio", "rd", "rid") if best == "closest" else F.struct("ratio", lag, "rd", "rid")
-    return near.groupBy(*left_id).agg(F.min_by(F.struct("rid", "rd"), key).alias("x")).select(*left_id, "x.rid", "x.rd")
+    ratio of no data, then the closest). where is a further condition on both rows, as that their footprints overlap, and
+    seen are the left and the right columns that it looks at (without it all of them).
+
+    Only the best right row of each day, by and seen counts, and left rows of one day, by and seen share their answer. So
+    rows do not meet each other: days do, and their number follows the days and the values of seen, not the rows."""
+    if not where:
+        seen = [], []
+    elif seen is None:
+        seen = [c for c in left.columns if c not in (*by, "d")], [c for c in right.columns if c not in by]
+    mine, theirs = seen
+    asked = left.select(*by, "d", *mine).distinct()
+    around = asked.withColumn("_day", F.explode(F.expr(f"sequence(date_sub(d, {days}), date_add(d, {days}))")))
+    rest = F.struct("ratio", "rd", "rid").alias("_x")
+    near = right.select(*by, F.to_date("rd").alias("_day"), *[F.col(c).alias(f"_r{k}") for k, c in enumerate(theirs)], rest)
+    near = near.groupBy(*by, "_day", *[f"_r{k}" for k in range(len(theirs))]).agg(F.min("_x").alias("_x"))
+    if where:
+        shown = near.withColumnsRenamed({f"_r{k}": c for k, c in enumerate(theirs)})
+        near = around.select(*by, "_day", *mine).distinct().join(shown, [*by, "_day"]).where(where).groupBy(*by, "_day", *mine).agg(F.min("_x").alias("_x"))
+    lag = F.abs(F.datediff("_day", "d"))
+    x = F.col("_x")
+    key = F.struct(lag.alias("lag"), x["ratio"].alias("ratio"), x["rd"].alias("rd"), x["rid"].alias("rid")) if best == "closest" else F.struct(x["ratio"].alias("ratio"), lag.alias("lag"), x["rd"].alias("rd"), x["rid"].alias("rid"))
+    found = around.join(near, [*by, "_day", *mine]).groupBy(*by, "d", *mine).agg(F.min(key).alias("_k"))
+    return left.join(found, [*by, "d", *mine]).groupBy(*left_id).agg(F.min("_k").alias("_k")).select(*left_id, "_k.rid", "_k.rd")

@@ -1,6 +1,8 @@
 """Operators on small tables worked out by hand, and their laws."""
 
+import datetime
 import io
+import random
 import zipfile
 
 import pytest
@@ -237,3 +239,46 @@ def test_a_stream_gives_what_the_batch_gives_and_each_file_once(spark, tmp_path)
     assert key(status.run_available(status.processed(read()))) == key(status.processed(e))
     assert key(status.run_available(status.new_keys(read(), ["user_id"], "1 hour"))) == key(e.select("user_id").distinct())
     assert status.run_available(status.bursts(read(), "5 minutes"), "complete").count() == status.bursts(e, "5 minutes").count()
+
+
+@pytest.mark.parametrize("best", ["closest", "cleanest"])
+@pytest.mark.parametrize("where,seen", [(None, None), ("x < y + 2 and y < x + 2", None), ("x < y + 2 and y < x + 2", (["x"], ["y"]))])
+def test_scenes_meet_by_their_days_and_not_row_by_row(spark, best, where, seen):
+    rng = random.Random(5)
+    day = lambda k: datetime.date(2024, 3, 1) + datetime.timedelta(k)
+    q = [(k, rng.randrange(2), rng.choice([None, *map(day, range(12))]), rng.randrange(6)) for k in range(300)]
+    s = [(k, rng.choice([0, 0, None]), day(rng.randrange(12)), rng.choice([None, 1, 2, 3]), rng.randrange(6)) for k in range(300)]
+    left, right = spark.createDataFrame(q, "qid long, tile long, d date, x long"), spark.createDataFrame(s, "rid long, tile long, rd date, ratio long, y long")
+    found = stats.nearest_in_time(left, right, ["tile"], 2, ["qid"], best, where, **({"seen": seen} if seen else {}))
+    want = {}
+    for qid, tile, d, x in q:
+        near = [(abs((rd - d).days), -1 if ratio is None else ratio, rd, rid) for rid, t2, rd, ratio, y in s if d and t2 == tile and abs((rd - d).days) <= 2 and (not where or abs(x - y) < 2)]
+        if near:
+            want[qid] = min(near, key=lambda k: k if best == "closest" else (k[1], k[0], k[2], k[3]))[3]
+    assert {r.qid: r.rid for r in found.collect()} == want
+
+
+def joined_rows(spark):
+    """The rows that joins of the last query gave at most, by Spark's own metrics."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    last = max((e.executionId() for e in iterated(store.executionsList())), default=None)
+    values, most = store.executionMetrics(last), 0
+    for node in iterated(store.planGraph(last).allNodes()):
+        for m in iterated(node.metrics()) if "Join" in node.name() else ():
+            if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most
+
+
+def iterated(sequence):
+    i = sequence.iterator()
+    while i.hasNext():
+        yield i.next()
+
+
+def test_scenes_of_one_day_are_not_paired(spark):
+    one = spark.range(3000).selectExpr("id as qid", "id % 2 as tile", "date'2024-03-05' as d")
+    other = spark.range(3000).selectExpr("id as rid", "id % 2 as tile", "date'2024-03-06' as rd", "id % 7 as ratio")
+    found = stats.nearest_in_time(one, other, ["tile"], 2, ["qid"]).collect()
+    assert {(r.qid % 2, r.rid) for r in found} == {(0, 0), (1, 7)} and len(found) == 3000
+    assert 0 < joined_rows(spark) <= 3000
