@@ -263,7 +263,8 @@ def _(t):
     AND qid % 50 < rid % 50 + 20 AND rid % 50 < qid % 50 + 20) WHERE k = 1""")
 def _(t):
     s, q = scenes(t)
-    return S.nearest_in_time(q, s, ["tile"], 4, ["qid"], where="qid % 50 < rid % 50 + 20 and rid % 50 < qid % 50 + 20")
+    s, q = s.withColumn("y", col("rid") % 50), q.withColumn("x", col("qid") % 50)
+    return S.nearest_in_time(q, s, ["tile"], 4, ["qid"], where="x < y + 20 and y < x + 20", seen=(["x"], ["y"]))
 
 
 @query("k10_outline", """WITH s AS (SELECT * FROM (VALUES (-1, 0, 0, 0, 1, 0), (0, 1, 1, 0, 1, 1), (1, 0, 1, 1, 0, 1), (0, -1, 0, 1, 0, 0)) v(i, j, a, b, e, f))
