@@ -42,11 +42,12 @@ def catalogue_pages(pages: DataFrame, text: str = "page") -> DataFrame:
 
 def catalogue_filter(items: DataFrame, contains: str, since: str, until: str, box: tuple[float, float, float, float], top: int, skip: int = 0) -> DataFrame:
     """What a search of the catalogue gives: entries whose name holds a text, that start from since on and before until,
-    and whose footprint (x0, y0, x1, y1) meets the box; top of them after skip, in order of start and name. The filters
-    are plain columns, so a table of entries is pruned by them."""
+    and whose footprint (x0, y0, x1, y1) meets the box; top of them after skip, in order of start, name and id, so that
+    entries of one name and start make no search differ from another. The filters are plain columns, so a table of entries
+    is pruned by them."""
     x0, y0, x1, y1 = box
     some = items.where(F.col("name").contains(contains) & (F.col("date") >= F.lit(since).cast("timestamp")) & (F.col("date") < F.lit(until).cast("timestamp")))
-    return some.where(f"x0 < {x1} and x1 > {x0} and y0 < {y1} and y1 > {y0}").orderBy("date", "name").offset(skip).limit(top)
+    return some.where(f"x0 < {x1} and x1 > {x0} and y0 < {y1} and y1 > {y0}").orderBy("date", "name", "id").offset(skip).limit(top)
 
 
 def read_catalogue_pages(spark: SparkSession, folder: str) -> DataFrame:

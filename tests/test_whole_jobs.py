@@ -172,3 +172,9 @@ def test_xml_of_any_title_parses(spark):
     titles = ["a & b <c>", "d", "a & b <c>"]
     x = K.lineage_xml(spark.createDataFrame([(1, t) for t in titles], "product int, title string"), ["product"], "title")
     assert sorted(r.title for r in formats.lineage(x, "xml", "product").collect()) == ["a & b <c>", "d"]
+
+
+def test_search_takes_entries_of_one_name_by_id(spark):
+    entries = spark.range(0, 200, 1, 4).selectExpr("199 - id as id", "'KIND1_x' as name", "timestamp'1995-01-01' as date", "1 as x0", "1 as y0", "2 as x1", "2 as y1")
+    got = formats.catalogue_filter(entries, "KIND1", "1994-01-01", "1997-01-01", (0, 0, 3, 3), 40, 5).collect()
+    assert [r.id for r in got] == list(range(5, 45))
