@@ -301,7 +301,9 @@ def _(t):
     SELECT key, day, 'late' AS kind, CAST(1 AS BIGINT) AS n, item FROM l WHERE before >= day UNION ALL SELECT key, day, 'computed', count(*), NULL FROM l WHERE (before IS NULL OR before < day) AND closes IS NOT NULL GROUP BY key, day""")
 def _(t):
     e = t("events")
-    low, high = e.agg(F.min(F.unix_seconds(col("ts").cast("timestamp"))), F.max(F.unix_seconds(col("ts").cast("timestamp")))).first()
-    rows = e.select((col("user_id") % 40).cast("string").alias("key"), F.to_date("ts").alias("day"), col("event_id").cast("string").alias("item"), F.unix_seconds(col("ts").cast("timestamp")).alias("s"))
-    part = F.least(F.lit(2), F.expr(f"(s - {low or 0}) * 3 div {1 + (high or 0) - (low or 0)}") + F.when(col("item").cast("bigint") % 9 == 0, 1).otherwise(0))
+    seconds = F.unix_micros(col("ts").cast("timestamp")) / 1e6
+    low, high = e.agg(F.min(seconds), F.max(seconds)).first()
+    since = lambda s: F.rint(s - F.lit(low or 0.0)).cast("bigint")  # noqa: E731  # to the nearest whole second
+    rows = e.select((col("user_id") % 40).cast("string").alias("key"), F.to_date("ts").alias("day"), col("event_id").cast("string").alias("item"), since(seconds).alias("s"))
+    part = F.least(F.lit(2), F.expr(f"s * 3 div {1 + round((high or 0.0) - (low or 0.0))}") + F.when(col("item").cast("bigint") % 9 == 0, 1).otherwise(0))
     return ST.run_available(TM.day_cursor(in_parts(t, rows, part, 3), 2))

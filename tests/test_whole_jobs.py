@@ -174,6 +174,20 @@ def test_xml_of_any_title_parses(spark):
     assert sorted(r.title for r in formats.lineage(x, "xml", "product").collect()) == ["a & b <c>", "d"]
 
 
+def test_day_cursor_takes_parts_of_a_second_as_its_sql_does(spark, tmp_path):
+    """Event 4 begins the second third of the time by whole seconds, and by the nearest one does not."""
+    import duckdb
+
+    rows = [(1, 7, "2024-01-01 00:00:00.9"), (2, 7, "2024-01-31 00:00:00.9"), (4, 3, "2024-01-11 00:00:01.2"), (9, 3, "2024-01-06 12:00:00.0")]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts string").withColumn("ts", F.expr("cast(ts as timestamp_ntz)"))
+    df.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    found = QUERIES["t09_day_cursor"](spark, str(tmp_path))
+    assert [(r.key, r.item) for r in found.where("kind = 'late'").collect()] == [("3", "9")]
+    same_rows(found, con.sql(ORACLES["t09_day_cursor"]))
+
+
 def test_search_takes_entries_of_one_name_by_id(spark):
     entries = spark.range(0, 200, 1, 4).selectExpr("199 - id as id", "'KIND1_x' as name", "timestamp'1995-01-01' as date", "1 as x0", "1 as y0", "2 as x1", "2 as y1")
     got = formats.catalogue_filter(entries, "KIND1", "1994-01-01", "1997-01-01", (0, 0, 3, 3), 40, 5).collect()
