@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .session import bounded_parts
+
 BASE = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 #: In order of dependence; {div} is integer division.
@@ -76,17 +78,19 @@ def with_tables(body: str, names: list[str], spark: bool = False) -> str:
 
 
 class Tables:
-    """Tables of a folder by name: base tables as they are, derived ones through their SQL. Nothing of the session
-    changes: no view is made and no setting; days and hours are those of a session in UTC."""
+    """Tables of a folder by name: base tables as they are, derived ones through their SQL. No view is made; of the
+    session's settings only the sizes of parts change, with the tables. Days and hours are those of a session in UTC."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.read: dict[str, DataFrame] = {}
+        self.size = 0
 
     def __call__(self, name: str) -> DataFrame:
         if name in BASE:
             if name not in self.read:
                 self.read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self.size = bounded_parts(self.spark, f"{self.sf_dir}/{name}.parquet", self.size)
             return self.read[name]
         if name not in TABLES:
             raise KeyError(name)

@@ -49,6 +49,23 @@ def forget(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+PART, SPLIT, PER_PART = 16 << 20, 8 << 20, 4 << 20  # bytes of a part of a shuffle, of a file, and that are read for each part at first
+
+
+def bounded_parts(spark: SparkSession, path: str, before: int = 0) -> int:
+    """Lets adaptive execution cut the shuffles of queries over a table into parts of bounded size, and files too, so that
+    what a task holds does not grow with the table. A fixed number of parts would. Smaller parts that the session asks for
+    stay, and so does its spark.sql.shuffle.partitions, which is the least. Gives the bytes of the table and those before."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = before + place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PER_PART)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+    for name, most in (("spark.sql.adaptive.advisoryPartitionSizeInBytes", PART), ("spark.sql.files.maxPartitionBytes", SPLIT)):
+        if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > most:
+            spark.conf.set(name, f"{most}b")
+    return size
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
     """What runs inside has the session's setting at a value."""

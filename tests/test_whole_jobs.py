@@ -192,3 +192,24 @@ def test_search_takes_entries_of_one_name_by_id(spark):
     entries = spark.range(0, 200, 1, 4).selectExpr("199 - id as id", "'KIND1_x' as name", "timestamp'1995-01-01' as date", "1 as x0", "1 as y0", "2 as x1", "2 as y1")
     got = formats.catalogue_filter(entries, "KIND1", "1994-01-01", "1997-01-01", (0, 0, 3, 3), 40, 5).collect()
     assert [r.id for r in got] == list(range(5, 45))
+
+
+def test_parts_of_shuffles_grow_in_number_and_not_in_size(spark, monkeypatch):
+    """Tasks of a larger table hold no more: first parts follow the bytes that are read, and parts are joined to a bound."""
+    from cellweave import session
+
+    names = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(n, None) for n in names]
+    monkeypatch.setattr(session, "PER_PART", 2000, raising=False)
+    try:
+        t = Tables(spark, SF)
+        one = t("lineitem").groupBy("l_orderkey").count()
+        assert one.collect() and int(spark.conf.get(names[0])) > 20
+        width = int(spark.conf.get(names[0]))
+        t("orders")
+        assert int(spark.conf.get(names[0])) > width
+        assert spark.conf.get(names[1]) == f"{16 << 20}b" and spark.conf.get(names[2]) == f"{8 << 20}b"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
