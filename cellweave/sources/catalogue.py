@@ -10,17 +10,20 @@ from __future__ import annotations
 import datetime
 import json
 import re
+import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, StringContains, StringEndsWith, StringStartsWith,
 )
 
+from ..session import setting
 from .files import listed, place
 
 SCHEMA = "name string, mission string, tile string, measurement_day long, date timestamp, published timestamp, input_path string, size long, online boolean, x0 double, y0 double, x1 double, y1 double, outline array<array<double>>"
@@ -29,8 +32,8 @@ TYPES = [
     *[pa.float64()] * 4, pa.list_(pa.list_(pa.float64())),
 ]
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
-PAGES = 16  # of a task
-PEEK, THREADS = 4096, 32  # bytes at both ends of a page that are read for its link, and how many pages at once
+PAGES, TASKS, SAVED = 16, 1024, 64  # pages of a task; tasks at most of a reading, which then have more pages each; pages at once of a task that saves
+PEEK, THREADS, LOCAL = 4096, 32, 2  # bytes at both ends of a page that are read for its link; how many pages at once, and of a local folder, where more only wait for each other
 LINK = re.compile(rb'"@odata\.nextLink"\s*:\s*"[^"]*=([0-9]+)"')
 NUMBER = re.compile(r"-?[0-9.]+(?:[eE][-+]?[0-9]+)?")
 SKIP = re.compile(r"skip=([0-9]+)(?:/|$)")
@@ -134,8 +137,8 @@ class CatalogueReader(DataSourceReader):
         for path, size in listed(self.path):
             if m := SKIP.search(path.rsplit("/", 1)[0]):
                 chains.setdefault(path[: m.start()], {})[int(m[1])] = path, size
-        out = []
-        with ThreadPoolExecutor(THREADS) as threads:
+        runs = []
+        with ThreadPoolExecutor(LOCAL if system.type_name == "local" else THREADS) as threads:
             for chain in chains.values():
                 numbers = sorted(chain)
                 links = dict(zip(numbers, threads.map(lambda n: link_of(system, *chain[n]), numbers), strict=True))  # noqa: B023
@@ -148,8 +151,9 @@ class CatalogueReader(DataSourceReader):
                     if after is not None and (after not in chain or after <= at):
                         raise ValueError(f"page {chain[at][0]} leads to {after}, which is not there or not further on")
                     at = after
-                out += [PageRange(run[k : k + self.pages]) for k in range(0, len(run), self.pages)]
-        return out or [PageRange([])]
+                runs.append(run)
+        width = max(self.pages, -(-sum(map(len, runs)) // TASKS))
+        return [PageRange(run[k : k + width]) for run in runs for k in range(0, len(run), width)] or [PageRange([])]
 
     def keeps(self, row: tuple) -> bool:
         for f in self.filters:
@@ -186,7 +190,8 @@ class Catalogue(DataSource):
 
 
 def read_catalogue(spark: SparkSession, path: str, broken: str = "error", pages: int = PAGES) -> DataFrame:
-    """The entries of all chains of pages under a folder, a task for so many pages. Filters on columns are tested while
+    """The entries of all chains of pages under a folder, a task for so many pages, or more where that would be over TASKS
+    tasks; a task holds one page at a time. Filters on columns are tested while
     pages are read; Spark's setting that lets it pass them on is switched on for the session."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Catalogue)
@@ -257,11 +262,29 @@ def candidate_inputs(entries: DataFrame, condition: str, contains: str, today: d
 
 def write_pages(entries: DataFrame, path: str, page: str, entry: Column, last: int) -> None:
     """Saves entries as pages: page is the column with a page's number from 0 to last; empty ones are there too, so that
-    the chain is whole."""
+    the chain is whole. Tasks move each page to its place themselves, so no commit goes over all of them, and one that is
+    written again replaces itself. The folder must be new."""
     spark = entries.sparkSession
+    system, top = place(path)
+    if system.get_file_info(top).type != fs.FileType.NotFound:
+        raise ValueError(f"{path} is there already")
     filled = entries.groupBy(F.col(page).cast("bigint").alias("skip")).agg(F.collect_list(entry).alias("value"))  # a page at most
     kind = filled.schema["value"].dataType
     pages = spark.range(last + 1).withColumnRenamed("id", "skip").join(filled, "skip", "left").withColumn("value", F.coalesce("value", F.array().cast(kind)))
     link = F.when(F.col("skip") < last, F.concat(F.lit("https://catalogue/products?$skip="), (F.col("skip") + 1).cast("string")))
     text = pages.select("skip", F.to_json(F.struct("value", link.alias("@odata.nextLink"))).alias("text"))
-    text.repartition("skip").write.partitionBy("skip").text(path)
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, top = place(path)
+        for batch in batches:
+            for skip, text in zip(*[batch[c].to_pylist() for c in ("skip", "text")], strict=True):
+                folder = f"{top}/skip={skip}"
+                temporary = f"{folder}/_{uuid.uuid4().hex}"
+                system.create_dir(folder)
+                with system.open_output_stream(temporary) as f:
+                    f.write(text.encode())
+                system.move(temporary, f"{folder}/page.json")
+            yield batch.select(["skip"])
+
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", SAVED):
+        text.mapInArrow(save, "skip bigint").write.format("noop").mode("overwrite").save()
