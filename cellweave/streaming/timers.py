@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -33,13 +35,13 @@ class Inactivity(StatefulProcessor):
     def load(self) -> list:
         return list(self.state.get()) if self.state.exists() else [0, 0, None]
 
-    def overdue(self, key: str, now: int, state: list) -> Iterator[Row]:
+    def overdue(self, now: int, state: list) -> Iterator[tuple[int, str, int]]:
         while state[2] is not None and state[2] <= now:
             if state[1] > 0:
-                yield Row(key=key, ms=state[2], action="force", open=state[0])
+                yield state[2], "force", state[0]
                 state[2] += self.pause
             else:
-                yield Row(key=key, ms=state[2], action="stop", open=state[0])
+                yield state[2], "stop", state[0]
                 state[2] = None
 
     def keep(self, state: list, before: int | None) -> None:
@@ -50,24 +52,35 @@ class Inactivity(StatefulProcessor):
             if state[2] is not None:
                 self.handle.registerTimer(state[2])
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def found(self, key, rows: list[tuple[int, str, int]]) -> Iterator[pd.DataFrame]:
+        if rows:
+            yield pd.DataFrame(rows, columns=["ms", "action", "open"]).assign(key=key[0])[["key", "ms", "action", "open"]]
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """A key's notices of one batch as whole columns of numbers: in order of time, created before ended. Of those of one
+        time and kind any order gives the same."""
         state = self.load()
-        before = state[2]
-        behind = timerValues.getCurrentWatermarkInMs()
-        for r in sorted((r for r in rows if r.ms >= behind), key=lambda r: (r.ms, r.ended, r.task)):  # a key's notices of one batch
-            yield from self.overdue(key[0], r.ms, state)
-            step = -1 if r.ended else 1
-            state[0] += step
-            state[1] += step if r.feeds else 0
-            state[2] = r.ms + self.pause
-            if r.ended and state[0] == 0:
-                yield Row(key=key[0], ms=r.ms, action="harvest", open=0)
+        before, behind = state[2], timerValues.getCurrentWatermarkInMs()
+        parts = [(p["ms"].to_numpy(np.int64), p["ended"].to_numpy(bool), p["feeds"].to_numpy(bool)) for p in rows]
+        ms, ended, feeds = (np.concatenate(x) for x in zip(*parts, strict=True))
+        place = np.lexsort((ended, ms))
+        place = place[ms[place] >= behind]
+        if len(place):
+            ms, ended, feeds = ms[place], ended[place], feeds[place]
+            step = np.where(ended, -1, 1)
+            open_, feeding = state[0] + np.cumsum(step), state[1] + np.cumsum(step * feeds)
+            out = [(k, 1, (int(ms[k]), "harvest", 0)) for k in np.flatnonzero(ended & (open_ == 0)).tolist()]
+            for k in [0, *(np.flatnonzero(np.diff(ms) >= self.pause) + 1).tolist()]:  # where time may pass a deadline
+                at = state if k == 0 else [int(open_[k - 1]), int(feeding[k - 1]), int(ms[k - 1]) + self.pause]
+                out += [(k, 0, x) for x in self.overdue(int(ms[k]), at)]
+            yield from self.found(key, [x for _, _, x in sorted(out, key=lambda o: o[:2])])
+            state = [int(open_[-1]), int(feeding[-1]), int(ms[-1]) + self.pause]
         self.keep(state, before)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = self.load()
         before = state[2]
-        yield from self.overdue(key[0], timerValues.getCurrentWatermarkInMs(), state)
+        yield from self.found(key, list(self.overdue(timerValues.getCurrentWatermarkInMs(), state)))
         if before is not None and before <= expiredTimerInfo.getExpiryTimeInMs():
             self.state.update(tuple(state))
             if state[2] is not None:
@@ -79,8 +92,8 @@ class Inactivity(StatefulProcessor):
 def harvest_runs(notices: DataFrame, pause: datetime.timedelta, late: str) -> DataFrame:
     """key, ts, action (harvest, force, stop) and open of a stream of notices: key, task, feeds (whether its product may
     become an input), ended, ts. Each task is noticed once as created and once as ended."""
-    some = notices.select(F.col("key").cast("string").alias("key"), F.col("task").cast("string").alias("task"), "feeds", "ended", "ts", F.unix_millis("ts").alias("ms")).withWatermark("ts", late)
-    found = some.groupBy("key").transformWithState(Inactivity(round(pause.total_seconds() * 1000)), RUNS, "Append", "eventTime")
+    some = notices.select(F.col("key").cast("string").alias("key"), "feeds", "ended", "ts", F.unix_millis("ts").alias("ms")).withWatermark("ts", late)
+    found = some.groupBy("key").transformWithStateInPandas(Inactivity(round(pause.total_seconds() * 1000)), RUNS, "Append", "eventTime")
     return found.select("key", F.timestamp_millis("ms").alias("ts"), "action", "open")
 
 

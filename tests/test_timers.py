@@ -152,3 +152,39 @@ def test_upserts_go_on_after_a_restart(spark):
     assert {r.user_id: r.status for r in again.collect()} == {1: "error", 2: "purchase"}
     batches = spark.read.parquet(places[0]).groupBy("batch").count().collect()
     assert sum(r["count"] for r in batches) == 5  # a batch writes the keys that it changed, not all
+
+
+def test_a_batch_of_notices_is_taken_as_columns():
+    """Many notices of one key, in pieces of any order: the rows and the state are those of a plain loop."""
+    import numpy as np
+    import pandas as pd
+
+    class State(dict):
+        exists = lambda self: "now" in self
+        get = lambda self: self["now"]
+        update = lambda self, x: self.__setitem__("now", x)
+
+    class Times:
+        getCurrentWatermarkInMs = lambda self: 50
+
+    class Handle:
+        deleteTimer = registerTimer = lambda self, ms: None
+
+    rng = np.random.default_rng(1)
+    n = 3000
+    made = pd.DataFrame({"ms": rng.integers(0, 90000, n), "feeds": rng.random(n) < 0.1, "ended": False})
+    rows = pd.concat([made, made.assign(ms=made["ms"] + rng.integers(1, 40, n), ended=True)]).sample(frac=1, random_state=2)
+    rows = pd.concat([rows, pd.DataFrame({"ms": [200000], "feeds": [True], "ended": [False]})])
+    processor = timers.Inactivity(60)
+    processor.handle, processor.state = Handle(), State()
+    got = pd.concat(processor.handleInputRows(("k",), iter([rows[:2500], rows[2500:]]), Times()))
+    open_, feeding, deadline, want = 0, 0, None, []
+    for r in sorted((r for r in rows.itertuples() if r.ms >= 50), key=lambda r: (r.ms, r.ended)):
+        while deadline is not None and deadline <= r.ms:
+            want.append((deadline, "force" if feeding > 0 else "stop", open_))
+            deadline = deadline + 60 if feeding > 0 else None
+        open_, feeding, deadline = open_ + (-1 if r.ended else 1), feeding + (0 if not r.feeds else -1 if r.ended else 1), r.ms + 60
+        if r.ended and open_ == 0:
+            want.append((r.ms, "harvest", 0))
+    assert list(got[["ms", "action", "open"]].itertuples(index=False, name=None)) == want and {x[1] for x in want} >= {"harvest", "stop"}
+    assert processor.state["now"] == (open_, feeding, deadline)
