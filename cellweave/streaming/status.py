@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..session import setting, shared_path
 from .timers import PROVIDER
 
+MERGED = ("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")  # sessions are joined before they are sent
+
 
 def read_folder(spark: SparkSession, folder: str, pattern: str, files_per_batch: int = 100) -> DataFrame:
     """A stream of the Parquet files of a folder whose names match, in batches of bounded size."""
@@ -29,7 +31,7 @@ def run_available(stream: DataFrame, mode: str = "append", each: Callable[[DataF
         df = each(batch, number) if each else batch
         df.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={number}")
 
-    with setting(spark, *PROVIDER):
+    with setting(spark, *PROVIDER), setting(spark, *MERGED):
         running = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
     running.awaitTermination()
     found = spark.read.parquet(out)
