@@ -11,7 +11,7 @@ from ..registry import query
 from ..sinks import formats as K
 from ..sources import formats as S
 from ..sources import missions as M
-from ..session import shared_path
+from ..session import SPLIT, shared_path
 from ..streaming import status as ST
 from ..streaming import timers as TM
 
@@ -208,11 +208,12 @@ def stream(t):
 
 
 def in_parts(t, rows, part, parts: int):
-    """A stream of rows that came in parts, one after the other: a batch each."""
+    """A stream of rows that came in parts, one after the other: a batch each. A part is one file, in groups of rows of
+    bounded size, which tasks read apart."""
     path = shared_path(t.spark, "parts")
     kept = rows.withColumn("_part", col(part) if isinstance(part, str) else part)
     for k in range(parts):
-        kept.where(col("_part") == k).drop("_part").coalesce(1).write.parquet(f"{path}/{k}.parquet")
+        kept.where(col("_part") == k).drop("_part").coalesce(1).write.option("parquet.block.size", SPLIT).parquet(f"{path}/{k}.parquet")
     return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
 
 
