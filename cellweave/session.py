@@ -49,6 +49,11 @@ def forget(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 PART, SPLIT, PER_PART = 16 << 20, 8 << 20, 4 << 20  # bytes of a part of a shuffle, of a file, and that are read for each part at first
 
 
