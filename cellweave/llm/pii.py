@@ -28,7 +28,7 @@ SPELT = re.compile(r"[\[({] ?at ?[\])}]| @ | at ")
 SECRET = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
 WEIGHTS = Path(__file__).with_name("tagger.npz")
 WIDTH, OVERLAP = 512, 96  # of the tagger's windows: each character but a text's first and last has 48 more around it
-BATCH, CHARS = 256, 500_000  # windows decoded at once; characters of texts handled at once, unless one text has more
+BATCH, CHARS = 512, 500_000  # windows decoded at once; characters of texts handled at once, unless one text has more
 
 
 def digits_of(s: str) -> str:

@@ -51,32 +51,43 @@ ALLOWED = allowed()
 FIRST = np.where((np.arange(TAGS) > 0) & (np.arange(TAGS) % 2 == 0), NEVER, np.float32(0))
 ENTRY = np.array([0, *range(1, TAGS, 2)])  # tags that may follow any tag
 INNER = np.arange(2, TAGS, 2)
+ORDER = np.concatenate([ENTRY, INNER])  # of tags while decoding: those of one sort lie side by side
 
 
-def steps_of(wx: np.ndarray, wh: np.ndarray, x: np.ndarray, keep: list | None = None) -> Iterator[np.ndarray]:
-    """Hidden states (ways, hidden, batch) of each time over classes x (time, ways, batch). Padding closes all gates, so
-    states are zero there. The states yielded are overwritten unless keep holds what training needs."""
-    ways, _, n = wh.shape
-    batch = x.shape[2]
+def steps_of(wx: np.ndarray, wh: np.ndarray, o: np.ndarray, x: np.ndarray, keep: list | None = None) -> Iterator[np.ndarray]:
+    """What the output layer o says of the hidden states (ways, tags, batch) of each time over classes x (time, ways, batch).
+    Padding closes all gates, so states are zero there. One product gives it with the next time's recurrent inputs. What is
+    yielded is overwritten; keep gets what training needs."""
+    ways, kinds, n4 = wx.shape
+    n, batch = n4 // 4, x.shape[2]
+    both, rows = (w.astype(np.float32, copy=False) for w in (np.concatenate([wh, o], 1), wx.reshape(-1, n4)))
+    at = x.astype(np.intp) + np.arange(ways)[:, None] * kinds
     h, c = np.zeros((2, ways, n, batch), np.float32)
-    a, z = np.empty((2, ways, 4 * n, batch), np.float32)
-    i, f, o, g = (a[:, k * n : (k + 1) * n] for k in range(4))
+    z, a = np.empty((ways, both.shape[1], batch), np.float32), np.empty((ways, n4, batch), np.float32)
+    given = np.empty((ways, batch, n4), np.float32)
+    inner, said = z[:, :n4], z[:, n4:]
+    i, f, out, g = (a[:, k * n : (k + 1) * n] for k in range(4))
     gates, half = a[:, : 3 * n], np.float32(0.5)
     for t in range(len(x)):
-        for way in range(ways):
-            a[way] = wx[way].take(x[t, way], axis=0).T
-        a += np.matmul(wh, h, out=z)
+        np.matmul(both, h, out=z)
+        if t:
+            yield said
+        rows.take(at[t], axis=0, out=given, mode="clip")
+        np.copyto(a, given.transpose(0, 2, 1))
+        a += inner
         np.tanh(a, out=a)
         gates *= half
         gates += half
-        before, last = c, h
-        c = f * c
-        c += i * g
-        tc = np.tanh(c)
-        h = o * tc
         if keep is not None:
-            keep.append((last, before, i.copy(), f.copy(), o.copy(), g.copy(), tc))
-        yield h
+            last, before, new = h.copy(), c.copy(), g.copy()
+        c *= f
+        c += np.multiply(i, g, out=g)
+        np.tanh(c, out=h)
+        if keep is not None:
+            keep.append((last, before, i.copy(), f.copy(), out.copy(), new, h.copy()))
+        h *= out
+    np.matmul(both, h, out=z)
+    yield said
 
 
 @dataclass
@@ -97,42 +108,52 @@ class Tagger:
         close(p)
         return Tagger(p)
 
-    def scores(self, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """(time, tags, batch): what the network says of each tag of each character."""
-        out, last = np.empty((len(x), 2, TAGS, x.shape[1]), np.float32), len(x) - 1
-        for t, h in enumerate(steps_of(self.p["wx"], self.p["wh"], np.stack([x, x[::-1]], 1), keep)):
-            np.matmul(self.p["o"][0], h[0], out=out[t, 0])
-            np.matmul(self.p["o"][1], h[1], out=out[last - t, 1])
-        e = out.sum(1)
-        e += self.p["oc"][:, None]
+    def scores(self, x: np.ndarray, keep: list | None = None, tags: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """(time, tags, batch): what the network says of each tag of each character, or of some tags in their order."""
+        o, oc = self.p["o"][:, tags], self.p["oc"][tags]
+        e, last = np.zeros((len(x), len(oc), x.shape[1]), np.float32), len(x) - 1
+        for t, said in enumerate(steps_of(self.p["wx"], self.p["wh"], o, np.stack([x, x[::-1]], 1), keep)):
+            e[t] += said[0]
+            e[last - t] += said[1]
+        e += oc[:, None]
         return e
 
     def decode(self, x: np.ndarray) -> np.ndarray:
         """The best tag sequence (time, batch) by network and transitions; columns end with padding, whose tags mean
         nothing."""
-        e, t = self.scores(x), self.p["t"] + ALLOWED
-        entry = np.ascontiguousarray(t[:, ENTRY].T)[:, :, None]
-        begin, inside = t[INNER - 1, INNER][:, None], t[INNER, INNER][:, None]
-        best = np.empty(e.shape, np.float32)
-        best[0] = e[0] + (self.p["t0"] + FIRST)[:, None]
+        best, t = self.scores(x, tags=ORDER), (self.p["t"] + ALLOWED)[np.ix_(ORDER, ORDER)]
+        n, m, batch = len(ENTRY), len(INNER), x.shape[1]
+        entry = np.ascontiguousarray(t[:, :n])[:, :, None]
+        begin, inside = t[np.arange(1, n), np.arange(n, n + m)][:, None], t[np.arange(n, n + m), np.arange(n, n + m)][:, None]
+        best[0] += (self.p["t0"] + FIRST)[ORDER, None]
         live = x != PAD
         whole = live.all(1)
-        for k in range(1, len(x)):
+        sums, top, two, stay = (np.empty((*k, batch), best.dtype) for k in ((TAGS, n), (n,), (m,), (m,)))
+        came = np.zeros(x.shape, bool)  # where a tag other than outside comes before outside
+        for k in range(1, len(x)):  # scores of a tag become those of the best sequence that ends with it
             b, now = best[k - 1], best[k]
-            now[ENTRY] = (b + entry).max(1)
-            now[INNER] = np.maximum(b[INNER - 1] + begin, b[INNER] + inside)
-            now += e[k]
+            np.add(b[:, None], entry, out=sums)
+            sums.max(0, out=top)
+            np.not_equal(top[0], sums[0, 0], out=came[k])
+            now[:n] += top
+            np.add(b[1:n], begin, out=two)
+            np.add(b[n:], inside, out=stay)
+            now[n:] += np.maximum(two, stay, out=two)
             if not whole[k]:
                 np.copyto(now, b, where=~live[k])
         out = np.empty(x.shape, np.uint8)
         tag = best[-1].argmax(0)
         out[-1] = tag
         back = np.ascontiguousarray(t.T)
+        came &= live
+        turns, within = came.any(1), tag.any()
         for k in range(len(x) - 1, 0, -1):
-            before = (best[k - 1] + back[tag].T).argmax(0)
-            tag = before if whole[k] else np.where(live[k], before, tag)
+            if within or turns[k]:  # else outside follows outside in all columns
+                some = np.flatnonzero(came[k] | (tag > 0) & live[k])
+                tag[some] = (best[k - 1][:, some].T + back[tag[some]]).argmax(1)
+                within = tag.any()
             out[k - 1] = tag
-        return out
+        return ORDER.astype(np.uint8)[out]
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Negative log likelihood of tags y a character, and its gradients, by forward-backward and back-propagation."""

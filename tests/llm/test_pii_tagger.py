@@ -1,6 +1,7 @@
 """The tagger of personal data: gradients, decoding, windows over whole texts, and what it adds to the patterns."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -43,6 +44,32 @@ def test_decoding_finds_the_best_of_all_tag_sequences():
         assert tuple(got[:n, j].tolist()) == best
 
 
+def test_decoding_of_windows_holds_one_array_of_scores():
+    """Windows of many lengths get the tags of a plain search backwards through all transitions, and the scores of a window
+    are held once: all other arrays are those of one time."""
+    model = pii.default_tagger()
+    x, _ = tagger.arrays([(t[: 20 + 7 * k % 400], []) for k, (t, _) in enumerate(tagger.labelled_lines(128, 11, 400))], 400)
+    x = x.astype(np.uint8)
+    e, t = model.scores(x), model.p["t"] + tagger.ALLOWED
+    tracemalloc.start()
+    got = model.decode(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * e.nbytes
+    for j in range(x.shape[1]):
+        n = int((x[:, j] != tagger.PAD).sum())
+        best, before = e[0, :, j] + model.p["t0"] + tagger.FIRST, []
+        for k in range(1, n):
+            sums = best[:, None] + t
+            before.append(sums.argmax(0))
+            best = sums.max(0) + e[k, :, j]
+        tags = [int(best.argmax())]
+        for b in reversed(before):
+            tags.append(int(b[tags[-1]]))
+        assert got[:n, j].tolist() == tags[::-1]
+    assert len(np.unique(got)) == tagger.TAGS
+
+
 @pytest.mark.parametrize("n", [0, 1, 47, 511, 512, 513, 928, 929, 5000])
 def test_each_character_is_kept_from_one_window(n):
     owner, depth = np.full(n, -1), {}
