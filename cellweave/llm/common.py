@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: What empties caches that this Python worker keeps between tasks, as encoders do.
 CACHES: list[Callable[[], None]] = []
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; others have none
 
 
 def drop_caches() -> None:
@@ -27,8 +31,22 @@ def drop_caches() -> None:
 
 
 def release_unused() -> None:
-    """Gives back what Arrow holds of batches that are gone."""
+    """Gives back what Arrow and the C library hold of what is gone."""
     pa.default_memory_pool().release_unused()
+    if TRIM:
+        TRIM(0)
+
+
+def portions(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, so many at a time as have about so many bytes of text at most, one at least."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = size[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(size, before + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -12,11 +12,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_unused
+from .common import portions, release_unused
 from .pieces import piece_encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
-ROWS = 2000  # encoded at once
+ROWS, BYTES = 2000, 2_000_000  # packed at once; of texts encoded at once, unless one has more
 POOL = 4096  # pieces that wait at once in a task
 
 
@@ -151,7 +151,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 1, limits: Limits = Limits
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 some, out = batch.slice(at, ROWS), []
-                encoded = encoder.encode(pc.coalesce(some["text"], pa.scalar("", some["text"].type)))
+                encoded = [ids for part in portions([some], "text", BYTES) for ids in encoder.encode(pc.coalesce(part["text"], pa.scalar("", part["text"].type)))]
                 for doc, ids, share in zip(some["doc_id"].to_pylist(), encoded, some["share"].to_pylist(), strict=True):
                     ids += end_id.to_bytes(4, "little")
                     n = len(ids) // 4

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_caches
+from .common import drop_caches, portions
 from .tagger import KINDS, PAD, Tagger, classes, labelled_lines, train
 
 # The patterns of the base kinds; an e-mail's local part is taken from the left of its sign.
@@ -117,18 +115,6 @@ def tagged_spans(texts: list[str], model: Tagger) -> list[list[tuple[str, int, i
     return out
 
 
-def portions(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The rows of batches, so many at a time as have about CHARS bytes of text, one at least."""
-    for batch in batches:
-        size = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False))
-        at = 0
-        while at < batch.num_rows:
-            before = size[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(size, before + CHARS, side="right")))
-            yield batch.slice(at, end - at)
-            at = end
-
-
 def added_spans(text: str, tagged: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """The tagger's spans that are sound and touch no base span: numbers pass their kind's check, telephone numbers have
     separators, e-mails a sign and a host, secrets letters and digits and no part of a word beside them."""
@@ -187,7 +173,7 @@ def find(df: DataFrame, model: Tagger | None = None, id_col: str = "doc_id", tex
 
     def run(batches):
         drop_caches()
-        for some in portions(batches, "text"):
+        for some in portions(batches, "text", CHARS):
             given = some["text"].to_pylist()
             texts = [t or "" for t in given]
             base = [base_spans(t) for t in texts]
@@ -210,7 +196,7 @@ def redact(df: DataFrame, model: Tagger | None = None, text_col: str = "text", l
 
     def run(batches):
         drop_caches()
-        for some in portions(batches, text_col):
+        for some in portions(batches, text_col, CHARS):
             given = some[text_col].to_pylist()
             texts = [t or "" for t in given]
             base = [base_spans(t) for t in texts]

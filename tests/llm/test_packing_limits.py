@@ -1,11 +1,14 @@
 """Limits of packed sequences, loss counts and odd rows."""
 
 import random
+import types
+from unittest.mock import MagicMock
 
+import pyarrow as pa
 import pytest
 from test_numbered_operators import LONG, TEXTS, check_packing, docs
 
-from cellweave.llm import packing
+from cellweave.llm import packing, pieces
 from cellweave.llm.queries import PACKING, tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
@@ -77,3 +80,22 @@ def test_repeated_rows_null_ids_and_long_texts(spark):
     assert len(one) == 2 and len({x.ids_crc32 for x in one}) == 1 and [x.length for x in rows if x.doc_id is None] == [1]
     assert sum(x.length for x in rows if x.doc_id == 2) == next(x.doc_tokens for x in rows if x.doc_id == 2)
     check_packing(packing.pack(docs(spark, TEXTS), PATH).collect(), TEXTS, packing.Limits(), PATH)
+
+
+def test_texts_are_encoded_some_bytes_at_a_time(monkeypatch):
+    """What the encoder holds at once follows bytes of text, not rows; a longer text is taken alone."""
+    seen, encode = [], pieces.PieceEncoder.encode
+    monkeypatch.setattr(pieces.PieceEncoder, "encode", lambda self, texts: seen.append(texts.to_pylist()) or encode(self, texts))
+    texts = ["one two three " * 40_000, *(["four five six " * 2000, None] * 100), "seven " * 500_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array([1.0] * len(texts))], ["doc_id", "text", "share"])
+    out = []
+    frame = types.SimpleNamespace(select=lambda *_: types.SimpleNamespace(mapInArrow=lambda run, _: out.extend(run([batch]))))
+    monkeypatch.setattr(packing.F, "col", MagicMock())
+    monkeypatch.setattr(packing.F, "lit", MagicMock())
+    packing.pack(frame, PATH)
+    assert [t for some in seen for t in some] == [t or "" for t in texts]
+    assert all(sum(map(len, some)) <= packing.BYTES or len(some) == 1 for some in seen)
+    rows = pa.Table.from_batches(out).to_pydict()
+    whole = dict(zip(rows["doc_id"], rows["doc_tokens"], strict=True))
+    want = encode(pieces.piece_encoder(PATH), pa.array([t or "" for t in texts]))
+    assert whole == {k: len(ids) // 4 + 1 for k, ids in enumerate(want)}
