@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .session import bounded_parts
+from .session import MANY, bounded_parts, spread
 
 BASE = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -90,7 +90,10 @@ class Tables:
         if name in BASE:
             if name not in self.read:
                 self.read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-                self.size = bounded_parts(self.spark, f"{self.sf_dir}/{name}.parquet", self.size)
+                before, many = self.size, name == "part"  # each part is a cell of all tiles, which queries make finer
+                self.size = bounded_parts(self.spark, f"{self.sf_dir}/{name}.parquet", before, MANY if many else 1)
+                if many:
+                    self.read[name] = spread(self.read[name], self.size - before)
             return self.read[name]
         if name not in TABLES:
             raise KeyError(name)

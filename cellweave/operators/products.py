@@ -53,14 +53,21 @@ def bilinear(coarse: DataFrame, targets: DataFrame, band: str, k: int) -> DataFr
     """Values of coarse cells at the centres of k times finer ones (targets: tile, r, c), linear between the centres of the
     four coarse cells around; beyond the outer centres the nearest ones count, with the weights of what is there.
 
-    Each target asks for its four cells, so this is one equi-join and one aggregation, whatever the image's size."""
+    Targets between the same four centres share them: each coarse cell is sent to the four places that it is a corner of,
+    and targets meet these by one equi-join, after which no row moves. Corners keep sums and counts, so repeated cells
+    count as often as they come, and those without a value in the weights alone."""
     at = lambda x: (F.col(x) + 0.5) / k - 0.5
-    low = targets.select("tile", "r", "c", F.floor(at("r")).cast("int").alias("r0"), F.floor(at("c")).cast("int").alias("c0"), at("r").alias("y"), at("c").alias("x"))
-    corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
-    four = low.select("*", corner.alias("o")).select("tile", "r", "c", (F.col("r0") + F.col("o.i")).alias("gr"), (F.col("c0") + F.col("o.j")).alias("gc"), (1 - F.abs(F.col("y") - F.col("r0") - F.col("o.i"))).alias("wy"), (1 - F.abs(F.col("x") - F.col("c0") - F.col("o.j"))).alias("wx"))
-    met = four.join(coarse.select("tile", F.col("r").alias("gr"), F.col("c").alias("gc"), F.col(band).alias("z")), ["tile", "gr", "gc"])
-    w = F.col("wy") * F.col("wx")
-    return met.groupBy("tile", "r", "c").agg(F.round(F.sum(F.col("z") * w) / F.sum(w), 6).alias(band))
+    corners = [(i, j) for i in (0, 1) for j in (0, 1)]
+    corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in corners]))
+    sent = coarse.select("tile", "r", "c", F.col(band).cast("double").alias("z"), corner.alias("o")).select("tile", (F.col("r") - F.col("o.i")).alias("r0"), (F.col("c") - F.col("o.j")).alias("c0"), (2 * F.col("o.i") + F.col("o.j")).alias("o"), "z")
+    places = sent.groupBy("tile", "r0", "c0").agg(*[f.alias(f"{name}{o}") for o in range(4) for name, f in (("z", F.sum(F.when(F.col("o") == o, F.col("z")))), ("n", F.count_if(F.col("o") == o)))])
+    low = targets.select("tile", "r", "c", F.floor(at("r")).cast("int").alias("r0"), F.floor(at("c")).cast("int").alias("c0"))
+    y, x = at("r") - F.col("r0"), at("c") - F.col("c0")
+    w = [(y if i else 1 - y) * (x if j else 1 - x) for i, j in corners]
+    met = low.join(places, ["tile", "r0", "c0"])
+    above = F.when(F.coalesce(*[F.col(f"z{o}") for o in range(4)]).isNotNull(), sum(F.coalesce(F.col(f"z{o}"), F.lit(0.0)) * w[o] for o in range(4)))
+    value = F.round(above / sum(F.col(f"n{o}") * w[o] for o in range(4)), 6)
+    return met.groupBy("tile", "r0", "c0", "r", "c").agg(F.first(value).alias(band)).select("tile", "r", "c", band)
 
 
 def transitions(cells: DataFrame, filled: Column, before: Column, reference: Column, by: list[str]) -> DataFrame:

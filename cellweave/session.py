@@ -55,14 +55,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 PART, SPLIT, PER_PART = 16 << 20, 8 << 20, 4 << 20  # bytes of a part of a shuffle, of a file, and that are read for each part at first
+MANY = 16  # how often the bytes of a table count whose rows become many each
 
 
-def bounded_parts(spark: SparkSession, path: str, before: int = 0) -> int:
+def bounded_parts(spark: SparkSession, path: str, before: int = 0, weight: int = 1) -> int:
     """Lets adaptive execution cut the shuffles of queries over a table into parts of bounded size, and files too, so that
     what a task holds does not grow with the table. A fixed number of parts would. Smaller parts that the session asks for
-    stay, and so does its spark.sql.shuffle.partitions, which is the least. Gives the bytes of the table and those before."""
+    stay, and so does its spark.sql.shuffle.partitions, which is the least. Gives the bytes of the table, as often as they count, and those before."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = before + place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    size = before + weight * place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PER_PART)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
     for name, most in (("spark.sql.adaptive.advisoryPartitionSizeInBytes", PART), ("spark.sql.files.maxPartitionBytes", SPLIT)):
@@ -71,6 +72,12 @@ def bounded_parts(spark: SparkSession, path: str, before: int = 0) -> int:
     return size
 
 
+def spread(df: DataFrame, size: int) -> DataFrame:
+    """A table whose rows become many each, in a part for each PER_PART bytes of its size as it counts: a file of few bytes a
+    row is otherwise read by one or two tasks, which hold all that comes of it until they have sent it."""
+    return df.repartition(-(-size // PER_PART)) if size > PER_PART else df
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
     """What runs inside has the session's setting at a value."""

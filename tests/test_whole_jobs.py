@@ -213,3 +213,36 @@ def test_parts_of_shuffles_grow_in_number_and_not_in_size(spark, monkeypatch):
     finally:
         for n, v in zip(names, before, strict=True):
             spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_parts_of_the_part_table_are_bounded(spark, tmp_path):
+    """A file of few bytes a row, whose rows become many, is spread over parts, and the shuffles after it have as many."""
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name, None)
+    try:
+        spark.range(1 << 20).selectExpr("id as p_partkey", "cast(rand(1) * 2e9 as int) as p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+        t = Tables(spark, str(tmp_path))
+        rows = t("part").groupBy(F.spark_partition_id()).count().collect()
+        assert len(rows) >= 16 and sum(r["count"] for r in rows) == 1 << 20 and max(r["count"] for r in rows) < 1 << 17
+        assert int(spark.conf.get(name)) >= 16
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_bilinear_moves_no_row_after_its_join(spark):
+    """Repeated and null cells count as in a sum over all that are met, and targets are shuffled once."""
+    coarse = spark.createDataFrame([(0, 0, 0, 8), (0, 0, 0, 16), (0, 0, 1, None), (0, 1, 1, 4), (0, 5, 5, None)], "tile int, r int, c int, z int")
+    targets = spark.createDataFrame([(0, r, c) for r in range(12) for c in range(12)] + [(0, 1, 1)], "tile int, r int, c int")
+    df = products.bilinear(coarse, targets, "z", 2)
+    got = {(x.r, x.c): x.z for x in df.collect()}
+    cells = [(x.r, x.c, x.z) for x in coarse.collect()]
+    want = {}
+    for r, c in {(x.r, x.c) for x in targets.collect()}:
+        y, x = (r + 0.5) / 2 - 0.5, (c + 0.5) / 2 - 0.5
+        met = [(z, (1 - abs(y - a)) * (1 - abs(x - b))) for a, b, z in cells if a - y <= 1 and y - a < 1 and b - x <= 1 and x - b < 1]
+        if met:
+            some = [z * w for z, w in met if z is not None]
+            want[r, c] = round(sum(some) / sum(w for _, w in met), 6) if some else None
+    assert got == want and None in want.values()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and plan.count("explode") == 1
