@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batch_rows, components, drop_caches, durable, forget, shuffle_width, written
@@ -171,12 +171,21 @@ def token_levels(docs: DataFrame, plan: Plan) -> np.ndarray:
     return levels
 
 
+def word_and_bit(number: Column, bits: int) -> tuple[Column, Column]:
+    """The word of a table of bits, a power of two of them, and the bit in it that stand for a number."""
+    return F.shiftright(number.bitwiseAND(F.lit(bits - 1)), 6).cast("int"), F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bits_of(df: DataFrame, number: Column, bits: int) -> DataFrame:
+    """(word, bits): a table of bits in words of 64, bits / 64 rows at most: those of the numbers are set."""
+    word, bit = word_and_bit(number, bits)
+    return df.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
 def wanted_bits(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A table of bits, a power of two of them, in words of 64: those of the column's numbers are set. Where it is full it
-    sorts nothing out, and only saves no work."""
-    at = F.col(column).bitwiseAND(F.lit(bits - 1))
-    word, bit = F.shiftright(at, 6).cast("int"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))")
-    table = df.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()  # bits / 64 rows at most
+    """The words of the table of bits of the column's numbers. Where it is full it sorts nothing out, and only saves no
+    work."""
+    table = bits_of(df, F.col(column), bits).toArrow()
     words = np.zeros(bits // 64, np.uint64)
     words[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
     return words
@@ -370,18 +379,40 @@ def link_classes(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
     return some.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def free_name(stem: str, df: DataFrame, *others: str) -> str:
+    """A name that no column of df has, nor others."""
+    taken = {c.lower() for c in df.columns} | set(others)
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def without(rows: DataFrame, key: str, gone: DataFrame, plan: Plan) -> DataFrame:
+    """The rows whose key, a number and not null, is none of gone's only column. A table of bits of fixed size, which all
+    tasks get, tells most rows that stay; only the others meet gone, so rows that hold much are not shuffled for it. Where
+    that table is full all rows meet gone."""
+    gone = durable(gone.toDF("gone").withColumn("gone", F.col("gone").cast("bigint")))
+    place = lambda c: c.bitwiseXOR(F.shiftright(c, 33) * F.lit(1_000_003))  # noqa: E731 (numbers that Spark gives rows have the part above)
+    word, bits = free_name("_word", rows), free_name("_bits", rows)
+    table = bits_of(gone, place(F.col("gone")), plan.bits).toDF(word, bits)
+    number = rows[key].cast("bigint")
+    at, bit = word_and_bit(place(number), plan.bits)
+    told = rows.join(F.broadcast(table), at == table[word], "left").withColumn(bits, F.coalesce(F.col(bits).bitwiseAND(bit), F.lit(0)) != 0).drop(word)
+    doubted = told.where(F.col(bits))
+    return told.where(~F.col(bits)).unionByName(doubted.join(gone, doubted[key].cast("bigint") == gone["gone"], "left_anti")).drop(bits)
+
+
 def keep_first(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df, with all its columns, of the smallest id of each component. Of rows that repeat id and text one
     stays; texts that share an id are linked and decided one by one. Rows with a null id link with nothing and stay. Other
     columns may have any names."""
     named, rest = df.where(F.col(id_col).isNotNull()), df.where(F.col(id_col).isNull())
     if named.groupBy(id_col).count().where("count > 1").isEmpty():
-        first = link_classes(named, plan, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col))
-        return named.join(durable(first), id_col, "left_semi").unionByName(rest)
-    node = "_node"
-    while node.lower() in {c.lower() for c in df.columns} | {"doc_id", "component_id"}:  # a name that the table does not have
-        node += "_"
+        later = link_classes(named, plan, id_col, text_col).where("doc_id <> component_id").select("doc_id")
+        return without(named, id_col, later, plan).unionByName(rest)
+    node = free_name("_node", df, "doc_id", "component_id")
     rows = durable(named.dropDuplicates([id_col, text_col]).withColumn(node, F.monotonically_increasing_id()))
     linked = link_classes(rows, plan, node, text_col).select(F.col("doc_id").alias(node), F.col("component_id").alias("_component"))
     best = linked.join(rows.select(node, F.col(id_col).alias("_id")), node).groupBy("_component").agg(F.min(F.struct("_id", node))[node].alias(node))
-    return rows.join(durable(best.select(node)), node, "left_semi").select(*df.columns).unionByName(rest)
+    later = linked.select(node).join(best.select(node), node, "left_anti")
+    return without(rows, node, later, plan).drop(node).unionByName(rest)

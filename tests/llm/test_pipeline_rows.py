@@ -1,5 +1,7 @@
 """The pipeline's stages and rows against composition of the operators and plain recomputation."""
 
+import random
+import time
 import zlib
 
 import corpus_pipeline
@@ -7,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from test_numbered_operators import brute_components
 
-from cellweave.llm import pieces, pii
+from cellweave.llm import jaccard, pieces, pii
 from cellweave.llm.common import durable, table
 from cellweave.llm.queries import PACKING, queries, tokenizer_path
 
@@ -88,3 +90,34 @@ def test_near_copies_leave_only_what_is_read(spark):
     found = jaccard.link_classes(spark.createDataFrame(docs, "doc_id long, text string"))
     left = set(os.listdir(top)) - before
     assert len(left) <= 4 and found.count() == 200  # rows, reach, and the last rounds of the components
+
+
+def test_near_copies_shuffle_only_texts_that_may_go(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join("%02000x" % r.getrandbits(8000) for _ in range(10))) for i in range(0, 600, 2)]
+    copies = [(i + 1, text) for i, text in rows[:20]]
+    df = durable(spark.createDataFrame(rows + copies, "doc_id long, text string"))
+    name, shuffled = "spark.sql.autoBroadcastJoinThreshold", lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        time.sleep(1)
+        began = shuffled()
+        kept = jaccard.keep_first(df).collect()
+        time.sleep(1)
+        written = shuffled() - began
+    finally:
+        spark.conf.set(name, before)
+    assert sorted((x.doc_id, x.text) for x in kept) == rows
+    assert written < sum(len(t) for _, t in rows) / 4  # texts are random, so that they do not get much smaller
+
+
+def test_rows_without_those_gone_at_odd_keys_and_a_full_table(spark):
+    r = random.Random(6)
+    keys = sorted({r.choice([r.randrange(-50, 500), r.getrandbits(64) - 2**63, r.randrange(2**30) << 33 | r.randrange(9)]) for _ in range(900)} | {-(2**63), 2**63 - 1, 0})
+    gone = set(r.sample(keys, 300)) | {keys[0], keys[-1]}
+    rows = spark.createDataFrame([(k, f"t{k}", k % 7) for k in keys], "_bits long, _word string, word int")
+    for bits in (64, 1 << 24):
+        kept = jaccard.without(rows, "_bits", spark.createDataFrame([(k,) for k in gone], "k long"), jaccard.Plan(bits=bits))
+        assert kept.columns == rows.columns
+        assert sorted(map(tuple, kept.collect())) == [(k, f"t{k}", k % 7) for k in keys if k not in gone]
