@@ -23,6 +23,9 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: What any number of the base kinds stands in, and signs of an e-mail in other spellings.
 NUMBERS = re.compile(r"[+(0-9][+0-9 ().-]{6,}+")
 SPELT = re.compile(r"[\[({] ?at ?[\])}]| @ | at ")
+AT = re.compile(r"[\[({] ?at ?[\])}]")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
+DOTTED = re.compile(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]")
 SECRET = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
 WEIGHTS = Path(__file__).with_name("tagger.npz")
 WIDTH, OVERLAP = 512, 96  # of the tagger's windows: each character but a text's first and last has 48 more around it
@@ -83,26 +86,61 @@ def windows(n: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def tags_of(texts: list[str], model: Tagger) -> list[np.ndarray]:
-    """The tag of each character of each text. Windows of all texts are decoded together, those of a length side by side."""
-    codes = [np.concatenate([classes(t[k : k + CHARS]) for k in range(0, len(t), CHARS)]) if t else np.zeros(0, np.uint8) for t in texts]
-    out = [np.zeros(len(c), np.uint8) for c in codes]
-    places = sorted(((k, *w) for k, c in enumerate(codes) for w in windows(len(c))), key=lambda p: p[2] - p[1])
-    for at in range(0, len(places), BATCH):
-        some = places[at : at + BATCH]
-        x = np.full((max(b - a for _, a, b, _, _ in some), len(some)), PAD, np.uint8)
-        for j, (k, a, b, _, _) in enumerate(some):
-            x[: b - a, j] = codes[k][a:b]
-        decoded = np.ascontiguousarray(model.decode(x).T)
-        for j, (k, a, _, low, high) in enumerate(some):
-            out[k][low:high] = decoded[j, low - a : high - a]
+def needed(text: str) -> list[tuple[int, int]]:
+    """Places of which each span that added_spans finds sound meets one, whatever the tagger says: an e-mail holds a sign, a
+    secret lies in a long run with letters and digits, numbers in a run with nine digits or four dotted parts."""
+    out = [m.span() for m in AT.finditer(text)]
+    for sign in ("@", " at "):
+        at = text.find(sign)
+        while at >= 0:
+            out.append((at, at + len(sign)))
+            at = text.find(sign, at + 1)
+    out += [m.span() for m in RUN.finditer(text) if SECRET.fullmatch(text, m.start(), m.end())]
+    return out + [m.span() for m in NUMBERS.finditer(text) if len(digits_of(m[0])) >= 9 or DOTTED.search(m[0])]
+
+
+def meeting(n: int, places: list[tuple[int, int]]) -> set[int]:
+    """Numbers of the windows over n characters of whose kept parts a place meets one."""
+    lows = np.array([w[2] for w in windows(n)])
+    out: set[int] = set()
+    for a, b in places:
+        out.update(range(int(np.searchsorted(lows, a, side="right")) - 1, int(np.searchsorted(lows, b - 1, side="right"))))
     return out
 
 
-def tagged_spans(texts: list[str], model: Tagger) -> list[list[tuple[str, int, int]]]:
-    """Spans of the tagger in each whole text, across windows: a span goes on while tags stay inside its kind."""
+def tags_of(texts: list[str], model: Tagger, places: list[list[tuple[int, int]]] | None = None) -> list[np.ndarray]:
+    """The tag of each character of each text. Windows of all texts are decoded together, those of a length side by side.
+    With places only windows that meet one are decoded, and those beside them into which a tagged span may go on, until it
+    ends: the spans that meet a place are those of all windows, and what meets none may be missing."""
+    out = [np.zeros(len(t), np.uint8) for t in texts]
+    cut = [windows(len(t)) for t in texts]
+    todo = {(k, j) for k, w in enumerate(cut) for j in (range(len(w)) if places is None else meeting(len(texts[k]), places[k]))}
+    codes: dict[int, np.ndarray] = {}
+    done: set[tuple[int, int]] = set()
+    while todo:
+        for k in {k for k, _ in todo} - codes.keys():
+            codes[k] = np.concatenate([classes(texts[k][i : i + CHARS]) for i in range(0, len(texts[k]), CHARS)])
+        order = sorted(((k, *cut[k][j]) for k, j in todo), key=lambda p: (p[2] - p[1], p))
+        for at in range(0, len(order), BATCH):
+            some = order[at : at + BATCH]
+            x = np.full((max(b - a for _, a, b, _, _ in some), len(some)), PAD, np.uint8)
+            for j, (k, a, b, _, _) in enumerate(some):
+                x[: b - a, j] = codes[k][a:b]
+            decoded = np.ascontiguousarray(model.decode(x).T)
+            for j, (k, a, _, low, high) in enumerate(some):
+                out[k][low:high] = decoded[j, low - a : high - a]
+        done |= todo
+        before = {(k, j - 1) for k, j in todo if j and out[k][cut[k][j][2]]}
+        after = {(k, j + 1) for k, j in todo if j + 1 < len(cut[k]) and out[k][cut[k][j][3] - 1]}
+        todo = (before | after) - done
+    return out
+
+
+def tagged_spans(texts: list[str], model: Tagger, places: list[list[tuple[int, int]]] | None = None) -> list[list[tuple[str, int, int]]]:
+    """Spans of the tagger in each whole text, across windows: a span goes on while tags stay inside its kind. With places,
+    all spans that meet one, and perhaps others."""
     out = []
-    for tags in tags_of(texts, model):
+    for tags in tags_of(texts, model, places):
         spans: list[list] = []
         for i in np.flatnonzero(tags).tolist():
             tag = int(tags[i])
@@ -164,8 +202,9 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 def find(df: DataFrame, model: Tagger | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, base and spans as text lists, base counts by kind, and the redacted text.
 
-    Patterns and tagger both read every character of every text (null: empty, redacted null), some texts at a time, so
-    memory is bounded by the longest text; offsets count code points. Base spans stay as the patterns give them; the
+    Patterns read every character of every text (null: empty, redacted null), the tagger every window in which a span of
+    its own could be sound (needed), which gives the spans that it gives over all windows. Some texts are read at a time,
+    so memory is bounded by the longest text; offsets count code points. Base spans stay as the patterns give them; the
     tagger adds spans, of a fifth kind too, that touch none of them. Repeated rows give equal results, a null id stays
     null, other columns are left out, the empty table gives no rows.
     """
@@ -177,7 +216,7 @@ def find(df: DataFrame, model: Tagger | None = None, id_col: str = "doc_id", tex
             given = some["text"].to_pylist()
             texts = [t or "" for t in given]
             base = [base_spans(t) for t in texts]
-            all_ = [ordered(b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model), base, strict=True)]
+            all_ = [ordered(b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model, [needed(t) for t in texts]), base, strict=True)]
             yield pa.RecordBatch.from_arrays([
                 some["doc_id"], *[pa.array([sum(s[0] == kind for s in b) for b in base], pa.int64()) for kind in KINDS[:4]],
                 pa.array([listed(b) for b in base]), pa.array([listed(s) for s in all_]),
@@ -200,7 +239,7 @@ def redact(df: DataFrame, model: Tagger | None = None, text_col: str = "text", l
             given = some[text_col].to_pylist()
             texts = [t or "" for t in given]
             base = [base_spans(t) for t in texts]
-            new = [redacted(t, b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model), base, strict=True)]
+            new = [redacted(t, b + added_spans(t, g, b)) for t, g, b in zip(texts, tagged_spans(texts, model, [needed(t) for t in texts]), base, strict=True)]
             columns = {name: some[name] for name in some.schema.names}
             columns[text_col] = pa.array([n if g is not None else None for n, g in zip(new, given, strict=True)], some[text_col].type)
             if length_col in columns:

@@ -1,6 +1,7 @@
 """The tagger of personal data: gradients, decoding, windows over whole texts, and what it adds to the patterns."""
 
 import itertools
+import random
 import tracemalloc
 
 import numpy as np
@@ -133,3 +134,29 @@ def test_repeated_rows_null_ids_and_columns(spark):
     red = pii.redact(df)
     assert red.columns == df.columns and sorted(str(r.text) for r in red.collect()) == sorted(["call [PHONE] now"] * 2 + ["None", "", "mail [EMAIL]"])
     assert pii.redact(df.limit(0)).count() == 0
+
+
+def test_windows_without_a_possible_span_are_not_decoded_and_no_span_is_lost():
+    class Counted(tagger.Tagger):
+        columns = 0
+
+        def decode(self, x):
+            Counted.columns += x.shape[1]
+            return super().decode(x)
+
+    lines, r = tagger.Lines(77), random.Random(3)
+    signs = [" at ", " [at] host [dot] com ", "@", "token = ", "+1 (", "dot com", "a1" * 300 + " ", "1 2 " * 400, ")-", "\n"]
+    texts = ["", "a", "x@y.zz"] + ["".join([lines.line(96)[0] if r.random() < 0.15 else r.choice(signs) if r.random() < 0.2 else lines.word() + " " for _ in range(r.randint(1, 700))]) for _ in range(60)]
+    trained = pii.default_tagger().p
+    wild = tagger.Tagger.fresh(6, 1).p  # tags nearly everything, so that spans go on through windows
+    for p in (trained, wild):
+        model = Counted(p)
+        all_, some = pii.tagged_spans(texts, model), pii.tagged_spans(texts, model, [pii.needed(t) for t in texts])
+        for t, a, b in zip(texts, all_, some, strict=True):
+            assert pii.added_spans(t, b, []) == pii.added_spans(t, a, [])
+            assert set(b) >= {s for s in a if any(x < s[2] and s[1] < y for x, y in pii.needed(t))}
+    Counted.columns = 0
+    prose = "Words of a long text without any number. " * 100
+    texts = [prose, prose + "mail bob (at) host.com now. " + prose]
+    spans = pii.tagged_spans(texts, Counted(trained), [pii.needed(t) for t in texts])
+    assert ("email", len(prose) + 5, len(prose) + 22) in spans[1] and Counted.columns <= 3
